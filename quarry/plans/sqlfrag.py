@@ -47,7 +47,7 @@ EMB_CTE = """emb AS (
   SELECT vec_id, label, e AS emb,
          CASE WHEN e[1] >= e[2] AND e[1] >= e[3] THEN 0 WHEN e[2] >= e[3] THEN 1 ELSE 2 END
            AS c_rule
-  FROM (SELECT vec_id, label, list_transform(embedding, x -> x::DOUBLE) AS e
+  FROM (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e
         FROM embeddings))"""
 
 PLANE_CTE = """plane AS (
