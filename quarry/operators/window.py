@@ -170,7 +170,8 @@ def best_per_group(df: DataFrame, group: str, by: str, id_col: str,
 # ---------------------------------------------------------------- W7
 def percentile_cut(df: DataFrame, group: str, by: str, p: float) -> DataFrame:
     """Keep rows whose ``by`` is at most the per-group p-th percentile."""
-    cuts = df.groupBy(group).agg(F.percentile(by, p).alias("_cut"))
+    from quarry.operators.profile import exact_quantiles
+    cuts = exact_quantiles(df, by, [p], [group], ["_cut"])
     return df.join(cuts, group).filter(F.col(by) <= F.col("_cut")).drop("_cut")
 
 
