@@ -102,13 +102,22 @@ class Moments:
                        self.syy + o.syy, self.xty + o.xty)
 
 
+def _as_dense(v) -> np.ndarray:
+    if hasattr(v, "toArray"):
+        return v.toArray()
+    if isinstance(v, dict):      # VectorUDT as it arrives through Arrow
+        if v.get("type") == 1:
+            return np.asarray(v["values"], dtype=np.float64)
+        out = np.zeros(int(v["size"]))
+        out[np.asarray(v["indices"], dtype=np.int64)] = np.asarray(v["values"], dtype=np.float64)
+        return out
+    return np.asarray(v, dtype=np.float64)
+
+
 def _vec_matrix(s: pd.Series) -> np.ndarray:
     if len(s) == 0:
         return np.zeros((0, 0))
-    first = s.iloc[0]
-    if hasattr(first, "toArray"):
-        return np.stack([v.toArray() for v in s])
-    return np.stack([np.asarray(v, dtype=np.float64) for v in s])
+    return np.stack([_as_dense(v) for v in s])
 
 
 def gram(df: DataFrame, vec: str, label: str | None = None, weight: str | None = None,
