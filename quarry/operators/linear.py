@@ -251,57 +251,65 @@ def softmax_bgd(df: DataFrame, vec: str, label: str, k: int, eta: float = 0.1,
 
 
 # ---------------------------------------------------------------- L11 / L12 / L14
+def sum_pass(df: DataFrame, fn, size: int) -> np.ndarray:
+    """One distributed pass: ``fn(X, pdf) -> partial sums`` per Arrow batch,
+    merged per entry on the executors.  Parameters travel in the closure, so
+    no per-step literal expressions (and no codegen recompilation)."""
+    import pandas as pd
+    from quarry.operators.aggregate import _vec_matrix
+
+    def part(it):
+        acc = np.zeros(size)
+        for pdf in it:
+            if len(pdf):
+                acc += fn(_vec_matrix(pdf["x"]), pdf)
+        yield pd.DataFrame({"i": np.arange(size, dtype=np.int32), "v": acc})
+    out = df.mapInPandas(part, "i int, v double").groupBy("i").agg(F.sum("v").alias("v"))
+    return out.toPandas().sort_values("i")["v"].to_numpy()
+
+
+def _as_array(df: DataFrame, col: str):
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.linalg import VectorUDT
+    c = F.col(col)
+    return vector_to_array(c) if isinstance(df.schema[col].dataType, VectorUDT) else c
+
+
 def svm_bgd(df: DataFrame, vec: str, label01: str, C: float = 1.0, eta0: float = 1.0,
             eta_d: float = 1000.0, n_epochs: int = 50) -> LinearFit:
     """Linear SVM by batch (sub)gradient descent on the hinge loss.
-    Each epoch is one aggregate over the rows with margin < 1 (support
-    vectors); the regulariser uses the parameter C (not a global)."""
-    from pyspark.ml.functions import vector_to_array
-    d = df.select(vector_to_array(F.col(vec)).alias("x"),
+    Each epoch is one pass summing t*x over the rows with margin < 1 (the
+    support vectors); the regulariser uses the parameter C (not a global)."""
+    d = df.select(_as_array(df, vec).alias("x"),
                   (F.col(label01) * 2 - 1).cast("double").alias("t")).cache()
     dim = len(d.first()["x"])
     w, b = np.zeros(dim), 0.0
     for epoch in range(n_epochs):
         eta = eta0 / (epoch + eta_d)
-        margin = F.col("t") * (_dot_lit("x", w) + F.lit(b))
-        sv = d.filter(margin < 1)
-        row = sv.agg(F.count(F.lit(1)).alias("n"), F.sum("t").alias("st"),
-                     F.array(*[F.sum(F.col("t") * F.col("x")[i]) for i in range(dim)])
-                     .alias("stx")).first()
-        stx = np.array(row["stx"] if row["n"] else np.zeros(dim), dtype=float)
-        gw = w - C * stx
-        gb = -C * (row["st"] or 0.0)
-        w, b = w - eta * gw, b - eta * gb
+
+        def fn(X, pdf, w=w, b=b):
+            t = pdf["t"].to_numpy()
+            sv = t * (X @ w + b) < 1
+            return np.concatenate([(t[sv, None] * X[sv]).sum(0), [t[sv].sum()]])
+        s = sum_pass(d, fn, dim + 1)
+        w, b = w - eta * (w - C * s[:dim]), b - eta * (-C * s[dim])
     d.unpersist()
     return LinearFit(w, float(b))
 
 
 def support_vectors(df: DataFrame, vec: str, label01: str, fit: LinearFit) -> DataFrame:
     """Rows with t (w.x + b) < 1."""
-    from pyspark.ml.functions import vector_to_array
-    x = vector_to_array(F.col(vec))
     t = (F.col(label01) * 2 - 1).cast("double")
-    return df.filter(t * (_dot_lit(x, fit.coef) + F.lit(fit.intercept)) < 1)
-
-
-def _dot_lit(x, w) -> "F.Column":
-    col = F.col(x) if isinstance(x, str) else x
-    e = F.lit(0.0)
-    for i, wi in enumerate(w):
-        if wi != 0.0:
-            e = e + col[i] * F.lit(float(wi))
-    return e
+    return df.filter(t * fit.predict_expr(vec) < 1)
 
 
 def sgd_classifier(df: DataFrame, vec: str, label01: str, loss: str = "hinge",
                    alpha: float = 1e-4, n_epochs: int = 20, n_batches: int = 8,
                    ids: Sequence[str] = ("id",), seed: int = 42) -> LinearFit:
-    """Mini-batch SGD with hinge or log loss; one aggregate per step over
-    one hash batch (schedule 1 / (alpha (t + t0)))."""
-    from pyspark.ml.functions import vector_to_array
-    d = df.select(*ids, vector_to_array(F.col(vec)).alias("x"),
-                  (F.col(label01) * 2 - 1).cast("double").alias("t")) \
-        .withColumn("_b", F.pmod(xx_u32(*ids, seed=seed), F.lit(n_batches))).cache()
+    """Mini-batch SGD with hinge or log loss (schedule 1/(alpha (t0 + t)));
+    each step is one pass over one hash batch."""
+    d = df.select(_as_array(df, vec).alias("x"), (F.col(label01) * 2 - 1).cast("double").alias("t"),
+                  F.pmod(xx_u32(*ids, seed=seed), F.lit(n_batches)).alias("_b")).cache()
     dim = len(d.first()["x"])
     w, b, t = np.zeros(dim), 0.0, 0
     t0 = 1.0 / (alpha * 10.0)
@@ -309,18 +317,16 @@ def sgd_classifier(df: DataFrame, vec: str, label01: str, loss: str = "hinge",
         for bi in range(n_batches):
             t += 1
             eta = 1.0 / (alpha * (t0 + t))
-            z = _dot_lit("x", w) + F.lit(b)
-            if loss == "hinge":
-                coef = F.when(F.col("t") * z < 1, F.col("t")).otherwise(F.lit(0.0))
-            else:   # log loss: t * sigmoid(-t z)
-                coef = F.col("t") / (1 + F.exp(F.col("t") * z))
-            row = d.filter(F.col("_b") == bi).agg(
-                F.count(F.lit(1)).alias("n"), F.sum(coef).alias("sc"),
-                F.array(*[F.sum(coef * F.col("x")[i]) for i in range(dim)]).alias("g")).first()
-            n = max(row["n"], 1)
-            g = np.array(row["g"] if row["n"] else np.zeros(dim), dtype=float)
-            w = w * (1 - eta * alpha) + eta * g / n
-            b = b + eta * (row["sc"] or 0.0) / n
+
+            def fn(X, pdf, w=w, b=b):
+                tt = pdf["t"].to_numpy()
+                z = X @ w + b
+                c = np.where(tt * z < 1, tt, 0.0) if loss == "hinge" else tt / (1 + np.exp(tt * z))
+                return np.concatenate([(c[:, None] * X).sum(0), [c.sum(), len(tt)]])
+            s = sum_pass(d.filter(F.col("_b") == bi), fn, dim + 2)
+            n = max(s[-1], 1.0)
+            w = w * (1 - eta * alpha) + eta * s[:dim] / n
+            b = b + eta * s[dim] / n
     d.unpersist()
     return LinearFit(w, float(b))
 
@@ -328,30 +334,27 @@ def sgd_classifier(df: DataFrame, vec: str, label01: str, loss: str = "hinge",
 def linear_svr(df: DataFrame, vec: str, label: str, epsilon: float = 0.5, C: float = 1.0,
                eta0: float = 0.01, n_epochs: int = 50) -> LinearFit:
     """Epsilon-insensitive linear SVR by subgradient descent; each epoch
-    aggregates the off-margin rows |y - f(x)| > epsilon."""
-    from pyspark.ml.functions import vector_to_array
-    d = df.select(vector_to_array(F.col(vec)).alias("x"), F.col(label).cast("double")
-                  .alias("y")).cache()
+    sums over the off-margin rows |y - f(x)| > epsilon."""
+    d = df.select(_as_array(df, vec).alias("x"), F.col(label).cast("double").alias("y")).cache()
     n = d.count()
     dim = len(d.first()["x"])
     w, b = np.zeros(dim), 0.0
     for epoch in range(n_epochs):
         eta = eta0 / (1 + epoch * 0.1)
-        r = F.col("y") - (_dot_lit("x", w) + F.lit(b))
-        s = F.when(r > epsilon, 1.0).when(r < -epsilon, -1.0).otherwise(0.0)
-        row = d.agg(F.sum(s).alias("ss"),
-                    F.array(*[F.sum(s * F.col("x")[i]) for i in range(dim)]).alias("g")).first()
-        g = np.array(row["g"], dtype=float)
-        w = w - eta * (w / (C * n) - g / n)
-        b = b + eta * (row["ss"] or 0.0) / n
+
+        def fn(X, pdf, w=w, b=b):
+            r = pdf["y"].to_numpy() - (X @ w + b)
+            sg = np.where(r > epsilon, 1.0, np.where(r < -epsilon, -1.0, 0.0))
+            return np.concatenate([(sg[:, None] * X).sum(0), [sg.sum()]])
+        s = sum_pass(d, fn, dim + 1)
+        w = w - eta * (w / (C * n) - s[:dim] / n)
+        b = b + eta * s[dim] / n
     d.unpersist()
     return LinearFit(w, float(b))
 
 
 def off_margin(df: DataFrame, vec: str, label: str, fit: LinearFit, epsilon: float) -> DataFrame:
-    from pyspark.ml.functions import vector_to_array
-    r = F.col(label) - (_dot_lit(vector_to_array(F.col(vec)), fit.coef) + F.lit(fit.intercept))
-    return df.filter(F.abs(r) > epsilon)
+    return df.filter(F.abs(F.col(label) - fit.predict_expr(vec)) > epsilon)
 
 
 # ---------------------------------------------------------------- T13
