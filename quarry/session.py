@@ -59,3 +59,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (survives executor loss) to cut long lineages."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint location (never a
+    machine-local temp folder on a cluster)."""
+    import uuid
+    base = checkpoint_dir(spark).rstrip("/")
+    return f"{base}/scratch/{name}-{uuid.uuid4().hex[:12]}"
