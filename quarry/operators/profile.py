@@ -163,12 +163,20 @@ def boxplot_stats(df: DataFrame, col: str, group: str, whisker: float = 1.5) ->
 
 
 # ---------------------------------------------------------------- P9 / P10
+def safe_corr(a: str, b: str):
+    """Pearson over rows where both are non-null; NULL (not an ANSI
+    division error) for a constant column."""
+    both = F.col(a).isNotNull() & F.col(b).isNotNull()
+    x = F.when(both, F.col(a).cast("double"))
+    y = F.when(both, F.col(b).cast("double"))
+    return F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
+
+
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pairwise-complete Pearson correlations, all pairs in ONE agg."""
     cols = list(cols)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    one = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{k}")
-                   for k, (a, b) in enumerate(pairs)])
+    one = df.agg(*[safe_corr(a, b).alias(f"c{k}") for k, (a, b) in enumerate(pairs)])
     structs = []
     for k, (a, b) in enumerate(pairs):
         structs.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
@@ -181,8 +189,7 @@ def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def corr_with(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
     """P10: correlation of each column with the target, sorted descending."""
-    one = df.agg(*[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(c)
-                   for c in cols])
+    one = df.agg(*[safe_corr(c, target).alias(c) for c in cols])
     return (one.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).alias("corr")) for c in cols])).alias("r"))
         .select("r.*").orderBy(F.col("corr").desc()))

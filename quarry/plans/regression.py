@@ -38,6 +38,9 @@ def preparation(num=LP_NUMERIC, cat=("l_returnflag",)) -> Pipeline:
 
 def regression_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = prepared_split(spark, sf_dir)
+    # the fit runs several aggregation jobs over the training rows: keep them
+    # (MEMORY_AND_DISK, recomputed from the scan if an executor is lost)
+    train = train.persist()
     prep = preparation().fit(train)
     tr = prep.transform(train)
     fit = L.fit_linear(tr, "features", "y_rule")
@@ -45,7 +48,8 @@ def regression_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     se = scored.select(F.pow(F.col("y_rule") - F.col("pred"), 2).alias("se"))
     m = se.count()
     q = P.t_ppf(0.975, m - 1)
-    return P.interval_frame(se, "se", q).withColumn("n_features", F.lit(len(fit.coef)))
+    out = P.interval_frame(se, "se", q).withColumn("n_features", F.lit(len(fit.coef)))
+    return out
 
 
 @query("l1_regression_report")

@@ -31,8 +31,34 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
     return reader.format(fmt).load(path)
 
 
+# tables whose rows carry long text: per-row CPU cost is high (regexes), so a
+# scan that lands in one task is worth a round-robin over the cores
+TEXT_TABLES = ("documents", "pages", "conversations")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
+
+
+SPREAD_MIN_BYTES = 8 << 20
+
+
+def spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
+    """Round-robin a scan over the cores when it comes from fewer files than
+    there are task slots and is big enough to matter (a single-row-group
+    file is read by ONE task).  A cluster scan of many files is left alone,
+    so this adds no shuffle at scale; filters and column pruning still pass
+    through the repartition to the Parquet reader."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    try:
+        n_files = len(df.inputFiles())
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:
+        return df
+    if n_files < slots and size >= min_bytes:
+        return df.repartition(slots)
+    return df
 
 
 # ---------------------------------------------------------------- LP view
