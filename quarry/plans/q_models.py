@@ -456,3 +456,24 @@ def g7_final_test(spark, sf):
     best, res = G.grid_search(lr, G.grid(lr, {"regParam": [0.0, 0.1]}), ev, tr)
     score = G.final_evaluation(best, d.filter("part = 1"), ev)
     return res.withColumn("test_rmse_of_best", F.lit(score))
+
+
+@query("t13_learning_curve")
+def t13_learning_curve(spark, sf):
+    d = _lp(spark, sf)
+    lc = L.learning_curve(d, "features", "y_rule", ["l_orderkey", "l_partkey", "l_suppkey",
+                                                    "l_linenumber", "l_extendedprice"], 8)
+    return spark.createDataFrame(lc, "n_train long, train_rmse double, val_rmse double")
+
+
+@query("u2_custom_predictor")
+def u2_custom_predictor(spark, sf):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from quarry.operators.custom import LinearSVMClassifier
+    e = _emb(spark, sf).withColumn("label", (F.col("c_rule") == 0).cast("double"))
+    est = LinearSVMClassifier(C=10.0, epochs=5, eta0=1.0, etaD=10.0)
+    m = est.fit(e)
+    auc = BinaryClassificationEvaluator().evaluate(m.transform(e))
+    tuned = est.copy({est.C: 1.0})              # U5: copy with a param map
+    return m.transform(e).select("vec_id", "prediction").withColumn("train_auc", F.lit(auc)) \
+        .withColumn("copied_C", F.lit(tuned.getOrDefault(tuned.C)))
