@@ -91,7 +91,8 @@ def score_curve(df: DataFrame, score: str, label: str, n_buckets: int = 1024) ->
         F.sum((1 - _c(label).cast("long"))).alias("neg_at"))
     g = value_bucket(g, "threshold", n_buckets, descending=True)
     c = cumulative(g, "_vb", [F.col("threshold").desc()],
-                   {"tp": F.col("pos_at"), "fp": F.col("neg_at")}, totals=True)
+                   {"tp": F.col("pos_at"), "fp": F.col("neg_at")}, totals=True,
+                   max_buckets=n_buckets)
     return c.withColumnRenamed("tp_total", "P").withColumnRenamed("fp_total", "N").drop("_vb")
 
 

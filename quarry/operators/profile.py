@@ -80,7 +80,8 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
     names = list(names or [f"p{int(round(p * 100))}" for p in probs])
     d = df.select(*group, F.col(col).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
     d = value_bucket(d, "_x", n_buckets)
-    r = cumulative(d, "_vb", ["_x"], {"_r": F.lit(1).cast("long")}, group, totals=True)
+    r = cumulative(d, "_vb", ["_x"], {"_r": F.lit(1).cast("long")}, group, totals=True,
+                   max_buckets=n_buckets)
     conds, aggs = [], []
     for p, nm in zip(probs, names):
         h = (F.col("_r_total") - 1) * float(p)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.hashing import crc32_le, md5_last_byte_le, md5_uniform, xx_u32
-from quarry.operators.window import fast_order, hash_rank, md5_order, sort_positions
+from quarry.operators.window import fast_order, hash_cut, hash_rank, md5_order, sort_positions
 
 
 def _order(seed: int, ids: Sequence[str], portable: bool) -> Column:
@@ -29,12 +29,12 @@ def split_random(df: DataFrame, test_ratio: float, ids: Sequence[str], seed: int
     Returns (train, test).
     """
     ids = list(ids)
-    r = hash_rank(df, _order(seed, ids, portable), ids)
-    n_test = F.ceil(F.col("_n") * test_ratio) if rounding == "ceil" else \
-        F.floor(F.col("_n") * test_ratio)
-    r = r.withColumn("_test", F.col("_rank") <= n_test)
-    test = r.filter("_test").drop("_rank", "_n", "_test")
-    train = r.filter(~F.col("_test")).drop("_rank", "_n", "_test")
+
+    def quota(n):
+        return [F.ceil(n * test_ratio) if rounding == "ceil" else F.floor(n * test_ratio)]
+    r = hash_cut(df, _order(seed, ids, portable), ids, quota, out="_part")
+    test = r.filter(F.col("_part") == 0).drop("_part")
+    train = r.filter(F.col("_part") == 1).drop("_part")
     return train, test
 
 
@@ -63,9 +63,9 @@ def split_stratified(df: DataFrame, strata: Sequence[str], test_size: float,
                      out: str = "in_test") -> DataFrame:
     """T4: exact per-stratum test counts round(n_s * r), members by hash order."""
     ids = list(ids)
-    r = hash_rank(df, _order(seed, ids, portable), ids, strata=strata)
-    return r.withColumn(out, F.col("_rank") <= stratum_quota(F.col("_n"), test_size)) \
-            .drop("_rank", "_n")
+    r = hash_cut(df, _order(seed, ids, portable), ids,
+                 lambda n: [stratum_quota(n, test_size)], strata=strata, out="_part")
+    return r.withColumn(out, F.col("_part") == 0).drop("_part")
 
 
 def split_stratified_sizes(df: DataFrame, strata: Sequence[str], test_total: int,
@@ -97,15 +97,12 @@ def split_three_way(df: DataFrame, fractions: Sequence[float], ids: Sequence[str
                     seed: int = 42, portable: bool = False, out: str = "part") -> DataFrame:
     """train/valid/test (any number of parts) with exact cut points."""
     ids = list(ids)
-    r = hash_rank(df, _order(seed, ids, portable), ids)
     cum, acc = [], 0.0
     for f in fractions[:-1]:
         acc += f
         cum.append(acc)
-    part = F.lit(len(fractions) - 1)
-    for i in reversed(range(len(cum))):
-        part = F.when(F.col("_rank") <= F.floor(F.col("_n") * cum[i] + 1e-9), i).otherwise(part)
-    return r.withColumn(out, part.cast("int")).drop("_rank", "_n")
+    return hash_cut(df, _order(seed, ids, portable), ids,
+                    lambda n: [F.floor(n * c + 1e-9) for c in cum], out=out)
 
 
 def kfold(df: DataFrame, k: int, ids: Sequence[str], stratify: str | None = None,
@@ -137,9 +134,9 @@ def shuffle_split(df: DataFrame, n_sets: int, size: int, ids: Sequence[str],
     if keep < 1.0 and short.take(1):
         thin = rep.filter((u < F.lit(keep)) | F.col(out).isin(
             [r[0] for r in short.collect()]))
-    ranked = hash_rank(thin, xx_u32(F.col(out), *ids, seed=seed), ids, strata=[out],
-                       with_size=False)
-    return ranked.filter(F.col("_rank") <= size).drop("_rank")
+    cut = hash_cut(thin, xx_u32(F.col(out), *ids, seed=seed), ids, lambda _: [F.lit(size)],
+                   strata=[out], out="_part", n_strata=n_sets)
+    return cut.filter(F.col("_part") == 0).drop("_part")
 
 
 def poisson_thresholds(lam: float, tol: float = 1e-12, cap: int = 64) -> list[float]:
@@ -168,8 +165,9 @@ def bootstrap(df: DataFrame, n_replicas: int, ids: Sequence[str], max_samples: f
 def sample_without_replacement(df: DataFrame, n: int, ids: Sequence[str], seed: int = 42,
                                portable: bool = True) -> DataFrame:
     """Exactly n rows, chosen by hash order."""
-    r = hash_rank(df, _order(seed, list(ids), portable), list(ids), with_size=False)
-    return r.filter(F.col("_rank") <= n).drop("_rank")
+    r = hash_cut(df, _order(seed, list(ids), portable), list(ids), lambda _: [F.lit(n)],
+                 out="_part")
+    return r.filter(F.col("_part") == 0).drop("_part")
 
 
 def shuffle(df: DataFrame, ids: Sequence[str], seed: int = 42, portable: bool = True,

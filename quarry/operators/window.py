@@ -27,8 +27,26 @@ def _cols(xs):
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
+TOTALS_BROADCAST_ROWS = 2_000_000
+
+
+def null_safe_join(d: DataFrame, small: DataFrame, keys: Sequence[str],
+                   broadcast: bool = False) -> DataFrame:
+    """Inner equi-join on ``keys`` with <=> so a NULL stratum is a group of
+    its own instead of being dropped."""
+    ren = {k: f"_jk_{k}" for k in keys}
+    t = small
+    for k, v in ren.items():
+        t = t.withColumnRenamed(k, v)
+    if broadcast:
+        t = F.broadcast(t)
+    cond = [F.col(k).eqNullSafe(F.col(v)) for k, v in ren.items()]
+    return d.join(t, cond).drop(*ren.values())
+
+
 def cumulative(df: DataFrame, bucket: Column, order: Sequence, sums: dict,
-               strata: Sequence[str] = (), totals: bool = False) -> DataFrame:
+               strata: Sequence[str] = (), totals: bool = False,
+               max_buckets: int = 2 ** 16, n_strata: int | None = None) -> DataFrame:
     """Add inclusive running sums ``sums`` (name -> Column) in ``order``.
 
     ``bucket`` must be monotone in ``order`` (a < b in order => bucket(a) <=
@@ -46,10 +64,12 @@ def cumulative(df: DataFrame, bucket: Column, order: Sequence, sums: dict,
     tot = tot.select(*strata, "_bkt", *[
         F.coalesce(F.sum(f"_t_{n}").over(wb), F.lit(0)).alias(f"_b_{n}") for n in names],
         *([F.sum(f"_t_{n}").over(wt).alias(f"{n}_total") for n in names] if totals else []))
-    if not strata:
-        # at most 2^HASH_BITS (or the quantile count) rows: a proven bound
-        tot = F.broadcast(tot)
-    d = d.join(tot, [*strata, "_bkt"])
+    # the totals table has at most n_strata x max_buckets rows: broadcast it
+    # when that bound is small, otherwise join it by a shuffle
+    if strata and n_strata is None:
+        n_strata = df.select(*strata).distinct().count()
+    small = (n_strata or 1) * max_buckets <= TOTALS_BROADCAST_ROWS
+    d = null_safe_join(d, tot, [*strata, "_bkt"], broadcast=small)
     wr = (Window.partitionBy(*strata, "_bkt").orderBy(*_cols(order))
           .rowsBetween(Window.unboundedPreceding, 0))
     for n in names:
@@ -57,6 +77,48 @@ def cumulative(df: DataFrame, bucket: Column, order: Sequence, sums: dict,
     return d.drop("_bkt", *[f"_v_{n}" for n in names], *[f"_b_{n}" for n in names])
 
 
+def hash_cut(df: DataFrame, order_u32: Column, tiebreak: Sequence, cuts,
+             strata: Sequence[str] = (), out: str = "part", bits: int | None = None,
+             n_strata: int | None = None) -> DataFrame:
+    """Exact "which of the quota intervals does the row's rank fall in",
+    without ranking every row.
+
+    ``cuts(n)`` maps the stratum size (Column) to non-decreasing quotas
+    q_1..q_m; ``out`` = #{i : rank > q_i}.  Bucket totals + prefix sums
+    (strata x 2^bits rows, broadcast) settle every bucket that lies fully on
+    one side of every quota; only rows of the (at most m per stratum)
+    boundary buckets are ranked, by a window over those rows alone.  The
+    bulk of the data is never shuffled.
+    """
+    import math
+    strata = list(strata)
+    if n_strata is None:
+        n_strata = df.select(*strata).distinct().count() if strata else 1
+    if bits is None:
+        bits = int(max(4, min(HASH_BITS, math.floor(math.log2(
+            TOTALS_BROADCAST_ROWS / max(n_strata, 1))))))
+    d = df.withColumn("_h", order_u32).withColumn("_bkt", F.shiftright(F.col("_h"), 32 - bits))
+    tot = d.groupBy(*strata, "_bkt").agg(F.count(F.lit(1)).alias("_c"))
+    wb = Window.partitionBy(*strata).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    tot = tot.select(*strata, "_bkt", "_c",
+                     F.coalesce(F.sum("_c").over(wb), F.lit(0)).alias("_before"),
+                     F.sum("_c").over(Window.partitionBy(*strata)).alias("_n"))
+    qs = cuts(F.col("_n"))
+    lo = sum((F.when(F.col("_before") >= q, 1).otherwise(0) for q in qs), F.lit(0))
+    hi = sum((F.when(F.col("_before") + F.col("_c") > q, 1).otherwise(0) for q in qs), F.lit(0))
+    tot = tot.withColumn("_lo", lo).withColumn("_hi", hi)
+    small = n_strata * (2 ** bits) <= TOTALS_BROADCAST_ROWS
+    j = null_safe_join(d, tot, [*strata, "_bkt"], broadcast=small)
+    sure = j.filter(F.col("_lo") == F.col("_hi")).withColumn(out, F.col("_lo"))
+    w = Window.partitionBy(*strata, "_bkt").orderBy(F.col("_h"), *_cols(tiebreak))
+    unsure = j.filter(F.col("_lo") < F.col("_hi")).withColumn(
+        "_rank", F.col("_before") + F.row_number().over(w))
+    unsure = unsure.withColumn(out, sum((F.when(F.col("_rank") > q, 1).otherwise(0)
+                                         for q in cuts(F.col("_n"))), F.lit(0))).drop("_rank")
+    helpers = ["_h", "_bkt", "_c", "_before", "_n", "_lo", "_hi"]
+    return sure.unionByName(unsure).withColumn(out, F.col(out).cast("int")).drop(*helpers)
+
+
 def stratum_sizes(df: DataFrame, strata: Sequence[str], name: str = "_n") -> DataFrame:
     return df.groupBy(*strata).agg(F.count(F.lit(1)).alias(name))
 
@@ -71,7 +133,8 @@ def hash_rank(df: DataFrame, order_u32: Column, tiebreak: Sequence,
     """
     d = df.withColumn("_h", order_u32)
     out = cumulative(d, F.shiftright(F.col("_h"), 32 - bits), ["_h", *tiebreak],
-                     {name: F.lit(1).cast("long")}, strata, totals=with_size)
+                     {name: F.lit(1).cast("long")}, strata, totals=with_size,
+                     max_buckets=2 ** bits)
     if with_size:
         out = out.withColumnRenamed(f"{name}_total", "_n")
     return out.drop("_h")
@@ -128,7 +191,8 @@ def sort_positions(df: DataFrame, col: str, tiebreak: Sequence[str], out: str =
     """Exact 1-based position in a global sort without one-partition sort."""
     d = value_bucket(df, col, n_buckets, descending=descending)
     key = F.col(col).desc() if descending else F.col(col).asc()
-    return cumulative(d, "_vb", [key, *tiebreak], {out: F.lit(1).cast("long")}).drop("_vb")
+    return cumulative(d, "_vb", [key, *tiebreak], {out: F.lit(1).cast("long")},
+                      max_buckets=n_buckets).drop("_vb")
 
 
 # ---------------------------------------------------------------- W4
@@ -181,7 +245,8 @@ def ordered_by_group(df: DataFrame, group: str, by: str, tiebreak: Sequence[str]
     """Position of each row inside its group in ``by`` order (silhouette
     diagram layout).  A hot group is spread over global value buckets."""
     d = value_bucket(df, by)
-    return cumulative(d, "_vb", [by, *tiebreak], {out: F.lit(1).cast("long")}, [group]).drop("_vb")
+    return cumulative(d, "_vb", [by, *tiebreak], {out: F.lit(1).cast("long")}, [group],
+                      max_buckets=1024).drop("_vb")
 
 
 # ---------------------------------------------------------------- W9
