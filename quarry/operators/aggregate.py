@@ -120,6 +120,29 @@ def _vec_matrix(s: pd.Series) -> np.ndarray:
     return np.stack([_as_dense(v) for v in s])
 
 
+def vector_width(df: DataFrame, vec: str) -> int:
+    """Length of a vector / array column (ML metadata, else the first row)."""
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.linalg import VectorUDT
+    meta = df.schema[vec].metadata.get("ml_attr", {})
+    if "num_attrs" in meta:
+        return int(meta["num_attrs"])
+    c = vector_to_array(F.col(vec)) if isinstance(df.schema[vec].dataType, VectorUDT) else F.col(vec)
+    r = df.select(F.size(c)).first()
+    return int(r[0]) if r else 0
+
+
+def expand_vector(df: DataFrame, vec: str, prefix: str = "_x") -> tuple[DataFrame, list[str]]:
+    """Vector / array column -> one double column per slot, so Arrow ships a
+    plain columnar batch and numpy gets it without per-row conversion."""
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.linalg import VectorUDT
+    d = vector_width(df, vec)
+    c = vector_to_array(F.col(vec)) if isinstance(df.schema[vec].dataType, VectorUDT) else F.col(vec)
+    names = [f"{prefix}{i}" for i in range(d)]
+    return df.select("*", *[c[i].cast("double").alias(n) for i, n in enumerate(names)]), names
+
+
 def gram(df: DataFrame, vec: str, label: str | None = None, weight: str | None = None,
          group: str | None = None) -> dict:
     """A7 (vectors): X'X, X'y, sums and counts in one distributed pass.
@@ -128,17 +151,17 @@ def gram(df: DataFrame, vec: str, label: str | None = None, weight: str | None =
     value); a groupBy-sum merges them on the executors (tree merge).  Only the
     d x d result reaches the driver.  With ``group`` returns {group: Moments}.
     """
-    cols = [vec] + ([label] if label else []) + ([weight] if weight else []) + \
-        ([group] if group else [])
-    d_ = df.select(*cols)
+    base = df.select(vec, *[c for c in (label, weight, group) if c])
+    wide, xs = expand_vector(base, vec)
+    d_ = wide.select(*xs, *[c for c in (label, weight, group) if c])
 
     def part(it):
         acc = {}
         for pdf in it:
-            keys = pdf[group].to_numpy() if group else np.zeros(len(pdf), dtype=np.int64)
-            X_all = _vec_matrix(pdf[vec])
-            if X_all.size == 0:
+            if len(pdf) == 0:
                 continue
+            keys = pdf[group].to_numpy() if group else np.zeros(len(pdf), dtype=np.int64)
+            X_all = pdf[xs].to_numpy(dtype=np.float64)
             y_all = pdf[label].to_numpy(dtype=np.float64) if label else np.zeros(len(pdf))
             w_all = pdf[weight].to_numpy(dtype=np.float64) if weight else np.ones(len(pdf))
             for g in np.unique(keys):

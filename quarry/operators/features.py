@@ -59,7 +59,7 @@ class Imputer(Estimator, HasInputCols, HasOutputCols, DefaultParamsReadable,
                 F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v"))
                 for c in cols])).alias("r")).select("r.*")
             q = {r["c"]: r["m"] for r in
-                 exact_quantiles(long, "v", [0.5], ["c"], ["m"]).collect()}
+                 exact_quantiles(long, "v", [0.5], ["c"], ["m"], n_groups=len(cols)).collect()}
             vals = [q.get(c) for c in cols]
         elif how == "most_frequent":
             vals = []

@@ -69,34 +69,51 @@ def compare_proportions(full: DataFrame, parts: dict, col: str) -> DataFrame:
 # ---------------------------------------------------------------- exact quantiles
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
                     group: Sequence[str] = (), names: Sequence[str] | None = None,
-                    n_buckets: int = 1024) -> DataFrame:
+                    n_buckets: int = 1024, n_groups: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (numpy 'linear' rule).
 
-    Ranks come from ``cumulative`` (value buckets + per-bucket windows), then
-    only the <= 2 rows per probability and group that straddle the target
-    position are aggregated.  No task holds a whole group.
+    1. approximate-quantile value buckets (only bucket edges reach the driver),
+    2. per (group, bucket) counts and their prefix sums (a small table),
+    3. the <= 2 buckets per probability and group that hold the two order
+       statistics straddling position (n - 1) p are selected from that table,
+    4. only rows of those buckets are ranked (window over a tiny subset) and
+       the straddling pair is interpolated.
+    The bulk of the data is scanned, never shuffled, and no task holds a
+    whole group.
     """
+    from quarry.operators.window import TOTALS_BROADCAST_ROWS, null_safe_join, value_bucket
     group = list(group)
     names = list(names or [f"p{int(round(p * 100))}" for p in probs])
     d = df.select(*group, F.col(col).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
     d = value_bucket(d, "_x", n_buckets)
-    r = cumulative(d, "_vb", ["_x"], {"_r": F.lit(1).cast("long")}, group, totals=True,
-                   max_buckets=n_buckets)
-    conds, aggs = [], []
+    tot = d.groupBy(*group, "_vb").agg(F.count(F.lit(1)).alias("_c"))
+    wb = Window.partitionBy(*group).orderBy("_vb").rowsBetween(Window.unboundedPreceding, -1)
+    tot = tot.select(*group, "_vb", "_c", F.coalesce(F.sum("_c").over(wb), F.lit(0))
+                     .alias("_before"), F.sum("_c").over(Window.partitionBy(*group)).alias("_n"))
+    holds = []
+    for p in probs:
+        h = (F.col("_n") - 1) * float(p)
+        lo = F.floor(h) + 1
+        hi = F.least(lo + 1, F.col("_n"))
+        for r in (lo, hi):
+            holds.append((F.col("_before") < r) & (r <= F.col("_before") + F.col("_c")))
+    need = tot.filter(_any(holds))
+    if group and n_groups is None:
+        n_groups = df.select(*group).distinct().count()
+    small = (n_groups or 1) * len(probs) * 2 <= TOTALS_BROADCAST_ROWS
+    sub = null_safe_join(d, need, [*group, "_vb"], broadcast=small)
+    w = Window.partitionBy(*group, "_vb").orderBy("_x")
+    r = sub.withColumn("_r", F.col("_before") + F.row_number().over(w))
+    aggs = []
     for p, nm in zip(probs, names):
-        h = (F.col("_r_total") - 1) * float(p)
+        h = (F.col("_n") - 1) * float(p)
         lo = F.floor(h) + 1
-        hi = F.least(lo + 1, F.col("_r_total"))
-        frac = h - F.floor(h)
-        conds.append((F.col("_r") == lo) | (F.col("_r") == hi))
-        r = r.withColumn(f"_lo_{nm}", lo).withColumn(f"_hi_{nm}", hi).withColumn(f"_f_{nm}", frac)
-    pick = r.filter(_any(conds))
-    for nm in names:
-        vlo = F.max(F.when(F.col("_r") == F.col(f"_lo_{nm}"), F.col("_x")))
-        vhi = F.max(F.when(F.col("_r") == F.col(f"_hi_{nm}"), F.col("_x")))
-        fr = F.max(F.col(f"_f_{nm}"))
+        hi = F.least(lo + 1, F.col("_n"))
+        vlo = F.max(F.when(F.col("_r") == lo, F.col("_x")))
+        vhi = F.max(F.when(F.col("_r") == hi, F.col("_x")))
+        fr = F.max(h - F.floor(h))
         aggs.append((vlo + (vhi - vlo) * fr).alias(nm))
-    return pick.groupBy(*group).agg(*aggs)
+    return r.groupBy(*group).agg(*aggs)
 
 
 def _any(conds):
@@ -127,7 +144,8 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     melted = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v"))
         for c in cols])).alias("r")).select("r.*")
-    q = exact_quantiles(melted, "v", [0.25, 0.5, 0.75], ["column"], ["p25", "p50", "p75"])
+    q = exact_quantiles(melted, "v", [0.25, 0.5, 0.75], ["column"], ["p25", "p50", "p75"],
+                        n_groups=len(cols))
     return long.join(q, "column", "left")
 
 

@@ -60,11 +60,14 @@ def stratum_quota(n: Column, size) -> Column:
 
 def split_stratified(df: DataFrame, strata: Sequence[str], test_size: float,
                      ids: Sequence[str], seed: int = 42, portable: bool = True,
-                     out: str = "in_test") -> DataFrame:
-    """T4: exact per-stratum test counts round(n_s * r), members by hash order."""
+                     out: str = "in_test", n_strata: int | None = None) -> DataFrame:
+    """T4: exact per-stratum test counts round(n_s * r), members by hash order.
+    ``n_strata`` (an upper bound, e.g. bins + 1 for a NULL bin) skips the
+    distinct-count job."""
     ids = list(ids)
     r = hash_cut(df, _order(seed, ids, portable), ids,
-                 lambda n: [stratum_quota(n, test_size)], strata=strata, out="_part")
+                 lambda n: [stratum_quota(n, test_size)], strata=strata, out="_part",
+                 n_strata=n_strata)
     return r.withColumn(out, F.col("_part") == 0).drop("_part")
 
 

@@ -27,7 +27,11 @@ QTY_EDGES = [0.0, 10.0, 20.0, 30.0, 40.0, float("inf")]
 def prepared_split(spark: SparkSession, sf_dir: str, test_size: float = 0.2):
     lp = lp_view(spark, sf_dir, nulls=True).withColumn(
         "qty_cat", C.bucket("l_quantity", QTY_EDGES, [1, 2, 3, 4, 5]))
-    s = T.split_stratified(lp, ["qty_cat"], test_size, LP_IDS, seed=42, portable=False)
+    s = T.split_stratified(lp, ["qty_cat"], test_size, LP_IDS, seed=42, portable=False,
+                           n_strata=len(QTY_EDGES))
+    # train and test both come from ONE evaluation of the split (the exact
+    # cut scans its input three times); MEMORY_AND_DISK, recomputable on loss
+    s = s.persist()
     return s.filter(~F.col("in_test")).drop("in_test"), s.filter("in_test").drop("in_test")
 
 
@@ -38,9 +42,6 @@ def preparation(num=LP_NUMERIC, cat=("l_returnflag",)) -> Pipeline:
 
 def regression_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = prepared_split(spark, sf_dir)
-    # the fit runs several aggregation jobs over the training rows: keep them
-    # (MEMORY_AND_DISK, recomputed from the scan if an executor is lost)
-    train = train.persist()
     prep = preparation().fit(train)
     tr = prep.transform(train)
     fit = L.fit_linear(tr, "features", "y_rule")
