@@ -46,10 +46,13 @@ def info(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- P3 / P4
 def value_counts(df: DataFrame, col: str, normalize: bool = True) -> DataFrame:
     """Counts per value (nulls dropped), optional share of the total.
-    The share window runs over the grouped result (one row per category)."""
-    g = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("count"))
+    The total is one scalar aggregate, not a window over all categories
+    (which would put a high-cardinality column in one task)."""
+    d = df.filter(F.col(col).isNotNull())
+    g = d.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
     if normalize:
-        g = g.withColumn("share", F.col("count") / F.sum("count").over(Window.partitionBy()))
+        total = d.count()
+        g = g.withColumn("share", F.col("count") / F.lit(float(total) if total else None))
     return g
 
 

@@ -170,10 +170,22 @@ def value_bucket(df: DataFrame, col: str, n_buckets: int = 1024, out: str = "_vb
 # ---------------------------------------------------------------- W1
 def running_mean(df: DataFrame, key: str, order: Sequence[str], value: str,
                  out: str = "running_mean") -> DataFrame:
-    """Cumulative mean per series (sum / index)."""
-    w = (Window.partitionBy(key).orderBy(*order)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return df.withColumn(out, F.avg(value).over(w))
+    """Cumulative mean per series (running sum / running count).
+
+    Rows are bucketed by approximate quantiles of the first order column, so
+    a series holding a third of all rows is spread over the buckets instead
+    of one window task; ``order`` must be a total order inside a series."""
+    first = order[0]
+    d = df.withColumn("_o", F.col(first).cast("double") if dict(df.dtypes)[first] not in
+                      ("timestamp", "timestamp_ntz", "date") else F.unix_micros(
+                          F.col(first).cast("timestamp")).cast("double"))
+    d = value_bucket(d, "_o", 1024)
+    c = cumulative(d, "_vb", [F.col(o) for o in order],
+                   {"_rs": F.col(value).cast("double"),
+                    "_rc": F.when(F.col(value).isNotNull(), 1).otherwise(0).cast("long")},
+                   [key], max_buckets=1024)
+    return c.withColumn(out, F.try_divide(F.col("_rs"), F.col("_rc"))).drop("_o", "_vb", "_rs",
+                                                                            "_rc")
 
 
 # ---------------------------------------------------------------- W2
