@@ -151,9 +151,15 @@ def gram(df: DataFrame, vec: str, label: str | None = None, weight: str | None =
     value); a groupBy-sum merges them on the executors (tree merge).  Only the
     d x d result reaches the driver.  With ``group`` returns {group: Moments}.
     """
+    from pyspark.ml.linalg import VectorUDT
     base = df.select(vec, *[c for c in (label, weight, group) if c])
-    wide, xs = expand_vector(base, vec)
-    d_ = wide.select(*xs, *[c for c in (label, weight, group) if c])
+    if isinstance(df.schema[vec].dataType, VectorUDT):
+        # ML vectors arrive through Arrow as structs (one dict per row):
+        # expand to one column per slot instead
+        wide, xs = expand_vector(base, vec)
+        d_ = wide.select(*xs, *[c for c in (label, weight, group) if c])
+    else:                       # array<double>: numpy arrays per row, stacked
+        xs, d_ = None, base
 
     def part(it):
         acc = {}
@@ -161,7 +167,7 @@ def gram(df: DataFrame, vec: str, label: str | None = None, weight: str | None =
             if len(pdf) == 0:
                 continue
             keys = pdf[group].to_numpy() if group else np.zeros(len(pdf), dtype=np.int64)
-            X_all = pdf[xs].to_numpy(dtype=np.float64)
+            X_all = pdf[xs].to_numpy(dtype=np.float64) if xs else _vec_matrix(pdf[vec])
             y_all = pdf[label].to_numpy(dtype=np.float64) if label else np.zeros(len(pdf))
             w_all = pdf[weight].to_numpy(dtype=np.float64) if weight else np.ones(len(pdf))
             for g in np.unique(keys):
