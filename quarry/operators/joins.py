@@ -196,3 +196,42 @@ def complement(df: DataFrame, subset: DataFrame, on: Sequence[str]) -> DataFrame
 def restrict(df: DataFrame, members: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows whose key is in ``members`` (left semi join)."""
     return df.join(members.select(*on), list(on), "left_semi")
+
+
+# ---------------------------------------------------------------- J5 / J6 approximate
+def _lsh(bucket_length: float, n_tables: int, seed: int):
+    from pyspark.ml.feature import BucketedRandomProjectionLSH
+    return BucketedRandomProjectionLSH(inputCol="_v", outputCol="_hashes",
+                                       bucketLength=bucket_length, numHashTables=n_tables,
+                                       seed=seed)
+
+
+def radius_join_lsh(df: DataFrame, id_col: str, vec: str, eps: float,
+                    bucket_length: float | None = None, n_tables: int = 4,
+                    seed: int = 42) -> DataFrame:
+    """J6 (approximate, high-d): MLlib random-projection LSH similarity join;
+    candidate pairs share a hash bucket, so there is no block replication.
+    Pairs can be missed (recall < 1), never invented (distances are exact)."""
+    from pyspark.ml.functions import array_to_vector
+    d = df.select(F.col(id_col).cast("long").alias("id"), array_to_vector(F.col(vec)).alias("_v"))
+    m = _lsh(bucket_length or 2.0 * eps, n_tables, seed).fit(d)
+    j = m.approxSimilarityJoin(d, d, eps, distCol="dist")
+    return j.select(F.col("datasetA.id").alias("id_a"), F.col("datasetB.id").alias("id_b"),
+                    "dist").filter(F.col("id_a") != F.col("id_b"))
+
+
+def knn_join_lsh(query: DataFrame, base: DataFrame, k: int, id_col: str, vec: str,
+                 radius: float, bucket_length: float | None = None, n_tables: int = 4,
+                 exclude_self: bool = False, seed: int = 42) -> DataFrame:
+    """J5 (approximate): LSH candidates within ``radius``, then the k nearest
+    per query.  Rows with fewer than k candidates get fewer neighbours."""
+    from pyspark.ml.functions import array_to_vector
+    q = query.select(F.col(id_col).cast("long").alias("id"), array_to_vector(F.col(vec)).alias("_v"))
+    b = base.select(F.col(id_col).cast("long").alias("id"), array_to_vector(F.col(vec)).alias("_v"))
+    m = _lsh(bucket_length or radius, n_tables, seed).fit(b)
+    j = m.approxSimilarityJoin(q, b, radius, distCol="dist").select(
+        F.col("datasetA.id").alias("qid"), F.col("datasetB.id").alias("nid"), "dist")
+    if exclude_self:
+        j = j.filter(F.col("qid") != F.col("nid"))
+    w = Window.partitionBy("qid").orderBy("dist", "nid")
+    return j.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
