@@ -89,24 +89,32 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
     names = list(names or [f"p{int(round(p * 100))}" for p in probs])
     d = df.select(*group, F.col(col).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
     d = value_bucket(d, "_x", n_buckets)
-    tot = d.groupBy(*group, "_vb").agg(F.count(F.lit(1)).alias("_c"))
+    tot = d.groupBy(*group, "_vb").agg(F.count(F.lit(1)).alias("_c"), F.min("_x").alias("_mn"),
+                                       F.max("_x").alias("_mx"))
     wb = Window.partitionBy(*group).orderBy("_vb").rowsBetween(Window.unboundedPreceding, -1)
-    tot = tot.select(*group, "_vb", "_c", F.coalesce(F.sum("_c").over(wb), F.lit(0))
-                     .alias("_before"), F.sum("_c").over(Window.partitionBy(*group)).alias("_n"))
-    holds = []
+    tot = tot.select(*group, "_vb", "_c", "_mn", "_mx",
+                     F.coalesce(F.sum("_c").over(wb), F.lit(0)).alias("_before"),
+                     F.sum("_c").over(Window.partitionBy(*group)).alias("_n"))
+    targets = []
     for p in probs:
         h = (F.col("_n") - 1) * float(p)
         lo = F.floor(h) + 1
-        hi = F.least(lo + 1, F.col("_n"))
-        for r in (lo, hi):
-            holds.append((F.col("_before") < r) & (r <= F.col("_before") + F.col("_c")))
+        targets += [lo, F.least(lo + 1, F.col("_n"))]
+    holds = [(F.col("_before") < r) & (r <= F.col("_before") + F.col("_c")) for r in targets]
     need = tot.filter(_any(holds))
     if group and n_groups is None:
         n_groups = df.select(*group).distinct().count()
     small = (n_groups or 1) * len(probs) * 2 <= TOTALS_BROADCAST_ROWS
-    sub = null_safe_join(d, need, [*group, "_vb"], broadcast=small)
+    # a single-valued bucket (e.g. a hot value) answers its ranks without
+    # touching its rows; only buckets with several values are ranked
+    const = need.filter(F.col("_mn") == F.col("_mx")).select(
+        *group, F.explode(F.array(*[F.when(h_, r) for h_, r in zip(holds, targets)])).alias("_r"),
+        F.col("_mn").alias("_x"), "_n").filter(F.col("_r").isNotNull())
+    mixed = need.filter(F.col("_mn") < F.col("_mx")).drop("_mn", "_mx")
+    sub = null_safe_join(d, mixed, [*group, "_vb"], broadcast=small)
     w = Window.partitionBy(*group, "_vb").orderBy("_x")
-    r = sub.withColumn("_r", F.col("_before") + F.row_number().over(w))
+    r = sub.withColumn("_r", F.col("_before") + F.row_number().over(w)).select(
+        *group, "_r", "_x", "_n").unionByName(const)
     aggs = []
     for p, nm in zip(probs, names):
         h = (F.col("_n") - 1) * float(p)

@@ -154,11 +154,17 @@ def value_bucket(df: DataFrame, col: str, n_buckets: int = 1024, out: str = "_vb
     """Add a monotone bucket of a numeric column from approximate quantiles.
 
     Only ``n_buckets`` boundary values reach the driver; MLlib's Bucketizer
-    does the binary search on the executors.  Nulls get their own bucket.
+    does the binary search on the executors.  A value that fills several
+    quantile slots (a hot value) gets a bucket of its own, [v, next double),
+    so it never shares a bucket with other values.  Nulls get their own
+    bucket.
     """
+    import math
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    qs = df.approxQuantile(col, probs, rel_err) if n_buckets > 1 else []
-    splits = [float("-inf"), *sorted(set(float(q) for q in qs)), float("inf")]
+    qs = [float(q) for q in df.approxQuantile(col, probs, rel_err)] if n_buckets > 1 else []
+    hot = {q for q in qs if qs.count(q) > 1}
+    edges = set(qs) | {math.nextafter(v, math.inf) for v in hot}
+    splits = [float("-inf"), *sorted(e for e in edges if math.isfinite(e)), float("inf")]
     tmp = f"{out}_x"
     d = df.withColumn(tmp, F.col(col).cast("double"))
     d = Bucketizer(splits=splits, inputCol=tmp, outputCol=out,

@@ -47,3 +47,14 @@ def test_corr_constant_column_is_null(spark):
     df = spark.createDataFrame([(1.0, 2.0), (2.0, 2.0), (3.0, 2.0)], "a double, b double")
     r = {(x["col_a"], x["col_b"]): x["corr"] for x in P.corr_matrix(df, ["a", "b"]).collect()}
     assert r[("a", "b")] is None or math.isnan(r[("a", "b")])
+
+
+def test_quantiles_with_a_hot_value(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=3000)
+    x[::3] = 0.25                                   # a third of the rows share one value
+    df = spark.createDataFrame([(float(v),) for v in x], "x double")
+    probs = [0.05, 0.3, 0.33, 0.5, 0.6, 0.95]
+    q = P.exact_quantiles(df.repartition(5), "x", probs, names=[f"q{i}" for i in range(6)]).first()
+    for i, p in enumerate(probs):
+        assert math.isclose(q[f"q{i}"], np.quantile(x, p), abs_tol=1e-12)
