@@ -154,6 +154,8 @@ def connected_components(edges: DataFrame, nodes: DataFrame, max_iter: int = 50,
         new = cut_lineage(new) if (it + 1) % checkpoint_every == 0 else new.cache()
         changed = new.join(lab.withColumnRenamed("comp", "old"), "id").filter(
             F.col("comp") != F.col("old")).limit(1).count()
+        if lab.is_cached:
+            lab.unpersist()
         lab = new
         if changed == 0:
             break

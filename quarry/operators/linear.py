@@ -208,6 +208,7 @@ def softmax_bgd(df: DataFrame, vec: str, label: str, k: int, eta: float = 0.1,
     import pandas as pd
     from quarry.operators.aggregate import _vec_matrix
     d = df.select(vec, label).cache()
+    v = val.select(vec, label).cache() if val is not None else None
     dim = len(d.first()[0])
     Th = np.zeros((dim + 1, k))
     best, best_loss, hist = Th.copy(), np.inf, []
@@ -242,11 +243,13 @@ def softmax_bgd(df: DataFrame, vec: str, label: str, k: int, eta: float = 0.1,
         g, loss = grad_job(Th, d)
         reg = alpha * np.vstack([np.zeros((1, k)), Th[1:]])
         Th = Th - eta * (g + reg)
-        vloss = grad_job(Th, val.select(vec, label))[1] if val is not None else loss
+        vloss = grad_job(Th, v)[1] if v is not None else loss
         hist.append(vloss)
         if vloss < best_loss:
             best, best_loss = Th.copy(), vloss
     d.unpersist()
+    if v is not None:
+        v.unpersist()
     return {"theta": best, "loss": best_loss, "history": hist}
 
 

@@ -190,8 +190,8 @@ def m6_log_density(spark, sf):
 
 @query("c16_gmm_sample")
 def c16_gmm_sample(spark, sf):
-    _, m = _fitted(spark, sf)
-    return D.sample(spark, m, 1000)
+    pcs, m = _fitted(spark, sf)
+    return D.sample(spark, m, pcs.count())          # as many new rows as the input has
 
 
 @query("c17_bic_aic")
@@ -213,3 +213,12 @@ def m7_grid_scoring(spark, sf):
     g = M.grid(spark, (lo, hi), (lo2, hi2), 50, 50)
     g = g.withColumn("f", array_to_vector(F.array("x", "y")))
     return m.transform(g).select("cell", "x", "y", "prediction")
+
+
+@query("e12_bic_aic")
+def e12_bic_aic(spark, sf):
+    _, m = _fitted(spark, sf)
+    return spark.createDataFrame([(m.cov_type, m.k, m.n_parameters(), m.log_likelihood,
+                                   m.bic(), m.aic())],
+                                 "cov_type string, k int, n_parameters int, "
+                                 "log_likelihood double, bic double, aic double")

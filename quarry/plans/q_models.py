@@ -148,8 +148,8 @@ def l8_softmax(spark, sf):
 
 @query("l8b_softmax_bgd")
 def l8b_softmax_bgd(spark, sf):
-    e = _emb(spark, sf)
-    tr, va = e.filter(F.pmod("vec_id", F.lit(5)) != 0), e.filter(F.pmod("vec_id", F.lit(5)) == 0)
+    e = T.split_three_way(_emb(spark, sf), [0.8, 0.2], ["vec_id"], out="part")
+    tr, va = e.filter("part = 0"), e.filter("part = 1")
     r = L.softmax_bgd(tr, "features", "c_rule", 3, eta=0.5, n_iter=10, alpha=0.01, val=va)
     return spark.createDataFrame([(i, float(v)) for i, v in enumerate(r["history"])],
                                  "iteration int, val_loss double")
@@ -344,7 +344,7 @@ def l24b_residual_boosting(spark, sf):
 
 @query("l25_gbt_early_stopping")
 def l25_gbt_early_stopping(spark, sf):
-    d = _lp(spark, sf).withColumn("is_val", F.pmod("l_orderkey", F.lit(5)) == 0)
+    d = T.split_by_hash(_lp(spark, sf), "l_orderkey", 0.2, "md5", out="is_val")
     m = TR.gbt_regressor(max_iter=30, step_size=0.3, labelCol="y_rule",
                          validation_col="is_val", seed=42).fit(d)
     return spark.createDataFrame([(m.getNumTrees,)], "n_trees int")

@@ -114,11 +114,12 @@ def d1_online_linear(spark, sf):
 
 @query("d2_minibatch_kmeans")
 def d2_minibatch_kmeans(spark, sf):
+    from quarry.operators.cluster import kmeans_pp_init
     e = emb_view(spark, sf, planted=True)
-    _, cents = collect_centroids(label_centroids(e.withColumn("label", F.col("group"))))
+    inits = [kmeans_pp_init(e, "emb", "vec_id", 5, seed) for seed in (1, 2, 3)]
     stream = _stream_input(spark, e.select("vec_id", "emb"), ["vec_id"])
     store = D.StateStore(spark, scratch_path(spark, "d2-state"))
-    D.minibatch_kmeans(stream, "emb", cents, store, scratch_path(spark, "d2-ckpt"))
+    D.minibatch_kmeans(stream, "emb", inits, store, scratch_path(spark, "d2-ckpt"))
     return store.history()
 
 

@@ -82,24 +82,40 @@ def online_linear(stream: DataFrame, vec: str, label: str, store: StateStore, ch
 def minibatch_kmeans(stream: DataFrame, vec: str, init_centroids, store: StateStore,
                      checkpoint: str) -> None:
     """Mini-batch k-means; a centroid moves toward its batch mean with
-    step count_batch / count_total (per-centre learning rate 1 / n_k)."""
+    step count_batch / count_total (per-centre learning rate 1 / n_k).
+
+    ``init_centroids`` is one k x d list, or a list of several (n_init runs
+    updated side by side on the same batches); the state keeps each run's
+    inertia on the latest batch and ``best`` names the lowest."""
+    inits = init_centroids if np.asarray(init_centroids, dtype=float).ndim == 3 \
+        else [init_centroids]
+
     def handle(batch: DataFrame, batch_id: int):
         prev = store.latest(before=batch_id)
-        cents = np.array(prev["centroids"] if prev else init_centroids, dtype=float)
-        counts = np.array(prev["counts"] if prev else np.zeros(len(cents)), dtype=float)
-        a = nearest_centroid(batch, vec, cents.tolist())
-        dim = cents.shape[1]
-        rows = a.groupBy("cluster").agg(
-            F.count(F.lit(1)).alias("n"), F.sum(F.col("dist") * F.col("dist")).alias("sse"),
-            F.array(*[F.sum(F.col(vec)[i]) for i in range(dim)]).alias("s")).collect()
-        inertia = 0.0
-        for r in rows:
-            j, n = r["cluster"], r["n"]
-            counts[j] += n
-            cents[j] += (np.array(r["s"]) - n * cents[j]) / counts[j]
-            inertia += r["sse"]
-        store.save(batch_id, {"centroids": cents.tolist(), "counts": counts.tolist(),
-                              "batch_inertia": inertia})
+        runs = prev["runs"] if prev else [{"centroids": c, "counts": [0.0] * len(c)}
+                                         for c in inits]
+        batch = batch.select(vec).cache()
+        out = []
+        for run in runs:
+            cents = np.array(run["centroids"], dtype=float)
+            counts = np.array(run["counts"], dtype=float)
+            a = nearest_centroid(batch, vec, cents.tolist())
+            dim = cents.shape[1]
+            rows = a.groupBy("cluster").agg(
+                F.count(F.lit(1)).alias("n"), F.sum(F.col("dist") * F.col("dist")).alias("sse"),
+                F.array(*[F.sum(F.col(vec)[i]) for i in range(dim)]).alias("s")).collect()
+            inertia = 0.0
+            for r in rows:
+                j, n = r["cluster"], r["n"]
+                counts[j] += n
+                cents[j] += (np.array(r["s"]) - n * cents[j]) / counts[j]
+                inertia += r["sse"]
+            out.append({"centroids": cents.tolist(), "counts": counts.tolist(),
+                        "batch_inertia": inertia})
+        batch.unpersist()
+        best = int(np.argmin([r["batch_inertia"] for r in out]))
+        store.save(batch_id, {"runs": out, "best": best, "centroids": out[best]["centroids"],
+                              "batch_inertia": out[best]["batch_inertia"]})
     _run(stream, handle, checkpoint)
 
 
