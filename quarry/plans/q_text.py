@@ -98,22 +98,39 @@ def _mails(spark, sf):
     return TX.parse_mails(allm.withColumn("content", F.encode("raw", "UTF-8")).drop("raw"))
 
 
-@query("tx2_email_structure")
+_MAIL_SQL = """mails AS (
+  SELECT 'doc-' || CAST(doc_id AS VARCHAR) AS mail_id, 'text/plain' AS structure,
+         'document ' || CAST(doc_id AS VARCHAR) AS subject FROM documents
+  UNION ALL
+  SELECT 'page-' || CAST(page_id AS VARCHAR), 'text/html', 'page ' || url FROM pages
+  UNION ALL
+  SELECT 'conv-' || CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR),
+         'multipart(text/plain, text/html)', 'turn by ' || role FROM conversations)"""
+
+
+@query("tx2_email_structure", f"WITH {_MAIL_SQL} SELECT mail_id, structure FROM mails")
 def tx2_email_structure(spark, sf):
     return _mails(spark, sf).select("mail_id", "structure")
 
 
-@query("tx3_email_to_text")
+@query("tx3_email_to_text", f"""
+SELECT 'doc-' || CAST(doc_id AS VARCHAR) AS mail_id, text FROM documents
+UNION ALL
+SELECT 'page-' || CAST(page_id AS VARCHAR), {_sql_html_to_text('html')} FROM pages
+UNION ALL
+SELECT 'conv-' || CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR), text FROM conversations""")
 def tx3_email_to_text(spark, sf):
     return _mails(spark, sf).select("mail_id", "text")
 
 
-@query("tx4_email_header")
+@query("tx4_email_header", f"WITH {_MAIL_SQL} SELECT mail_id, subject FROM mails")
 def tx4_email_header(spark, sf):
     return _mails(spark, sf).select("mail_id", "subject")
 
 
-@query("tx5_structure_counts")
+@query("tx5_structure_counts", f"""WITH {_MAIL_SQL}
+SELECT structure, count(*) AS count FROM mails GROUP BY structure
+ORDER BY count DESC, structure LIMIT 10""")
 def tx5_structure_counts(spark, sf):
     return TX.structure_counts(_mails(spark, sf))
 
