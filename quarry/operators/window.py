@@ -150,7 +150,7 @@ def fast_order(seed: int, *id_cols) -> Column:
 
 
 def value_bucket(df: DataFrame, col: str, n_buckets: int = 1024, out: str = "_vb",
-                 rel_err: float = 1e-3, descending: bool = False) -> DataFrame:
+                 rel_err: float = 1e-3, descending: bool = False, return_hot: bool = False):
     """Add a monotone bucket of a numeric column from approximate quantiles.
 
     Only ``n_buckets`` boundary values reach the driver; MLlib's Bucketizer
@@ -170,7 +170,8 @@ def value_bucket(df: DataFrame, col: str, n_buckets: int = 1024, out: str = "_vb
     d = Bucketizer(splits=splits, inputCol=tmp, outputCol=out,
                    handleInvalid="keep").transform(d).drop(tmp)
     b = F.col(out).cast("int")
-    return d.withColumn(out, -b if descending else b)
+    d = d.withColumn(out, -b if descending else b)
+    return (d, sorted(hot)) if return_hot else d
 
 
 # ---------------------------------------------------------------- W1
@@ -204,13 +205,38 @@ def first_index_reaching(df: DataFrame, order: str, value: str, target: float) -
 
 
 # ---------------------------------------------------------------- W3
+def order_bucket(df: DataFrame, col: str, tiebreak: Sequence[str], n_buckets: int = 1024,
+                 descending: bool = False):
+    """Monotone bucket for the order (col, *tiebreak): value buckets, and
+    for a hot value (one that fills several quantile slots) sub-buckets by
+    quantiles of the first numeric tie-break column, so ties of a value held
+    by a third of the rows are ranked by many tasks.  Returns (df with
+    ``_ob``, bucket bound)."""
+    d, hot = value_bucket(df, col, n_buckets, descending=descending, return_hot=True)
+    t0 = tiebreak[0] if tiebreak else None
+    numeric = t0 is not None and dict(df.dtypes).get(t0, "") in (
+        "int", "bigint", "smallint", "tinyint", "double", "float")
+    if not (hot and numeric):
+        return d.withColumn("_ob", F.col("_vb").cast("long")).drop("_vb"), n_buckets
+    is_hot = F.col(col).cast("double").isin([float(h) for h in hot])
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    tq = sorted(set(float(q) for q in df.filter(is_hot).approxQuantile(t0, probs, 1e-3)))
+    width = len(tq) + 2
+    d = Bucketizer(splits=[float("-inf"), *tq, float("inf")], inputCol="_tb", outputCol="_sb",
+                   handleInvalid="keep").transform(d.withColumn("_tb", F.col(t0).cast("double")))
+    sub = F.when(is_hot, F.col("_sb").cast("long")).otherwise(F.lit(0))
+    d = d.withColumn("_ob", F.col("_vb").cast("long") * width + sub).drop("_vb", "_tb", "_sb")
+    return d, n_buckets + len(hot) * width
+
+
 def sort_positions(df: DataFrame, col: str, tiebreak: Sequence[str], out: str = "pos",
                    descending: bool = False, n_buckets: int = 1024) -> DataFrame:
-    """Exact 1-based position in a global sort without one-partition sort."""
-    d = value_bucket(df, col, n_buckets, descending=descending)
+    """Exact 1-based position in a global sort by (col, *tiebreak),
+    without a one-partition sort (see ``order_bucket`` for hot values)."""
+    d, max_b = order_bucket(df, col, tiebreak, n_buckets, descending)
     key = F.col(col).desc() if descending else F.col(col).asc()
-    return cumulative(d, "_vb", [key, *tiebreak], {out: F.lit(1).cast("long")},
-                      max_buckets=n_buckets).drop("_vb")
+    return cumulative(d, "_ob", [key, *tiebreak], {out: F.lit(1).cast("long")},
+                      max_buckets=max_b).drop("_ob")
 
 
 # ---------------------------------------------------------------- W4
@@ -262,9 +288,9 @@ def ordered_by_group(df: DataFrame, group: str, by: str, tiebreak: Sequence[str]
                      out: str = "pos") -> DataFrame:
     """Position of each row inside its group in ``by`` order (silhouette
     diagram layout).  A hot group is spread over global value buckets."""
-    d = value_bucket(df, by)
-    return cumulative(d, "_vb", [by, *tiebreak], {out: F.lit(1).cast("long")}, [group],
-                      max_buckets=1024).drop("_vb")
+    d, max_b = order_bucket(df, by, tiebreak)
+    return cumulative(d, "_ob", [by, *tiebreak], {out: F.lit(1).cast("long")}, [group],
+                      max_buckets=max_b).drop("_ob")
 
 
 # ---------------------------------------------------------------- W9

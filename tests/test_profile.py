@@ -58,3 +58,17 @@ def test_quantiles_with_a_hot_value(spark):
     q = P.exact_quantiles(df.repartition(5), "x", probs, names=[f"q{i}" for i in range(6)]).first()
     for i, p in enumerate(probs):
         assert math.isclose(q[f"q{i}"], np.quantile(x, p), abs_tol=1e-12)
+
+
+def test_sort_positions_with_hot_ties(spark):
+    from quarry.operators.window import sort_positions
+    rng = np.random.default_rng(8)
+    v = np.round(rng.normal(size=2000), 3)
+    v[::3] = 1.5
+    df = spark.createDataFrame([(int(i), float(x)) for i, x in enumerate(v)], "id long, v double")
+    got = {r["id"]: r["pos"] for r in sort_positions(df.repartition(6), "v", ["id"]).collect()}
+    order = np.lexsort((np.arange(2000), v))
+    assert all(got[int(i)] == k + 1 for k, i in enumerate(order))
+    got_d = {r["id"]: r["pos"] for r in sort_positions(df, "v", ["id"], descending=True).collect()}
+    order_d = np.lexsort((np.arange(2000), -v))
+    assert all(got_d[int(i)] == k + 1 for k, i in enumerate(order_d))
