@@ -34,6 +34,7 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
@@ -67,3 +68,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``quarry`` importable in every Python worker (pandas UDFs,
+    mapInPandas and co-grouped functions are pickled by module reference):
+    zip the package once per SparkContext and ``addPyFile`` it, which Spark
+    distributes to the executors."""
+    import os
+    import zipfile
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import quarry
+    root = os.path.dirname(os.path.abspath(quarry.__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="quarry-pkg-"), "quarry.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for dp, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dp, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    _SHIPPED.add(key)
