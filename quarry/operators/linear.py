@@ -159,7 +159,8 @@ def early_stopping(train_batches: dict, val: Moments, n_epochs: int = 500,
 
 # ---------------------------------------------------------------- L4
 def ridge_reg_param(alpha: float, n: int, sd_y: float) -> float:
-    """sklearn Ridge(alpha) -> MLlib regParam (standardization=False)."""
+    """Ridge penalty alpha (sum of squares + alpha |w|^2) -> MLlib regParam
+    (standardization=False)."""
     return alpha / n * sd_y
 
 
@@ -182,7 +183,7 @@ def regularized(kind: str, alpha: float, n: int, sd_y: float, l1_ratio: float =
 # ---------------------------------------------------------------- L7 / L8 / L9 / L10
 def logistic(C: float, n: int, features="features", label="label",
              multinomial: bool = False, max_iter: int = 100) -> LogisticRegression:
-    """Sklearn C -> regParam = 1 / (C n)."""
+    """Inverse regularisation C -> regParam = 1 / (C n)."""
     return LogisticRegression(featuresCol=features, labelCol=label, regParam=1.0 / (C * n),
                               standardization=False, maxIter=max_iter,
                               family="multinomial" if multinomial else "auto")
