@@ -226,3 +226,88 @@ def bic_table(df: DataFrame, vec: str, ks, cov_types, max_iter: int = 30, seed:
             m = em(df, vec, k, ct, max_iter=max_iter, seed=seed)
             out.append((k, ct, m.log_likelihood, m.bic(), m.aic()))
     return out
+
+
+# ---------------------------------------------------------------- C14
+def _digamma(x: float) -> float:
+    """psi(x) by recurrence up to x >= 6, then the asymptotic series."""
+    r = 0.0
+    while x < 6.0:
+        r -= 1.0 / x
+        x += 1.0
+    f = 1.0 / (x * x)
+    return r + math.log(x) - 0.5 / x - f * (1 / 12 - f * (1 / 120 - f * (1 / 252 - f * (
+        1 / 240 - f / 132))))
+
+
+def vb_gmm(df: DataFrame, vec: str, k: int, id_col: str, max_iter: int = 100,
+           tol: float = 1e-3, weight_prior: float | None = None, seed: int = 42) -> Mixture:
+    """C14: variational Bayesian Gaussian mixture (finite Dirichlet prior on
+    the weights, Normal-Wishart on means / precisions).  Each iteration is
+    one pass: batches compute responsibilities from the current variational
+    parameters and return N_k, sum r x, sum r x x'; the Dirichlet / Wishart
+    updates run on the driver.  Unneeded components get weights near 0."""
+    from quarry.operators.aggregate import gram
+    from quarry.operators.cluster import kmeans_pp_init
+    d_ = df.select(F.col(vec).alias("x")).cache()
+    m0s = gram(df, vec)
+    D_ = len(m0s.sx)
+    m0 = m0s.mean
+    W0inv = m0s.cov(ddof=1) + COV_FLOOR * np.eye(D_)
+    a0 = weight_prior if weight_prior is not None else 1.0 / k
+    b0, nu0 = 1.0, float(D_)
+    centers = np.asarray(kmeans_pp_init(df, vec, id_col, k, seed), dtype=float)
+    k = len(centers)
+    size = k + k * D_ + k * D_ * D_
+
+    def stats_from(resp_fn):
+        def fn(X, pdf):
+            r = resp_fn(X)
+            Sxx = np.einsum("nk,ni,nj->kij", r, X, X)
+            return np.concatenate([r.sum(0), (r.T @ X).ravel(), Sxx.ravel()])
+        s = sum_pass(d_, fn, size)
+        return s[:k], s[k:k + k * D_].reshape(k, D_), s[k + k * D_:].reshape(k, D_, D_)
+
+    def hard(X, c=centers):
+        a = np.argmin(((X[:, None, :] - c[None]) ** 2).sum(-1), 1)
+        return np.eye(k)[a]
+
+    Nk, Sx, Sxx = stats_from(hard)
+    prev = None
+    for it in range(max_iter):
+        Nk_ = np.maximum(Nk, 1e-10)
+        xbar = Sx / Nk_[:, None]
+        alpha = a0 + Nk
+        beta = b0 + Nk
+        nu = nu0 + Nk
+        m = (b0 * m0 + Nk[:, None] * xbar) / beta[:, None]
+        W = np.empty((k, D_, D_))
+        for j in range(k):
+            S = Sxx[j] / Nk_[j] - np.outer(xbar[j], xbar[j])
+            dx = xbar[j] - m0
+            Winv = W0inv + Nk[j] * S + (b0 * Nk[j] / (b0 + Nk[j])) * np.outer(dx, dx)
+            W[j] = np.linalg.inv(Winv + COV_FLOOR * np.eye(D_))
+        e_ln_pi = np.array([_digamma(a) for a in alpha]) - _digamma(alpha.sum())
+        e_ln_lam = np.array([sum(_digamma((nu[j] + 1 - i) / 2) for i in range(1, D_ + 1))
+                             + D_ * math.log(2) + np.linalg.slogdet(W[j])[1] for j in range(k)])
+        if prev is not None and np.abs(Nk - prev).max() <= tol * Nk.sum():
+            break
+        prev = Nk.copy()
+
+        def resp(X, m=m, W=W, nu=nu, beta=beta, e_ln_pi=e_ln_pi, e_ln_lam=e_ln_lam):
+            lr = np.empty((len(X), k))
+            for j in range(k):
+                dx = X - m[j]
+                quad = np.einsum("ni,ij,nj->n", dx, W[j], dx)
+                lr[:, j] = e_ln_pi[j] + 0.5 * e_ln_lam[j] - 0.5 * D_ * math.log(2 * math.pi) \
+                    - 0.5 * (D_ / beta[j] + nu[j] * quad)
+            return np.exp(lr - _logsumexp(lr)[:, None])
+        Nk, Sx, Sxx = stats_from(resp)
+    d_.unpersist()
+    covs = np.stack([np.linalg.inv(W[j]) / nu[j] for j in range(k)])
+    mix = Mixture(alpha / alpha.sum(), m, covs + COV_FLOOR * np.eye(D_)[None], "full",
+                  n=int(round(Nk.sum())), n_iter=it + 1)
+    mix.log_likelihood = float(sum_pass(
+        df.select(F.col(vec).alias("x")),
+        lambda X, p: np.array([_logsumexp(component_log_density(X, mix)).sum()]), 1)[0])
+    return mix

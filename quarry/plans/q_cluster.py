@@ -162,7 +162,15 @@ def c13_gmm_covariance_types(spark, sf):
                                        "aic double, n_iter int")
 
 
-@query("c14_sparse_prior_gmm")
+@query("c14_variational_gmm")
+def c14_variational_gmm(spark, sf):
+    pcs = _planted_pcs(spark, sf)
+    m = D.vb_gmm(pcs, "pc", 8, "vec_id", max_iter=30, weight_prior=0.01)
+    return spark.createDataFrame([(i, float(w)) for i, w in enumerate(m.weights)],
+                                 "component int, weight double")
+
+
+@query("c14b_sparse_prior_gmm")
 def c14_sparse_prior_gmm(spark, sf):
     pcs = _planted_pcs(spark, sf)
     m = D.em(pcs, "pc", 8, "full", max_iter=30, prior=0.01, id_col="vec_id")

@@ -125,3 +125,16 @@ def test_roc_auc_matches_numpy(spark):
     pos, neg = s[y == 1], s[y == 0]
     ref = ((pos[:, None] > neg[None]).sum() + 0.5 * (pos[:, None] == neg[None]).sum()) / (len(pos) * len(neg))
     assert abs(auc - ref) < 1e-12
+
+
+def test_digamma():
+    from quarry.operators.density import _digamma
+    assert abs(_digamma(1.0) + 0.5772156649015329) < 1e-10
+    assert abs(_digamma(0.5) + 1.9635100260214235) < 1e-10
+
+
+def test_variational_gmm_prunes_extra_components(blobs):
+    df, X, lab = blobs
+    m = D.vb_gmm(df, "v", 6, "id", max_iter=100, weight_prior=0.001)
+    big = sorted(w for w in m.weights if w > 0.05)
+    assert len(big) == 3 and abs(sum(big) - 1.0) < 0.05
