@@ -127,6 +127,17 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
     return r.groupBy(*group).agg(*aggs)
 
 
+def approx_quantiles(df: DataFrame, col: str, probs: Sequence[float],
+                     group: Sequence[str] = (), names: Sequence[str] | None = None,
+                     accuracy: int = 10000) -> DataFrame:
+    """P12 opt-in: one-pass approximate quantiles (GK sketches merged per
+    group, rank error <= n / accuracy)."""
+    names = list(names or [f"p{int(round(p * 100))}" for p in probs])
+    q = F.percentile_approx(F.col(col).cast("double"), list(probs), accuracy)
+    out = df.groupBy(*group).agg(q.alias("_q"))
+    return out.select(*group, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+
+
 def _any(conds):
     out = conds[0]
     for c in conds[1:]:

@@ -213,3 +213,10 @@ def p14_score_summary(spark, sf):
     scores = f.groupBy("fold").agg((F.avg("o_totalprice") / 1000.0).alias("score"))
     s = P.score_summary(scores, "score")
     return s.select("n", rnd("mean", 9).alias("mean"), rnd("std", 9).alias("std"))
+
+
+@query("p12b_percentiles_approx")
+def p12b_percentiles_approx(spark, sf):
+    """Opt-in approximate twin of p12 (not compared exactly)."""
+    return P.approx_quantiles(table(spark, sf, "lineitem"), "l_extendedprice", [0.1, 0.5, 0.9],
+                              ["l_returnflag"])

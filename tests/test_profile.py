@@ -72,3 +72,13 @@ def test_sort_positions_with_hot_ties(spark):
     got_d = {r["id"]: r["pos"] for r in sort_positions(df, "v", ["id"], descending=True).collect()}
     order_d = np.lexsort((np.arange(2000), -v))
     assert all(got_d[int(i)] == k + 1 for k, i in enumerate(order_d))
+
+
+def test_approx_quantiles_close_to_exact(spark):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=5000)
+    df = spark.createDataFrame([(float(v),) for v in x], "x double")
+    q = P.approx_quantiles(df, "x", [0.1, 0.5, 0.9]).first()
+    for p, n in ((0.1, "p10"), (0.5, "p50"), (0.9, "p90")):
+        # rank error at most n / accuracy = 0.5 rows here
+        assert abs(np.searchsorted(np.sort(x), q[n]) / 5000 - p) < 0.002
