@@ -39,7 +39,8 @@ class Imputer(Estimator, HasInputCols, HasOutputCols, DefaultParamsReadable,
     """Fill nulls with the exact mean / median / most frequent value.
     (MLlib's Imputer uses approximate quantiles, so it is not used.)"""
 
-    strategy = Param(Params._dummy(), "strategy", "mean | median | most_frequent",
+    strategy = Param(Params._dummy(), "strategy",
+                     "mean | median | most_frequent | median_approx (opt-in, one pass)",
                      typeConverter=TypeConverters.toString)
 
     @keyword_only
@@ -61,6 +62,10 @@ class Imputer(Estimator, HasInputCols, HasOutputCols, DefaultParamsReadable,
             q = {r["c"]: r["m"] for r in
                  exact_quantiles(long, "v", [0.5], ["c"], ["m"], n_groups=len(cols)).collect()}
             vals = [q.get(c) for c in cols]
+        elif how == "median_approx":
+            row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, 10000).alias(c)
+                           for c in cols]).first()
+            vals = [row[c] for c in cols]
         elif how == "most_frequent":
             vals = []
             for c in cols:

@@ -32,6 +32,8 @@ def test_imputer_strategies(spark):
     mean = X.Imputer(inputCols=["x"], strategy="mean").fit(df).statistics()["x"]
     mf = X.Imputer(inputCols=["s"], strategy="most_frequent").fit(df).statistics()["s"]
     assert med == 3.0 and math.isclose(mean, 14 / 3) and mf == "b"
+    approx = X.Imputer(inputCols=["x"], strategy="median_approx").fit(df).statistics()["x"]
+    assert approx == 3.0
 
 
 def test_population_scaler_and_inverse(spark):
