@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.llm.topk import SQL as TOP_K_SQL
 from quarry.session import scratch_path
 
 
@@ -17,6 +18,26 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.quality import fit_quality, remainder, score_quality
+    docs = _table(spark, sf_dir, "documents")
+    trees = fit_quality(docs, _table(spark, sf_dir, "labels"))
+    scored = score_quality(docs, trees)
+    return scored.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.secrets import scan_secrets
+    found = scan_secrets(_table(spark, sf_dir, "documents"))
+    return found.withColumn("base_sha256", F.sha2("base_spans", 256)).drop("base_spans")
+
+
+def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.topk import exact_top_k
+    return exact_top_k(_table(spark, sf_dir, "embeddings"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarry.llm.packing import pack_documents
     pieces = pack_documents(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
@@ -35,5 +56,14 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op7_packing, op8_token_files, op9_token_counts)}
-SQL: dict[str, str] = {}
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.language import fit_language, predict_language
+    from quarry.llm.quality import remainder
+    docs = _table(spark, sf_dir, "documents")
+    found = predict_language(docs, fit_language(docs))
+    return found.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+QUERIES = {f.__name__: f for f in (op1_quality, op4_secrets, op6_top_k, op7_packing, op8_token_files, op9_token_counts,
+                                  op10_language)}
+SQL: dict[str, str] = {"op6_top_k": TOP_K_SQL}
