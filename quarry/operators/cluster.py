@@ -3,8 +3,8 @@
 Centroids (k x d, k a parameter) travel as literals inside the plan, so the
 assignment step is a projection, not a join; each Lloyd / seeding step is
 one partial aggregation.  DBSCAN uses the grid (2-D) or blocked (high-d)
-radius join and connected components by iterated min-label propagation,
-with a reliable checkpoint every few rounds.
+radius join and connected components by star contraction, checkpointed
+each round.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.arrays import lit_vector, sq_dist
 from quarry.functions.hashing import md5_uniform
+from quarry.operators.graph import star_components
 from quarry.operators.joins import (knn_join, nearest_centroid, radius_join_blocked,
                                     radius_join_grid)
 from quarry.operators.window import sort_positions, top_k_per_group
@@ -139,27 +140,10 @@ def least_certain(pred: DataFrame, prob: str, cluster: str, n_per_cluster: int,
 
 
 # ---------------------------------------------------------------- C8
-def connected_components(edges: DataFrame, nodes: DataFrame, max_iter: int = 50,
-                         checkpoint_every: int = 5) -> DataFrame:
-    """Component id = smallest node id, by iterated min-label propagation over
-    an undirected edge list (a, b).  Converges in <= diameter rounds."""
-    e = edges.select(F.col("a"), F.col("b")).union(edges.select(F.col("b"), F.col("a")))
-    e = cut_lineage(e)
-    lab = nodes.select(F.col("id"), F.col("id").alias("comp"))
-    for it in range(max_iter):
-        nb = e.join(lab.withColumnRenamed("id", "b"), "b").groupBy("a").agg(
-            F.min("comp").alias("nc"))
-        new = lab.join(nb.withColumnRenamed("a", "id"), "id", "left").select(
-            "id", F.least(F.col("comp"), F.coalesce(F.col("nc"), F.col("comp"))).alias("comp"))
-        new = cut_lineage(new) if (it + 1) % checkpoint_every == 0 else new.cache()
-        changed = new.join(lab.withColumnRenamed("comp", "old"), "id").filter(
-            F.col("comp") != F.col("old")).limit(1).count()
-        if lab.is_cached:
-            lab.unpersist()
-        lab = new
-        if changed == 0:
-            break
-    return lab
+def connected_components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Component id = smallest node id; nodes without edges are their own."""
+    found = star_components(edges)
+    return nodes.join(found, "id", "left").select("id", F.coalesce("comp", "id").alias("comp"))
 
 
 def dbscan(df: DataFrame, id_col: str, eps: float, min_samples: int,
