@@ -33,6 +33,11 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("base_sha256", F.sha2("base_spans", 256)).drop("base_spans")
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.simhash import near_duplicates
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarry.llm.topk import exact_top_k
     return exact_top_k(_table(spark, sf_dir, "embeddings"))
@@ -64,6 +69,6 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op4_secrets, op6_top_k, op7_packing, op8_token_files, op9_token_counts,
+QUERIES = {f.__name__: f for f in (op1_quality, op4_secrets, op5_simhash, op6_top_k, op7_packing, op8_token_files, op9_token_counts,
                                   op10_language)}
 SQL: dict[str, str] = {"op6_top_k": TOP_K_SQL}
