@@ -6,7 +6,7 @@ in numpy.  The trees are grown on a bounded sample of labelled documents
 binned features, flattened into arrays of a complete binary tree each, and all
 trees walk all rows of a batch together.
 
-Defined results: a null or empty text has all statistics zero and is scored
+Defined results: a null or empty text counts as one empty line and is scored
 like any other; a null id stays null and is never learnt from; labels that are
 null, or that contradict each other for one document, teach nothing; without
 usable labels every score is 0.5, with one class only it is that class's

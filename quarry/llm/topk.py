@@ -53,7 +53,7 @@ def exact_type(a: np.ndarray, b: np.ndarray, rows: int):
 
 def search_block(query_ids, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int,
                  chunk: int = 1 << 22):
-    """(query position, id, score) of the k best rows of a block per query."""
+    """(query position, id, exact score) of the k best rows of a block per query."""
     order = np.argsort(ids, kind="stable")
     ids, rows = ids[order], rows[order]
     width = min(queries.shape[1], rows.shape[1])
@@ -94,10 +94,21 @@ def search_block(query_ids, queries: np.ndarray, ids: np.ndarray, rows: np.ndarr
         rows_, cols = np.repeat(np.arange(len(part)), take), best.ravel()
         real = key[rows_, cols] > floor
         for q, c in zip(rows_[real], cols[real]):
-            out.append((lo + int(q), int(ids[c]), min(max(int(scores[q, c]), LOWEST), HIGHEST)))
+            out.append((lo + int(q), int(ids[c]), int(scores[q, c])))
     return out
 
 
+def beyond(score: int) -> bytes:
+    """Empty for a score that fits a long; else bytes that sort like it."""
+    if LOWEST <= score <= HIGHEST:
+        return b""
+    size = abs(score).bit_length() // 8 + 1
+    digits = abs(score).to_bytes(size, "big")
+    if score > 0:
+        return size.to_bytes(4, "big") + digits
+    return (2**32 - 1 - size).to_bytes(4, "big") + bytes(255 - d for d in digits)
+
+
 def exact_top_k(vectors: DataFrame, k: int = 5, scale: float = 256.0, every: int = 50,
                 id_col: str = "vec_id", vec_col: str = "embedding",
                 query_block: int = 8192, row_block: int = 8192) -> DataFrame:
@@ -127,20 +138,22 @@ def exact_top_k(vectors: DataFrame, k: int = 5, scale: float = 256.0, every: int
         .withColumn("rb", all_blocks(row_blocks)).withColumn("g", group).select("g", "id", "variant", "v")
 
     def search(asked: pa.Table, block: pa.Table) -> pa.Table:
-        names = ["query_id", "variant", "vec_id", "score"]
         if not asked.num_rows or not block.num_rows:
-            return pa.table({n: pa.array([], pa.int64()) for n in names})
+            return pa.table({n: pa.array([], pa.binary() if n == "beyond" else pa.int64())
+                             for n in ("query_id", "variant", "vec_id", "score", "beyond")})
         whole = lambda t: dense(t.column("v").combine_chunks(), scale)
         qid, variant = (np.asarray(asked.column(c)) for c in ("id", "variant"))
         found = search_block(qid, whole(asked), np.asarray(block.column("id")), whole(block), k)
         at = np.array([f[0] for f in found], np.int64)
         return pa.table({"query_id": pa.array(qid[at]), "variant": pa.array(variant[at]),
                          "vec_id": pa.array([f[1] for f in found], pa.int64()),
-                         "score": pa.array([f[2] for f in found], pa.int64())})
+                         "score": pa.array([min(max(f[2], LOWEST), HIGHEST) for f in found], pa.int64()),
+                         "beyond": pa.array([beyond(f[2]) for f in found], pa.binary())})
 
     partial = queries.groupBy("g").cogroup(base.groupBy("g")).applyInArrow(
-        search, "query_id long, variant long, vec_id long, score long")
-    best = Window.partitionBy("query_id", "variant").orderBy(F.col("score").desc(), "vec_id")
+        search, "query_id long, variant long, vec_id long, score long, beyond binary")
+    best = Window.partitionBy("query_id", "variant").orderBy(
+        F.col("score").desc(), F.col("beyond").desc(), "vec_id")
     return partial.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k) \
         .select("query_id", "rank", "vec_id", "score")
 
