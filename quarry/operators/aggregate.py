@@ -82,24 +82,28 @@ def gram_sql(df: DataFrame, cols: Sequence[str], mean: bool = True) -> DataFrame
 
 
 class Moments:
-    """Mergeable sufficient statistics of [X | y] (weights optional)."""
+    """Mergeable sufficient statistics of [X | y] (weights optional).  ``cxx``
+    holds the sums of products about the mean, merged pairwise, so covariances
+    do not cancel when values are far from zero."""
 
-    def __init__(self, n, sx, xtx, sy=0.0, syy=0.0, xty=None):
+    def __init__(self, n, sx, xtx, sy=0.0, syy=0.0, xty=None, cxx=None):
         self.n, self.sx, self.xtx = n, sx, xtx
         self.sy, self.syy = sy, syy
         self.xty = xty if xty is not None else np.zeros_like(sx)
+        self.cxx = cxx if cxx is not None else xtx - np.outer(sx, sx) / n
 
     @property
     def mean(self):
         return self.sx / self.n
 
     def cov(self, ddof: int = 1):
-        m = self.mean
-        return (self.xtx - self.n * np.outer(m, m)) / (self.n - ddof)
+        return self.cxx / (self.n - ddof)
 
     def merge(self, o: "Moments") -> "Moments":
+        gap = self.mean - o.mean
+        cxx = self.cxx + o.cxx + np.outer(gap, gap) * (self.n * o.n / (self.n + o.n))
         return Moments(self.n + o.n, self.sx + o.sx, self.xtx + o.xtx, self.sy + o.sy,
-                       self.syy + o.syy, self.xty + o.xty)
+                       self.syy + o.syy, self.xty + o.xty, cxx)
 
 
 def _as_dense(v) -> np.ndarray:
@@ -143,16 +147,41 @@ def expand_vector(df: DataFrame, vec: str, prefix: str = "_x") -> tuple[DataFram
     return df.select("*", *[c[i].cast("double").alias(n) for i, n in enumerate(names)]), names
 
 
+def complete_rows(df: DataFrame, vec: str, *cols: str) -> DataFrame:
+    """Rows whose vector and other columns hold no NULL and no NaN."""
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.linalg import VectorUDT
+    x = F.col(vec)
+    if isinstance(df.schema[vec].dataType, VectorUDT):
+        x = vector_to_array(x)
+    good = F.col(vec).isNotNull() & F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v.cast("double")))
+    for c in cols:
+        good = good & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    return df.where(F.coalesce(good, F.lit(False)))
+
+
 def gram(df: DataFrame, vec: str, label: str | None = None, weight: str | None = None,
          group: str | None = None) -> dict:
     """A7 (vectors): X'X, X'y, sums and counts in one distributed pass.
 
-    Each Arrow batch emits its partial statistics in long form (entry index,
-    value); a groupBy-sum merges them on the executors (tree merge).  Only the
-    d x d result reaches the driver.  With ``group`` returns {group: Moments}.
+    A row with a NULL or NaN in its vector, label or weight (or a NULL group)
+    takes no part in any statistic.  Sums are taken about one row of the table,
+    so covariances keep their digits.  Each task emits its partial statistics
+    in long form (entry index, value); a groupBy-sum merges them on the
+    executors and only the d x d result reaches the driver.  With ``group``
+    (whole numbers) returns {group: Moments}.
     """
     from pyspark.ml.linalg import VectorUDT
-    base = df.select(vec, *[c for c in (label, weight, group) if c])
+    base = complete_rows(df.select(vec, *[c for c in (label, weight, group) if c]), vec,
+                         *[c for c in (label, weight) if c])
+    if group:
+        if df.schema[group].dataType.typeName() not in ("byte", "short", "integer", "long", "boolean"):
+            raise ValueError(f"group column {group} must hold whole numbers")
+        base = base.where(F.col(group).isNotNull()).withColumn(group, F.col(group).cast("long"))
+    head = base.select(vec).first()
+    if head is None:
+        return {} if group else None
+    pivot = _as_dense(head[0])
     if isinstance(df.schema[vec].dataType, VectorUDT):
         # ML vectors arrive through Arrow as structs (one dict per row):
         # expand to one column per slot instead
@@ -167,7 +196,7 @@ def gram(df: DataFrame, vec: str, label: str | None = None, weight: str | None =
             if len(pdf) == 0:
                 continue
             keys = pdf[group].to_numpy() if group else np.zeros(len(pdf), dtype=np.int64)
-            X_all = pdf[xs].to_numpy(dtype=np.float64) if xs else _vec_matrix(pdf[vec])
+            X_all = (pdf[xs].to_numpy(dtype=np.float64) if xs else _vec_matrix(pdf[vec])) - pivot
             y_all = pdf[label].to_numpy(dtype=np.float64) if label else np.zeros(len(pdf))
             w_all = pdf[weight].to_numpy(dtype=np.float64) if weight else np.ones(len(pdf))
             for g in np.unique(keys):
@@ -182,14 +211,17 @@ def gram(df: DataFrame, vec: str, label: str | None = None, weight: str | None =
                                 "i": np.arange(len(stats), dtype=np.int32), "v": stats})
 
     long = d_.mapInPandas(part, schema="g long, i int, v double")
-    merged = long.groupBy("g", "i").agg(F.sum("v").alias("v")).toPandas()
-    out = {}
+    merged = long.groupBy("g", "i").agg(F.sum("v").alias("v"), F.count("v").alias("c"),
+                                        F.count("*").alias("rows")).toPandas()
+    if (merged["c"] != merged["rows"]).any() or merged["v"].isna().any():
+        raise ValueError("a partial statistic is not a number")
+    out, p = {}, len(pivot)
     for g, sub in merged.groupby("g"):
         v = sub.sort_values("i")["v"].to_numpy()
-        p = int(round((-2 + np.sqrt(4 + 4 * (len(v) - 3))) / 2))
         n, sy, syy = v[0], v[1], v[2]
-        sx = v[3:3 + p]
-        xtx = v[3 + p:3 + p + p * p].reshape(p, p)
-        xty = v[3 + p + p * p:]
-        out[g] = Moments(n, sx, xtx, sy, syy, xty)
+        dx, dxx, dxy = v[3:3 + p], v[3 + p:3 + p + p * p].reshape(p, p), v[3 + p + p * p:]
+        cxx = dxx - np.outer(dx, dx) / n if n else dxx
+        cross = np.outer(dx, pivot)
+        out[int(g)] = Moments(n, dx + n * pivot, dxx + cross + cross.T + n * np.outer(pivot, pivot),
+                              sy, syy, dxy + pivot * sy, cxx)
     return out if group else out.get(0)

@@ -1,8 +1,7 @@
 """Joins implied by the reference (J1-J9) and similarity joins.
 
-Broadcasts happen only behind a row-count check (``maybe_broadcast``) or for
-inputs whose size is a parameter (k centroids, a vocabulary of ``size``
-words).  Exact kNN and high-dimensional radius joins use a blocked
+No side is forced to be broadcast: Spark decides by its own byte estimates.
+Exact kNN and high-dimensional radius joins use a blocked
 co-group: every (query block, base block) pair is one task holding at most
 ``block_rows`` rows per side; only per-block top-k candidates are shuffled.
 """
@@ -19,15 +18,6 @@ from pyspark.sql import functions as F
 
 from quarry.functions.arrays import lit_matrix, sq_dist
 
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only when the side is proven small (bounded count)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 # ---------------------------------------------------------------- J1
 def zip_columns(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Same rows, more columns (equi-join on the row id)."""
@@ -35,18 +25,16 @@ def zip_columns(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFra
 
 
 # ---------------------------------------------------------------- J2
-def lookup(df: DataFrame, table: DataFrame, on: Sequence[str], how: str = "left",
-           max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def lookup(df: DataFrame, table: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
     """Lookup by key (centroid / label per cluster id)."""
-    return df.join(maybe_broadcast(table, max_broadcast_rows), list(on), how)
+    return df.join(table, list(on), how)
 
 
 # ---------------------------------------------------------------- J3
 def vocabulary_lookup(counts: DataFrame, vocab: DataFrame, word: str = "word",
                       idx: str = "idx") -> DataFrame:
-    """Word -> index; unknown words -> 0.  The vocabulary has a fixed
-    maximum size (a parameter), so broadcasting it is bounded."""
-    return (counts.join(F.broadcast(vocab.select(word, idx)), word, "left")
+    """Word -> index; unknown words -> 0."""
+    return (counts.join(vocab.select(word, idx), word, "left")
                   .withColumn(idx, F.coalesce(F.col(idx), F.lit(0))))
 
 
@@ -94,33 +82,29 @@ def knn_join(query: DataFrame, base: DataFrame, k: int, q_id: str, q_vec: str,
     b = base.select(F.col(b_id).cast("long").alias("nid"), F.col(b_vec).alias("bv")) \
         .withColumn("bb", F.pmod(F.xxhash64("nid"), F.lit(bb)).cast("int")) \
         .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(bq - 1))))
-    extra = k + 8
 
     def block_topk(qp: pd.DataFrame, bp: pd.DataFrame) -> pd.DataFrame:
         if len(qp) == 0 or len(bp) == 0:
-            return pd.DataFrame({"qid": [], "nid": [], "dist": []})
+            return pd.DataFrame({"qid": np.zeros(0, np.int64), "nid": np.zeros(0, np.int64), "dist": np.zeros(0)})
         Q, B = _to_mat(qp["qv"]), _to_mat(bp["bv"])
         qi, bi = qp["qid"].to_numpy(), bp["nid"].to_numpy()
         d2 = (Q * Q).sum(1)[:, None] + (B * B).sum(1)[None, :] - 2.0 * Q @ B.T
         if exclude_self:
             d2[qi[:, None] == bi[None, :]] = np.inf
-        m = min(extra, B.shape[0])
-        cand = np.argpartition(d2, m - 1, axis=1)[:, :m] if m < B.shape[0] else \
-            np.tile(np.arange(B.shape[0]), (Q.shape[0], 1))
-        diff = Q[:, None, :] - B[cand]
+        m = min(k, B.shape[0])
+        kth = np.partition(d2, m - 1, axis=1)[:, m - 1]
+        # every row that rounding could place among the k nearest, ties included
+        slack = 1e-9 * ((Q * Q).sum(1) + (B * B).sum(1).max()) + 1e-300
+        r, c = np.nonzero(d2 <= (kth + slack)[:, None])
+        diff = Q[r] - B[c]
         exact = np.sqrt((diff * diff).sum(-1))
-        if exclude_self:
-            exact[qi[:, None] == bi[cand]] = np.inf
-        rows_q, rows_n, rows_d = [], [], []
-        for r in range(Q.shape[0]):
-            order = np.lexsort((bi[cand[r]], exact[r]))[:k]
-            keep = [j for j in order if np.isfinite(exact[r, j])]
-            rows_q.extend([qi[r]] * len(keep))
-            rows_n.extend(bi[cand[r, keep]])
-            rows_d.extend(exact[r, keep])
-        return pd.DataFrame({"qid": np.asarray(rows_q, dtype=np.int64),
-                             "nid": np.asarray(rows_n, dtype=np.int64),
-                             "dist": np.asarray(rows_d, dtype=np.float64)})
+        real = np.isfinite(d2[r, c])
+        r, c, exact = r[real], c[real], exact[real]
+        order = np.lexsort((bi[c], exact, r))
+        r, c, exact = r[order], c[order], exact[order]
+        first = np.searchsorted(r, np.arange(len(Q)))
+        near = np.arange(len(r)) - first[r] < k
+        return pd.DataFrame({"qid": qi[r[near]], "nid": bi[c[near]], "dist": exact[near]})
 
     cand = q.groupBy("qb", "bb").cogroup(b.groupBy("qb", "bb")).applyInPandas(
         block_topk, schema="qid long, nid long, dist double")

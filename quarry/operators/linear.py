@@ -133,27 +133,31 @@ def minibatch_gd(batches: dict, n_epochs: int = 50, t0: float = 5.0, t1: float =
     return LinearFit(th[1:], float(th[0]), path)
 
 
-def early_stopping(train_batches: dict, val: Moments, n_epochs: int = 500,
-                   eta: float = 0.0005, patience: int | None = None) -> tuple[LinearFit, int, list]:
-    """Epochs of GD on the training statistics; keep the epoch with the
-    lowest validation MSE (computed from the validation Gram, no data pass)."""
+def early_stopping(train_batches: dict, val: Moments, n_epochs: int = 500, eta: float = 0.05,
+                   patience: int = 20) -> tuple[LinearFit, int, list]:
+    """Epochs of GD on the training statistics, over standardised features;
+    keep the epoch with the lowest validation MSE (from the validation Gram, no
+    data pass) and stop after ``patience`` epochs without a lower one."""
     tot = None
     for mm in train_batches.values():
         tot = mm if tot is None else tot.merge(mm)
-    A, b = _augment(tot, True)
-    th = np.zeros(A.shape[0])
-    best, best_ep, errs, since = None, -1, [], 0
+    scale = np.sqrt(np.maximum(np.diag(tot.cxx) / tot.n, 0))
+    scale[scale == 0] = 1.0
+    mean_y = tot.sy / tot.n
+    corr = tot.cxx / tot.n / np.outer(scale, scale)
+    pull = (tot.xty / tot.n - tot.mean * mean_y) / scale
+    w, bias = np.zeros(len(scale)), 0.0
+    best, best_ep, errs = None, -1, []
     for ep in range(n_epochs):
-        th = th - eta * 2.0 / tot.n * (A @ th - b)
-        fit = LinearFit(th[1:].copy(), float(th[0]))
-        e = mse_from_moments(val, fit)
-        errs.append(e)
-        if best is None or e < errs[best_ep]:
-            best, best_ep, since = fit, ep, 0
-        else:
-            since += 1
-            if patience and since >= patience:
-                break
+        w = w - eta * 2.0 * (corr @ w - pull)
+        bias = bias - eta * 2.0 * (bias - mean_y)
+        coef = w / scale
+        fit = LinearFit(coef, float(bias - coef @ tot.mean))
+        errs.append(mse_from_moments(val, fit))
+        if best is None or errs[-1] < errs[best_ep]:
+            best, best_ep = fit, ep
+        elif ep - best_ep >= patience:
+            break
     return best, best_ep, errs
 
 
@@ -201,64 +205,61 @@ def one_vs_rest(binary, features="features", label="label") -> OneVsRest:
     return OneVsRest(classifier=binary, featuresCol=features, labelCol=label)
 
 
-def softmax_bgd(df: DataFrame, vec: str, label: str, k: int, eta: float = 0.1,
-                n_iter: int = 50, alpha: float = 0.0, val: DataFrame | None = None) -> dict:
-    """L8 own form: batch GD for softmax regression with L2 (bias unpenalised)
-    and early stopping.  Each step is ONE distributed pass: every Arrow batch
-    returns its partial gradient, summed per entry on the executors."""
-    import pandas as pd
-    from quarry.operators.aggregate import _vec_matrix
-    d = df.select(vec, label).cache()
-    v = val.select(vec, label).cache() if val is not None else None
-    dim = len(d.first()[0])
-    Th = np.zeros((dim + 1, k))
-    best, best_loss, hist = Th.copy(), np.inf, []
-
-    def grad_job(theta: np.ndarray, frame: DataFrame):
-        th = theta.copy()
-
-        def part(it):
-            g = np.zeros_like(th)
-            loss, n = 0.0, 0
-            for pdf in it:
-                X = _vec_matrix(pdf[vec])
-                if X.size == 0:
-                    continue
-                Xb = np.hstack([np.ones((len(X), 1)), X])
-                z = Xb @ th
-                z -= z.max(1, keepdims=True)
-                p = np.exp(z)
-                p /= p.sum(1, keepdims=True)
-                Y = np.eye(k)[pdf[label].to_numpy().astype(int)]
-                g += Xb.T @ (p - Y)
-                loss += -np.log(p[Y.astype(bool)] + 1e-7).sum()
-                n += len(X)
-            flat = np.concatenate([g.ravel(), [loss, n]])
-            yield pd.DataFrame({"i": np.arange(len(flat), dtype=np.int32), "v": flat})
-        s = frame.mapInPandas(part, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")) \
-            .toPandas().sort_values("i")["v"].to_numpy()
-        n = s[-1]
-        return s[:-2].reshape(th.shape) / n, s[-2] / n
-
-    for it in range(n_iter):
-        g, loss = grad_job(Th, d)
-        reg = alpha * np.vstack([np.zeros((1, k)), Th[1:]])
-        Th = Th - eta * (g + reg)
-        vloss = grad_job(Th, v)[1] if v is not None else loss
-        hist.append(vloss)
-        if vloss < best_loss:
-            best, best_loss = Th.copy(), vloss
-    d.unpersist()
-    if v is not None:
-        v.unpersist()
-    return {"theta": best, "loss": best_loss, "history": hist}
+def softmax_bgd(df: DataFrame, vec: str, label: str, k: int, eta: float = 1.0,
+                n_iter: int = 300, alpha: float = 0.0, val: DataFrame | None = None,
+                momentum: float = 0.9, patience: int = 3) -> dict:
+    """L8 own form: batch GD (with momentum) for softmax regression with L2,
+    bias unpenalised.  One distributed pass per step gives the gradient over
+    the training rows and the log loss over the validation rows; it stops when
+    the penalised validation loss has not fallen for ``patience`` steps.  Rows
+    with a NULL in vector or label take no part."""
+    from quarry.operators.aggregate import complete_rows
+    own = complete_rows(df, vec, label).select(_as_array(df, vec).alias("x"), F.col(label).cast("int").alias("y"),
+                                               F.lit(1.0).alias("train"))
+    if val is not None:
+        own = own.unionByName(complete_rows(val, vec, label).select(
+            _as_array(val, vec).alias("x"), F.col(label).cast("int").alias("y"), F.lit(0.0).alias("train")))
+    own = own.cache()
+    watched = 1.0 if val is None else 0.0
+    dim = len(own.first()["x"])
+    theta = np.zeros((dim + 1, k))
+    speed, best, best_loss, history, since = np.zeros_like(theta), theta, np.inf, [], 0
+    for _ in range(n_iter):
+        def fn(X, pdf, theta=theta):
+            Xb = np.hstack([np.ones((len(X), 1)), X])
+            z = Xb @ theta
+            z -= z.max(1, keepdims=True)
+            p = np.exp(z)
+            p /= p.sum(1, keepdims=True)
+            y, train = pdf["y"].to_numpy(), pdf["train"].to_numpy()
+            miss = p.copy()
+            miss[np.arange(len(y)), y] -= 1
+            loss = -np.log(p[np.arange(len(y)), y] + 1e-12)
+            seen = train == watched
+            return np.concatenate([(Xb.T @ (miss * train[:, None])).ravel(),
+                                   [train.sum(), loss[seen].sum(), seen.sum()]])
+        s = sum_pass(own, fn, theta.size + 3)
+        penalty = np.vstack([np.zeros((1, k)), theta[1:]])
+        loss = s[-2] / max(s[-1], 1) + alpha / 2 * float((penalty ** 2).sum())
+        history.append(loss)
+        if loss < best_loss:
+            best, best_loss, since = theta, loss, 0
+        else:
+            since += 1
+            if since >= patience:
+                break
+        speed = momentum * speed - eta * (s[:-3].reshape(theta.shape) / max(s[-3], 1) + alpha * penalty)
+        theta = theta + speed
+    own.unpersist()
+    return {"theta": best, "loss": best_loss, "history": history}
 
 
 # ---------------------------------------------------------------- L11 / L12 / L14
 def sum_pass(df: DataFrame, fn, size: int) -> np.ndarray:
     """One distributed pass: ``fn(X, pdf) -> partial sums`` per Arrow batch,
     merged per entry on the executors.  Parameters travel in the closure, so
-    no per-step literal expressions (and no codegen recompilation)."""
+    no per-step literal expressions (and no codegen recompilation).  Callers
+    drop incomplete rows first; a partial sum that is no number raises."""
     import pandas as pd
     from quarry.operators.aggregate import _vec_matrix
 
@@ -267,6 +268,8 @@ def sum_pass(df: DataFrame, fn, size: int) -> np.ndarray:
         for pdf in it:
             if len(pdf):
                 acc += fn(_vec_matrix(pdf["x"]), pdf)
+        if np.isnan(acc).any():
+            raise ValueError("NULL or NaN in the rows of a statistics pass")
         yield pd.DataFrame({"i": np.arange(size, dtype=np.int32), "v": acc})
     out = df.mapInPandas(part, "i int, v double").groupBy("i").agg(F.sum("v").alias("v"))
     return out.toPandas().sort_values("i")["v"].to_numpy()
@@ -284,8 +287,9 @@ def svm_bgd(df: DataFrame, vec: str, label01: str, C: float = 1.0, eta0: float =
     """Linear SVM by batch (sub)gradient descent on the hinge loss.
     Each epoch is one pass summing t*x over the rows with margin < 1 (the
     support vectors); the regulariser uses the parameter C (not a global)."""
-    d = df.select(_as_array(df, vec).alias("x"),
-                  (F.col(label01) * 2 - 1).cast("double").alias("t")).cache()
+    from quarry.operators.aggregate import complete_rows
+    d = complete_rows(df, vec, label01).select(_as_array(df, vec).alias("x"),
+                                               (F.col(label01) * 2 - 1).cast("double").alias("t")).cache()
     dim = len(d.first()["x"])
     w, b = np.zeros(dim), 0.0
     for epoch in range(n_epochs):
@@ -308,53 +312,72 @@ def support_vectors(df: DataFrame, vec: str, label01: str, fit: LinearFit) -> Da
 
 
 def sgd_classifier(df: DataFrame, vec: str, label01: str, loss: str = "hinge",
-                   alpha: float = 1e-4, n_epochs: int = 20, n_batches: int = 8,
-                   ids: Sequence[str] = ("id",), seed: int = 42) -> LinearFit:
-    """Mini-batch SGD with hinge or log loss (schedule 1/(alpha (t0 + t)));
-    each step is one pass over one hash batch."""
-    d = df.select(_as_array(df, vec).alias("x"), (F.col(label01) * 2 - 1).cast("double").alias("t"),
-                  F.pmod(xx_u32(*ids, seed=seed), F.lit(n_batches)).alias("_b")).cache()
+                   alpha: float = 1e-4, n_epochs: int = 15, n_batches: int = 4,
+                   ids: Sequence[str] = ("id",), seed: int = 42, eta0: float = 1.0) -> LinearFit:
+    """Mini-batch SGD with hinge or log loss; each step is one pass over
+    one hash batch, its rate falls as eta0 / sqrt(step), and the fit is the mean
+    of the second half of the steps.  Rows with a NULL take no part."""
+    from quarry.operators.aggregate import complete_rows
+    d = complete_rows(df, vec, label01).select(
+        _as_array(df, vec).alias("x"), (F.col(label01) * 2 - 1).cast("double").alias("t"),
+        F.pmod(xx_u32(*ids, seed=seed), F.lit(n_batches)).alias("_b")).cache()
     dim = len(d.first()["x"])
-    w, b, t = np.zeros(dim), 0.0, 0
-    t0 = 1.0 / (alpha * 10.0)
-    for _ in range(n_epochs):
-        for bi in range(n_batches):
-            t += 1
-            eta = 1.0 / (alpha * (t0 + t))
-
-            def fn(X, pdf, w=w, b=b):
-                tt = pdf["t"].to_numpy()
-                z = X @ w + b
-                c = np.where(tt * z < 1, tt, 0.0) if loss == "hinge" else tt / (1 + np.exp(tt * z))
-                return np.concatenate([(c[:, None] * X).sum(0), [c.sum(), len(tt)]])
-            s = sum_pass(d.filter(F.col("_b") == bi), fn, dim + 2)
-            n = max(s[-1], 1.0)
-            w = w * (1 - eta * alpha) + eta * s[:dim] / n
-            b = b + eta * s[dim] / n
+    theta, steps, mean, count = np.zeros(dim + 1), n_epochs * n_batches, np.zeros(dim + 1), 0
+    for t in range(steps):
+        w, b = theta[:dim], theta[dim]
+
+        def fn(X, pdf, w=w, b=b):
+            tt = pdf["t"].to_numpy()
+            z = X @ w + b
+            c = np.where(tt * z < 1, tt, 0.0) if loss == "hinge" else tt / (1 + np.exp(np.clip(tt * z, -500, 500)))
+            return np.concatenate([(c[:, None] * X).sum(0), [c.sum(), len(tt)]])
+        s = sum_pass(d.filter(F.col("_b") == t % n_batches), fn, dim + 2)
+        eta = eta0 / np.sqrt(t + 1)
+        theta = theta + eta * (s[:-1] / max(s[-1], 1.0) - alpha * np.append(w, 0.0))
+        if t >= steps // 2:
+            mean, count = mean + theta, count + 1
     d.unpersist()
-    return LinearFit(w, float(b))
+    return LinearFit(mean[:dim] / count, float(mean[dim] / count))
 
 
 def linear_svr(df: DataFrame, vec: str, label: str, epsilon: float = 0.5, C: float = 1.0,
-               eta0: float = 0.01, n_epochs: int = 50) -> LinearFit:
-    """Epsilon-insensitive linear SVR by subgradient descent; each epoch
-    sums over the off-margin rows |y - f(x)| > epsilon."""
-    d = df.select(_as_array(df, vec).alias("x"), F.col(label).cast("double").alias("y")).cache()
-    n = d.count()
-    dim = len(d.first()["x"])
-    w, b = np.zeros(dim), 0.0
+               eta0: float = 0.05, n_epochs: int = 60, patience: int = 8) -> LinearFit:
+    """Epsilon-insensitive linear SVR by subgradient descent over
+    standardised features, from the least-squares fit; each epoch sums over the
+    off-margin rows |y - f(x)| > epsilon.  Keeps the epoch with the lowest
+    objective and stops after ``patience`` epochs without a lower one.  Rows
+    with a NULL take no part."""
+    from quarry.operators.aggregate import complete_rows
+    d = complete_rows(df, vec, label).select(_as_array(df, vec).alias("x"),
+                                             F.col(label).cast("double").alias("y")).cache()
+    m = gram(d, "x", "y")
+    n, dim = m.n, len(m.sx)
+    scale = np.sqrt(np.maximum(np.diag(m.cxx) / n, 0))
+    scale[scale == 0] = 1.0
+    mean_y = m.sy / n
+    w = np.linalg.lstsq(m.cxx / n / np.outer(scale, scale),
+                        (m.xty / n - m.mean * mean_y) / scale, rcond=None)[0]
+    b, best, best_loss, since = mean_y, None, np.inf, 0
     for epoch in range(n_epochs):
-        eta = eta0 / (1 + epoch * 0.1)
-
         def fn(X, pdf, w=w, b=b):
-            r = pdf["y"].to_numpy() - (X @ w + b)
+            Z = (X - m.mean) / scale
+            r = pdf["y"].to_numpy() - (Z @ w + b)
             sg = np.where(r > epsilon, 1.0, np.where(r < -epsilon, -1.0, 0.0))
-            return np.concatenate([(sg[:, None] * X).sum(0), [sg.sum()]])
-        s = sum_pass(d, fn, dim + 1)
-        w = w - eta * (w / (C * n) - s[:dim] / n)
-        b = b + eta * s[dim] / n
+            return np.concatenate([(sg[:, None] * Z).sum(0),
+                                   [sg.sum(), np.maximum(np.abs(r) - epsilon, 0).sum()]])
+        s = sum_pass(d, fn, dim + 2) / n
+        loss = s[-1] + w @ w / (2 * C * n)
+        if loss < best_loss - 1e-9:
+            best, best_loss, since = (w, b), loss, 0
+        else:
+            since += 1
+            if since >= patience:
+                break
+        eta = eta0 / np.sqrt(epoch + 1)
+        w, b = w - eta * (w / (C * n) - s[:dim]), b + eta * s[dim]
     d.unpersist()
-    return LinearFit(w, float(b))
+    coef = best[0] / scale
+    return LinearFit(coef, float(best[1] - coef @ m.mean))
 
 
 def off_margin(df: DataFrame, vec: str, label: str, fit: LinearFit, epsilon: float) -> DataFrame:

@@ -10,11 +10,14 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from quarry.functions.hashing import crc32_le, md5_last_byte_le, md5_uniform, xx_u32
-from quarry.operators.window import fast_order, hash_cut, hash_rank, md5_order, sort_positions
+from quarry.operators.window import (fast_order, hash_cut, hash_rank, md5_order, null_safe_join,
+                                     sort_positions)
 
 
 def _order(seed: int, ids: Sequence[str], portable: bool) -> Column:
@@ -78,15 +81,18 @@ def split_stratified_sizes(df: DataFrame, strata: Sequence[str], test_total: int
     The per-stratum allocation table has one row per stratum (small)."""
     sizes = df.groupBy(*strata).count().toPandas()
     n = sizes["count"].sum()
-    exact = sizes["count"] * test_total / n
+    exact = sizes["count"] * test_total / max(n, 1)
     base = exact.astype(int)
-    rem = test_total - base.sum()
-    order = (exact - base).sort_values(ascending=False, kind="mergesort").index[:rem]
+    # largest remainders first; equal ones go by stratum, a NULL stratum last
+    sizes["_rem"] = -(exact - base)
+    order = sizes.sort_values(["_rem", *strata], kind="mergesort").index[:test_total - base.sum()]
     base.loc[order] += 1
-    sizes["_q"] = base
-    quota = df.sparkSession.createDataFrame(sizes.drop(columns=["count"]))
+    rows = [(*(None if pd.isna(v) else v for v in key), int(q)) for key, q in
+            zip(sizes[list(strata)].itertuples(index=False, name=None), base)]
+    schema = StructType([*(df.schema[c] for c in strata), StructField("_q", LongType())])
+    quota = df.sparkSession.createDataFrame(rows, schema)
     r = hash_rank(df, _order(seed, ids, portable), list(ids), strata=strata, with_size=False)
-    return (r.join(F.broadcast(quota), list(strata))
+    return (null_safe_join(r, quota, list(strata))
              .withColumn(out, F.col("_rank") <= F.col("_q")).drop("_rank", "_q"))
 
 
@@ -133,25 +139,30 @@ def shuffle_split(df: DataFrame, n_sets: int, size: int, ids: Sequence[str],
     rep = df.withColumn(out, sets)
     u = md5_uniform(F.lit(seed), F.col(out), *ids)
     thin = rep.filter(u < F.lit(keep))
-    short = thin.groupBy(out).count().filter(F.col("count") < size).select(out)
-    if keep < 1.0 and short.take(1):
-        thin = rep.filter((u < F.lit(keep)) | F.col(out).isin(
-            [r[0] for r in short.collect()]))
+    if keep < 1.0:
+        sets_left = df.sparkSession.range(n_sets).select(F.col("id").cast("int").alias(out))
+        short = sets_left.join(thin.groupBy(out).count(), out, "left") \
+            .where(F.coalesce("count", F.lit(0)) < size).select(out)
+        refill = [r[0] for r in short.collect()]          # at most n_sets, a parameter
+        if refill:
+            thin = rep.filter((u < F.lit(keep)) | F.col(out).isin(refill))
     cut = hash_cut(thin, xx_u32(F.col(out), *ids, seed=seed), ids, lambda _: [F.lit(size)],
                    strata=[out], out="_part", n_strata=n_sets)
     return cut.filter(F.col("_part") == 0).drop("_part")
 
 
-def poisson_thresholds(lam: float, tol: float = 1e-12, cap: int = 64) -> list[float]:
-    """CDF values P(X <= j) of Poisson(lam) for j = 0..J (driver, tiny)."""
-    out, p, c = [], math.exp(-lam), 0.0
-    for j in range(cap):
-        c += p
-        out.append(c)
-        if 1.0 - c < tol:
-            break
-        p *= lam / (j + 1)
-    return out
+def poisson_thresholds(lam: float, tol: float = 1e-12) -> list[float]:
+    """CDF values P(X <= j) of Poisson(lam) for j = 0, 1, ... until the rest
+    beyond the mean is below ``tol`` (terms in log space, so any rate works)."""
+    out, c, j = [], 0.0, 0
+    while True:
+        c += math.exp(j * math.log(lam) - lam - math.lgamma(j + 1)) if lam > 0 else float(j == 0)
+        out.append(min(c, 1.0))
+        if j >= lam and 1.0 - c < tol:
+            return out
+        if j > lam + 40 * math.sqrt(lam + 1) + 40:        # rounding keeps c off 1
+            return out
+        j += 1
 
 
 def bootstrap(df: DataFrame, n_replicas: int, ids: Sequence[str], max_samples: float = 1.0,
@@ -161,7 +172,11 @@ def bootstrap(df: DataFrame, n_replicas: int, ids: Sequence[str], max_samples: f
     thr = poisson_thresholds(max_samples)
     rep = df.withColumn("replica", F.explode(F.sequence(F.lit(0), F.lit(n_replicas - 1))))
     u = md5_uniform(F.lit(seed), F.col("replica"), *ids)
-    w = sum((F.when(u >= F.lit(t), 1).otherwise(0) for t in thr), F.lit(0))
+    if len(thr) <= 64:
+        w = sum((F.when(u >= F.lit(t), 1).otherwise(0) for t in thr), F.lit(0))
+    else:                       # many thresholds: one array, not one branch each
+        w = F.size(F.filter(F.lit(thr), lambda t: t <= F.col("_u")))
+        return rep.withColumn("_u", u).withColumn(out, w.cast("int")).drop("_u")
     return rep.withColumn(out, w.cast("int"))
 
 

@@ -119,7 +119,7 @@ def l6_early_stopping(spark, sf):
     d = T.split_three_way(d, [0.8, 0.2], ids, out="part")
     tr = L.batch_moments(d.filter("part = 0"), "features", "y_rule", 4, ids)
     val = gram(d.filter("part = 1"), "features", "y_rule")
-    best, ep, errs = L.early_stopping(tr, val, n_epochs=300, eta=1e-6)
+    best, ep, errs = L.early_stopping(tr, val, n_epochs=500)
     return spark.createDataFrame([(i, float(e), i == ep) for i, e in enumerate(errs)],
                                  "epoch int, val_mse double, best boolean")
 
@@ -146,11 +146,18 @@ def l8_softmax(spark, sf):
     return m.transform(e).select("vec_id", "prediction", "label")
 
 
+def _scaled(df):
+    """Features with mean 0 and deviation 1 (gradient steps assume that)."""
+    from pyspark.ml.feature import StandardScaler
+    raw = df.withColumnRenamed("features", "raw")
+    return StandardScaler(inputCol="raw", outputCol="features", withMean=True).fit(raw).transform(raw).drop("raw")
+
+
 @query("l8b_softmax_bgd")
 def l8b_softmax_bgd(spark, sf):
-    e = T.split_three_way(_emb(spark, sf), [0.8, 0.2], ["vec_id"], out="part")
+    e = T.split_three_way(_scaled(_emb(spark, sf)), [0.8, 0.2], ["vec_id"], out="part")
     tr, va = e.filter("part = 0"), e.filter("part = 1")
-    r = L.softmax_bgd(tr, "features", "c_rule", 3, eta=0.5, n_iter=10, alpha=0.01, val=va)
+    r = L.softmax_bgd(tr, "features", "c_rule", 3, eta=0.3, alpha=1e-3, val=va)
     return spark.createDataFrame([(i, float(v)) for i, v in enumerate(r["history"])],
                                  "iteration int, val_loss double")
 
@@ -172,19 +179,18 @@ def l10_linear_svc(spark, sf):
 
 @query("l11_svm_bgd")
 def l11_svm_bgd(spark, sf):
-    e = _emb(spark, sf).withColumn("y", (F.col("c_rule") == 0).cast("int"))
-    fit = L.svm_bgd(e, "features", "y", C=10.0, eta0=1.0, eta_d=10.0, n_epochs=8)
+    e = _scaled(_emb(spark, sf)).withColumn("y", (F.col("c_rule") == 0).cast("int"))
+    fit = L.svm_bgd(e, "features", "y", C=1.0, eta0=1.0, eta_d=1000.0, n_epochs=100)
     sv = L.support_vectors(e, "features", "y", fit)
     return sv.select("vec_id", "y")
 
 
 @query("l12_sgd_classifier")
 def l12_sgd_classifier(spark, sf):
-    e = _emb(spark, sf).withColumn("y", (F.col("c_rule") == 0).cast("int"))
+    e = _scaled(_emb(spark, sf)).withColumn("y", (F.col("c_rule") == 0).cast("int"))
     rows = []
     for loss in ("hinge", "log"):
-        fit = L.sgd_classifier(e, "features", "y", loss=loss, n_epochs=3, n_batches=4,
-                               ids=["vec_id"])
+        fit = L.sgd_classifier(e, "features", "y", loss=loss, ids=["vec_id"])
         pred = e.withColumn("p", (fit.predict_expr("features") > 0).cast("int"))
         rows.append((loss, pred.agg(F.avg((F.col("p") == F.col("y")).cast("double"))).first()[0]))
     return spark.createDataFrame(rows, "loss string, train_accuracy double")
@@ -204,7 +210,7 @@ def l13_kernel_svm(spark, sf):
 @query("l14_linear_svr")
 def l14_linear_svr(spark, sf):
     d = _lp(spark, sf)
-    fit = L.linear_svr(d, "features", "y_rule", epsilon=0.5, C=100.0, eta0=1e-4, n_epochs=5)
+    fit = L.linear_svr(d, "features", "y_rule", epsilon=0.5, C=100.0)
     off = L.off_margin(d, "features", "y_rule", fit, 0.5)
     return off.select("l_orderkey", "l_linenumber", "y_rule")
 
@@ -363,7 +369,7 @@ def l27_stacking(spark, sf):
     e = T.split_three_way(e, [0.6, 0.2, 0.2], ["vec_id"], out="part")
     tr, hold, te = (e.filter(f"part = {i}") for i in range(3))
     members = {"tree": TR.decision_tree(maxDepth=4, seed=1).fit(tr),
-               "lr": L.logistic(C=10.0, n=500, multinomial=True, max_iter=30).fit(tr)}
+               "lr": L.logistic(C=10.0, n=tr.count(), multinomial=True, max_iter=30).fit(tr)}
     blender, va = TR.stacking(members, hold, "vec_id", numTrees=10, maxDepth=3)
     p = TR.stacking_predict(members, blender, va, te, "vec_id")
     return p.select("vec_id", "prediction")

@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 
 import numpy as np
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +36,9 @@ class StateStore:
     def latest(self, before: int | None = None) -> dict | None:
         try:
             df = self.spark.read.parquet(self.path)
-        except Exception:
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise                    # a state that cannot be read is not "no state"
             return None
         if before is not None:
             df = df.filter(F.col("batch_id") < before)
