@@ -40,29 +40,27 @@ def kmeans(df: DataFrame, vec: str, k: int, seed: int = 42, init: str = "k-means
 def lloyd(df: DataFrame, vec: str, centroids: Sequence[Sequence[float]], max_iter: int = 10,
           tol: float = 1e-4) -> dict:
     """K-means from GIVEN initial centroids with an iteration cap.
-    Returns centroids per iteration, final inertia and n_iter.  An empty
-    cluster keeps its previous centroid."""
+    Returns centroids per iteration, n_iter and the inertia of the rows about
+    the returned centroids.  An empty cluster keeps its previous centroid."""
     cents = [list(map(float, c)) for c in centroids]
-    k, dim = len(cents), len(cents[0])
-    history = [cents]
-    inertia = None
-    for it in range(max_iter):
-        a = nearest_centroid(df, vec, cents)
-        stats = a.groupBy("cluster").agg(
-            F.count(F.lit(1)).alias("n"), F.sum(F.col("dist") * F.col("dist")).alias("sse"),
-            F.array(*[F.avg(F.col(vec)[i]) for i in range(dim)]).alias("m")).collect()
-        new = [list(c) for c in cents]
-        inertia = 0.0
-        for r in stats:
-            new[r["cluster"]] = list(r["m"])
-            inertia += r["sse"]
-        shift = max(float(np.linalg.norm(np.subtract(n, c))) for n, c in zip(new, cents))
-        cents = new
-        history.append(cents)
-        if shift <= tol:
-            break
-    # inertia above is for the assignment of the last step's input centroids
-    return {"centroids": cents, "history": history, "inertia": inertia, "n_iter": it + 1}
+    dim, history, n_iter = len(cents[0]), [cents], 0
+    data = df.select(vec).persist()
+    try:
+        for n_iter in range(1, max_iter + 1):
+            stats = nearest_centroid(data, vec, cents).groupBy("cluster").agg(
+                F.array(*[F.avg(F.col(vec)[i]) for i in range(dim)]).alias("m")).collect()
+            new = [list(c) for c in cents]
+            for r in stats:
+                new[r["cluster"]] = list(r["m"])
+            shift = max(float(np.linalg.norm(np.subtract(n, c))) for n, c in zip(new, cents))
+            cents = new
+            history.append(cents)
+            if shift <= tol:
+                break
+        inertia = nearest_centroid(data, vec, cents).agg(F.sum(F.col("dist") * F.col("dist"))).first()[0]
+    finally:
+        data.unpersist()
+    return {"centroids": cents, "history": history, "inertia": float(inertia or 0.0), "n_iter": n_iter}
 
 
 def assign(df: DataFrame, vec: str, centroids) -> DataFrame:

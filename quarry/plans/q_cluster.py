@@ -94,10 +94,10 @@ def c1_kmeans(spark, sf):
 @query("c3_kmeans_pp_best_of_n")
 def c3_kmeans_pp_best_of_n(spark, sf):
     e = _planted(spark, sf)
-    r = C.best_of_n_init(e, "emb", "vec_id", 5, n_init=2, max_iter=5)
-    return spark.createDataFrame([(i, [float(x) for x in c[:5]], float(r["inertia"]), r["seed"])
+    r = C.best_of_n_init(e, "emb", "vec_id", 5, n_init=3, max_iter=20)
+    return spark.createDataFrame([(i, [float(x) for x in c], float(r["inertia"]), r["seed"])
                                   for i, c in enumerate(r["centroids"])],
-                                 "cluster int, head array<double>, inertia double, seed int")
+                                 "cluster int, centroid array<double>, inertia double, seed int")
 
 
 @query("c4_choose_k")

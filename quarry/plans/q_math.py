@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from quarry.functions import mathfn as M
 from quarry.functions.arrays import argmax
 from quarry.functions.hashing import rnd
+from quarry.operators.joins import centroid_distances
 from quarry.plans import sqlfrag as S
+from quarry.plans.common import CENT_SQL, collect_centroids, label_centroids
 from quarry.plans.registry import query
 from quarry.sources.tables import emb_view, table
 
@@ -61,13 +63,17 @@ def m4_hinge(spark, sf):
     return e.select("vec_id", rnd(M.hinge(t * F.col("emb")[0] * 10.0), 12).alias("hinge"))
 
 
-@query("m5_cross_entropy", f"""WITH {S.EMB_CTE},
-s AS (SELECT label, list_transform(list_slice(emb, 1, 10), lambda x: x * 10.0) AS l FROM emb),
+@query("m5_cross_entropy", f"""WITH {CENT_SQL},
+s AS (SELECT vec_id, any_value(e.label) AS label,
+             list(-10.0 * list_distance(emb, centroid) ORDER BY c.label) AS l
+      FROM emb e, cent c GROUP BY vec_id),
 p AS (SELECT label, {_SOFTMAX_SQL} AS p FROM s)
-SELECT {S.rnd('-avg(ln(p[label + 1] + 1e-7))', 12)} AS cross_entropy FROM p""")
+SELECT {S.rnd('-avg(ln(p[label + 1] + 1e-7))', 9)} AS cross_entropy FROM p""")
 def m5_cross_entropy(spark, sf):
+    """Class scores: how near each label's centroid is (whole vectors)."""
     e = emb_view(spark, sf)
-    p = e.select("label", M.softmax(F.transform(F.slice("emb", 1, 10), lambda x: x * 10.0))
-                 .alias("p"))
-    return p.agg(rnd(M.cross_entropy(F.element_at("p", F.col("label") + 1)), 12)
+    _, cents = collect_centroids(label_centroids(e))
+    near = F.transform(centroid_distances("emb", cents), lambda d: d * -10.0)
+    p = e.select("label", M.softmax(near).alias("p"))
+    return p.agg(rnd(M.cross_entropy(F.element_at("p", F.col("label") + 1)), 9)
                  .alias("cross_entropy"))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.functions.arrays import argmax
 from quarry.functions.hashing import rnd
 from quarry.operators import joins as J
 from quarry.operators import metrics as E
@@ -27,23 +26,29 @@ def e1_regression_metrics(spark, sf):
     return m.select("n", *[rnd(c, 9).alias(c) for c in ("mse", "rmse", "mae")])
 
 
-_ARG10 = "(list_position(list_slice(emb, 1, 10), list_max(list_slice(emb, 1, 10))) - 1)::INTEGER"
+# predicted class: the label whose centroid (mean of whole vectors) is nearest
+PRED_SQL = f"""{CENT_SQL},
+pred AS (
+  SELECT vec_id, e.label AS label, c.label AS pred FROM emb e, cent c
+  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY list_distance(emb, centroid), c.label) = 1)"""
 
 
 def _emb_pred(spark, sf):
     e = emb_view(spark, sf)
-    return e.withColumn("pred", argmax(F.slice("emb", 1, 10)))
+    labels, cents = collect_centroids(label_centroids(e))
+    lab = F.element_at(F.array(*[F.lit(x) for x in labels]), F.col("cluster") + 1)
+    return J.nearest_centroid(e, "emb", cents).withColumn("pred", lab)
 
 
-@query("e2_accuracy", f"""WITH {S.EMB_CTE}
-SELECT {S.rnd(f'avg(CASE WHEN label = {_ARG10} THEN 1.0 ELSE 0.0 END)', 12)} AS accuracy FROM emb""")
+@query("e2_accuracy", f"""WITH {PRED_SQL}
+SELECT {S.rnd('avg(CASE WHEN label = pred THEN 1.0 ELSE 0.0 END)', 12)} AS accuracy FROM pred""")
 def e2_accuracy(spark, sf):
     return E.accuracy(_emb_pred(spark, sf), "label", "pred").withColumn(
         "accuracy", rnd("accuracy", 12))
 
 
-@query("e3_confusion_matrix", f"""WITH {S.EMB_CTE},
-c AS (SELECT label AS y, {_ARG10} AS p, count(*) AS count FROM emb GROUP BY 1, 2),
+@query("e3_confusion_matrix", f"""WITH {PRED_SQL},
+c AS (SELECT label AS y, pred AS p, count(*) AS count FROM pred GROUP BY 1, 2),
 k AS (SELECT DISTINCT label AS k FROM embeddings),
 g AS (SELECT a.k AS y, b.k AS p, coalesce(c.count, 0)::BIGINT AS count
       FROM k a CROSS JOIN k b LEFT JOIN c ON c.y = a.k AND c.p = b.k)
@@ -57,8 +62,8 @@ def e3_confusion_matrix(spark, sf):
                      rnd("row_share", 12).alias("row_share"))
 
 
-@query("l30_error_rows", f"""WITH {S.EMB_CTE}
-SELECT vec_id FROM emb WHERE label = 3 AND {_ARG10} = 5""")
+@query("l30_error_rows", f"""WITH {PRED_SQL}
+SELECT vec_id FROM pred WHERE label = 3 AND pred = 5""")
 def l30_error_rows(spark, sf):
     return E.error_rows(_emb_pred(spark, sf), "label", "pred", 3, 5).select("vec_id")
 

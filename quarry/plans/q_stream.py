@@ -9,8 +9,9 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from quarry.functions.hashing import rnd
+from quarry.operators.joins import nearest_centroid
 from quarry.plans import sqlfrag as S
-from quarry.plans.common import collect_centroids, label_centroids
+from quarry.plans.common import CENT_SQL, collect_centroids, label_centroids
 from quarry.plans.registry import query
 from quarry.session import scratch_path
 from quarry.sources import files as FS
@@ -76,12 +77,22 @@ def s5_model_roundtrip(spark, sf):
     return a.join(b, "vec_id")
 
 
-@query("s6_write_predictions")
+@query("s6_write_predictions", f"""WITH {CENT_SQL}
+SELECT vec_id, e.label AS label, c.label AS prediction, len(emb) AS n_values FROM emb e, cent c
+QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY list_distance(emb, centroid), c.label) = 1""")
 def s6_write_predictions(spark, sf):
-    e = emb_view(spark, sf).select("vec_id", "label", "c_rule", F.slice("emb", 1, 3).alias("head"))
+    """Scored rows (nearest label centroid) with their whole vectors, through CSV."""
+    e = emb_view(spark, sf)
+    labels, cents = collect_centroids(label_centroids(e))
+    lab = F.element_at(F.array(*[F.lit(x) for x in labels]), F.col("cluster") + 1)
+    scored = nearest_centroid(e, "emb", cents).select("vec_id", "label", lab.alias("prediction"),
+                                                      F.col("emb").alias("values"))
     path = scratch_path(spark, "pred-csv")
-    FS.write_predictions(e, path)
-    return spark.read.option("header", True).csv(path)
+    FS.write_predictions(scored, path)
+    back = spark.read.option("header", True).csv(path)
+    return back.select(F.col("vec_id").cast("long"), F.col("label").cast("int"),
+                       F.col("prediction").cast("int"),
+                       F.size(F.split("values", ";")).cast("long").alias("n_values"))
 
 
 @query("s7_model_nodes")

@@ -142,12 +142,10 @@ def tx6_lower(spark, sf):
 
 
 @query("tx7_replace_urls", f"""
-SELECT page_id, regexp_replace('visit ' || url || ' now', {_q(TF.URL_RE)}, ' URL ', 'g') AS text
-FROM pages""")
+SELECT page_id, regexp_replace(html, {_q(TF.URL_RE)}, ' URL ', 'g') AS text FROM pages""")
 def tx7_replace_urls(spark, sf):
     p = table(spark, sf, "pages")
-    return p.select("page_id", TF.replace_urls(F.concat(F.lit("visit "), "url", F.lit(" now")))
-                    .alias("text"))
+    return p.select("page_id", TF.replace_urls("html").alias("text"))
 
 
 @query("tx8_replace_numbers", f"""

@@ -1,5 +1,3 @@
-import re
-
 from pyspark.sql import functions as F
 
 from quarry.functions import porter
@@ -19,17 +17,12 @@ def test_porter_reference_pairs():
         assert porter.stem(w) == s, (w, porter.stem(w), s)
 
 
-def test_html_to_text_matches_python(spark):
+def test_html_to_text_by_hand(spark):
     html = ("<html><head><title>t</title></head><body><a href='x'>link</a><p>A &amp; B</p>"
             "\n\n\n<b>bold</b> &lt;x&gt;</body></html>")
-    df = spark.createDataFrame([(html,)], "h string")
-    got = df.select(TF.html_to_text("h")).first()[0]
-    import html as H
-    t = re.sub(r"<head.*?>.*?</head>", "", html, flags=re.M | re.S | re.I)
-    t = re.sub(r"<a\s.*?>", " HYPERLINK ", t, flags=re.M | re.S | re.I)
-    t = re.sub(r"<.*?>", "", t, flags=re.M | re.S)
-    t = re.sub(r"(\s*\n)+", "\n", t, flags=re.M | re.S)
-    assert got == H.unescape(t)
+    df = spark.createDataFrame([(html,), ("no tags",), (None,), ("",)], "h string")
+    got = [r[0] for r in df.select(TF.html_to_text("h")).collect()]
+    assert got == [" HYPERLINK linkA & B\nbold <x>", "no tags", None, ""]
 
 
 def test_word_counts_pipeline(spark):
@@ -53,7 +46,23 @@ def test_email_parsing(spark):
     assert out[1]["structure"] == "text/html" and "HYPERLINK" in out[1]["text"]
     assert out[2]["structure"] == "multipart(text/plain, text/html)"
     assert out[2]["text"].strip() == "plain part"
-    assert out[3]["subject"] == "bad" and out[3]["text"] is not None
+    assert out[3]["subject"] == "bad" and out[3]["text"] == "café"
+
+
+def test_email_nesting(spark):
+    def multi(mark, *parts):
+        return f'Content-Type: multipart/mixed; boundary="{mark}"\n\n' + "".join(
+            f"--{mark}\n{p}\n" for p in parts) + f"--{mark}--\n"
+    plain, html = "Content-Type: text/plain\n\nhi", "Content-Type: text/html\n\n<b>h</b>"
+    image = "Content-Type: image/png\n\nx"
+    mails = [multi("a", multi("b", plain, html), image), multi("a", multi("b", html), multi("c", html, image), plain),
+             multi("a", multi("b", multi("c", html)))]
+    df = spark.createDataFrame([(i, bytearray(m.encode())) for i, m in enumerate(mails)] + [(3, None)], "id int, content binary")
+    out = {r["id"]: (r["structure"], r["text"], r["subject"]) for r in TX.parse_mails(df).collect()}
+    assert out[0] == ("multipart(multipart(text/plain, text/html), image/png)", "hi", None)
+    assert out[1] == ("multipart(multipart(text/html), multipart(text/html, image/png), text/plain)", "hi", None)
+    assert out[2] == ("multipart(multipart(multipart(text/html)))", "h", None)
+    assert out[3] == (None, None, None)
 
 
 def test_vocabulary_ties_by_word(spark):
