@@ -149,17 +149,35 @@ def fast_order(seed: int, *id_cols) -> Column:
     return xx_u32(*id_cols, seed=seed)
 
 
+#: Rows that one value bucket may hold (one window task ranks one bucket).
+MAX_BUCKET_ROWS = 4_000_000
+
+
+def bucket_plan(n_rows: int, n_buckets: int = 1024, rel_err: float = 1e-3,
+                max_rows: int = MAX_BUCKET_ROWS) -> tuple[int, float]:
+    """(buckets, rank error) so that a bucket between two approximate
+    quantiles, n / buckets + 2 * error * n rows at most, holds ``max_rows``."""
+    if n_rows * (1.0 / n_buckets + 2 * rel_err) <= max_rows:
+        return n_buckets, rel_err
+    need = -(-4 * n_rows // max_rows)
+    return max(n_buckets, need), min(rel_err, max_rows / (4.0 * n_rows))
+
+
 def value_bucket(df: DataFrame, col: str, n_buckets: int = 1024, out: str = "_vb",
-                 rel_err: float = 1e-3, descending: bool = False, return_hot: bool = False):
+                 rel_err: float = 1e-3, descending: bool = False, return_hot: bool = False,
+                 max_rows: int = MAX_BUCKET_ROWS):
     """Add a monotone bucket of a numeric column from approximate quantiles.
 
-    Only ``n_buckets`` boundary values reach the driver; MLlib's Bucketizer
-    does the binary search on the executors.  A value that fills several
+    The number of buckets and the precision of the quantiles follow the row
+    count, so that no bucket of several values holds more than ``max_rows``
+    rows at any size.  Only the boundary values reach the driver; MLlib's
+    Bucketizer does the binary search on the executors.  A value that fills several
     quantile slots (a hot value) gets a bucket of its own, [v, next double),
     so it never shares a bucket with other values.  Nulls get their own
     bucket.
     """
     import math
+    n_buckets, rel_err = bucket_plan(df.count(), n_buckets, rel_err, max_rows)
     probs = [i / n_buckets for i in range(1, n_buckets)]
     qs = [float(q) for q in df.approxQuantile(col, probs, rel_err)] if n_buckets > 1 else []
     hot = {q for q in qs if qs.count(q) > 1}

@@ -148,3 +148,20 @@ def test_svr_leaves_its_margin_share(spark):
     off = all_queries()["l14_linear_svr"](spark, SF).count()
     n = spark.read.parquet(f"{SF}/lineitem.parquet").count()
     assert 0.3 * n < off < 0.6 * n
+
+
+# --------------------------------------------------------- bounded value buckets
+@pytest.mark.parametrize("n", [10**3, 10**7, 10**9, 10**12])
+def test_bucket_plan_bounds_rows(n):
+    from quarry.operators.window import MAX_BUCKET_ROWS, bucket_plan
+    buckets, err = bucket_plan(n)
+    assert n * (1 / buckets + 2 * err) <= MAX_BUCKET_ROWS * 1.0001
+
+
+@pytest.mark.parametrize("n", [2_000, 20_000])
+def test_no_bucket_outgrows_its_bound(spark, n):
+    from quarry.operators.window import value_bucket
+    df = spark.range(n).withColumn("x", F.when(F.col("id") % 3 == 0, 7.0).otherwise(F.pow(F.col("id") % 997, 2.0)))
+    d = value_bucket(df, "x", n_buckets=8, max_rows=300)
+    worst = d.groupBy("_vb").agg(F.count("*").alias("n"), F.countDistinct("x").alias("v")).where("v > 1")
+    assert (worst.agg(F.max("n")).first()[0] or 0) <= 300
