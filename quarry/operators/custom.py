@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param.shared import (HasFeaturesCol, HasLabelCol, HasPredictionCol,
                                      HasRawPredictionCol, Param, Params, TypeConverters)
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -60,11 +60,8 @@ class LinearSVMModel(Model, _SVMParams, DefaultParamsReadable, DefaultParamsWrit
     def _transform(self, df: DataFrame) -> DataFrame:
         score = self.decision_function(df)
 
-        @F.udf(VectorUDT())
-        def raw(s):
-            return Vectors.dense([-s, s])
         out = df.withColumn("_s", score)
-        return (out.withColumn(self.getRawPredictionCol(), raw("_s"))
+        return (out.withColumn(self.getRawPredictionCol(), array_to_vector(F.array(-F.col("_s"), F.col("_s"))))
                    .withColumn(self.getPredictionCol(), (F.col("_s") >= 0).cast("double"))
                    .drop("_s"))
 

@@ -104,25 +104,41 @@ def _m_step(stats: np.ndarray, k: int, d: int, cov_type: str, prior: float | Non
 
 def em(df: DataFrame, vec: str, k: int, cov_type: str = "full", max_iter: int = 100,
        tol: float = 1e-3, init_means=None, seed: int = 42, prior: float | None = None,
-       id_col: str | None = None) -> Mixture:
-    """C13 (and C14 with ``prior``): EM for Gaussian mixtures."""
-    d_ = df.select(F.col(vec).alias("x")).cache()
-    n = d_.count()
+       id_col: str | None = None, n_init: int = 1) -> Mixture:
+    """C13 (and C14 with ``prior``): EM for Gaussian mixtures, the likeliest of
+    ``n_init`` starts.  Starts are drawn by hash of ``id_col``, so they do not
+    depend on partitions.  Rows with a NULL or NaN take no part."""
+    from quarry.operators.aggregate import complete_rows
+    if init_means is None and id_col is None:
+        raise ValueError("id_col is needed to draw the first means")
+    d_ = complete_rows(df, vec).select(F.col(vec).alias("x"), *([F.col(id_col).alias("_id")] if id_col else [])).cache()
+    starts = [init_means]
     if init_means is None:
         from quarry.operators.cluster import kmeans_pp_init
-        src = df if id_col else df.withColumn("_rid", F.monotonically_increasing_id())
-        init_means = kmeans_pp_init(src, vec, id_col or "_rid", k, seed)
-    mu = np.asarray(init_means, dtype=float)
-    k = len(mu)
-    dim = mu.shape[1]
-    mix = Mixture(np.full(k, 1.0 / k), mu, np.repeat(np.eye(dim)[None], k, 0), cov_type, n=n)
-    # start from the k-means-like covariance of the data
-    prev = -np.inf
-    size = k + k * dim + k * dim * dim + 1
+        starts = [kmeans_pp_init(d_, "x", "_id", k, seed + s) for s in range(n_init)]
+    best = None
+    for means in starts:
+        mix = _em_from(d_.select("x"), np.asarray(means, dtype=float), cov_type, max_iter, tol, prior)
+        if best is None or mix.log_likelihood > best.log_likelihood:
+            best = mix
+    d_.unpersist()
+    return best
+
+
+def _em_from(d_: DataFrame, means: np.ndarray, cov_type: str, max_iter: int, tol: float,
+             prior: float | None) -> Mixture:
+    """EM from given means.  Sums are taken about the mean of the first means,
+    so covariances keep their digits."""
+    k, dim = means.shape
+    middle = means.mean(0)
+    n = d_.count()
+    mix = Mixture(np.full(k, 1.0 / k), means - middle, np.repeat(np.eye(dim)[None], k, 0), cov_type, n=n)
+    prev, size = -np.inf, k + k * dim + k * dim * dim + 1
     for it in range(max_iter):
         cur = mix
 
         def fn(X, pdf, cur=cur):
+            X = X - middle
             lp = component_log_density(X, cur)
             ll = _logsumexp(lp)
             r = np.exp(lp - ll[:, None])
@@ -135,10 +151,10 @@ def em(df: DataFrame, vec: str, k: int, cov_type: str = "full", max_iter: int =
         if abs(ll - prev) <= tol * n:
             break
         prev = ll
-    d_.unpersist()
-    # final log-likelihood under the returned parameters
-    mix.log_likelihood = float(sum_pass(df.select(F.col(vec).alias("x")),
-                                        lambda X, p: np.array([_logsumexp(component_log_density(X, mix)).sum()]), 1)[0])
+    mix.means = mix.means + middle
+    # the log-likelihood under the returned parameters
+    mix.log_likelihood = float(sum_pass(
+        d_, lambda X, p: np.array([_logsumexp(component_log_density(X, mix)).sum()]), 1)[0])
     return mix
 
 
@@ -218,12 +234,13 @@ def sample(spark: SparkSession, mix: Mixture, n: int, seed: int = 42) -> DataFra
     return r.select("id", "component", F.array(*xs).alias("x"))
 
 
-def bic_table(df: DataFrame, vec: str, ks, cov_types, max_iter: int = 30, seed: int = 42):
+def bic_table(df: DataFrame, vec: str, ks, cov_types, id_col: str, max_iter: int = 30,
+              seed: int = 42, n_init: int = 1):
     """C17: BIC / AIC for every (k, covariance type)."""
     out = []
     for k in ks:
         for ct in cov_types:
-            m = em(df, vec, k, ct, max_iter=max_iter, seed=seed)
+            m = em(df, vec, k, ct, max_iter=max_iter, seed=seed, id_col=id_col, n_init=n_init)
             out.append((k, ct, m.log_likelihood, m.bic(), m.aic()))
     return out
 

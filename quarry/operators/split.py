@@ -165,19 +165,25 @@ def poisson_thresholds(lam: float, tol: float = 1e-12) -> list[float]:
         j += 1
 
 
+def poisson_weight(replica: Column, ids: Sequence[str], rate: float, seed: int = 42) -> Column:
+    """Poisson(rate) multiplicity of a row in a replica: how many CDF
+    values the hash uniform of (seed, replica, ids) has reached."""
+    thr = poisson_thresholds(rate)
+    u = md5_uniform(F.lit(seed), replica, *ids)
+    if len(thr) <= 64:
+        return sum((F.when(u >= F.lit(t), 1).otherwise(0) for t in thr), F.lit(0)).cast("int")
+    # many thresholds: one array, not one branch each
+    return F.aggregate(F.array(*(F.lit(t) for t in thr)), F.struct(u.alias("u"), F.lit(0).alias("n")),
+                       lambda a, t: F.struct(a["u"].alias("u"), (a["n"] + (t <= a["u"]).cast("int")).alias("n")),
+                       lambda a: a["n"])
+
+
 def bootstrap(df: DataFrame, n_replicas: int, ids: Sequence[str], max_samples: float = 1.0,
               seed: int = 42, out: str = "weight") -> DataFrame:
     """Sampling with replacement as a Poisson(max_samples) multiplicity per
-    (row, replica): weight = #{j : u > CDF(j)} with u = hash uniform."""
-    thr = poisson_thresholds(max_samples)
+    (row, replica), in long form."""
     rep = df.withColumn("replica", F.explode(F.sequence(F.lit(0), F.lit(n_replicas - 1))))
-    u = md5_uniform(F.lit(seed), F.col("replica"), *ids)
-    if len(thr) <= 64:
-        w = sum((F.when(u >= F.lit(t), 1).otherwise(0) for t in thr), F.lit(0))
-    else:                       # many thresholds: one array, not one branch each
-        w = F.size(F.filter(F.lit(thr), lambda t: t <= F.col("_u")))
-        return rep.withColumn("_u", u).withColumn(out, w.cast("int")).drop("_u")
-    return rep.withColumn(out, w.cast("int"))
+    return rep.withColumn(out, poisson_weight(F.col("replica"), ids, max_samples, seed))
 
 
 def sample_without_replacement(df: DataFrame, n: int, ids: Sequence[str], seed: int = 42,

@@ -23,7 +23,7 @@ from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomFor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.split import bootstrap, shuffle_split
+from quarry.operators.split import poisson_weight, shuffle_split
 from quarry.session import cut_lineage
 
 
@@ -60,31 +60,63 @@ def _proba_col(pred: DataFrame, k: int):
 
 
 # ---------------------------------------------------------------- L20
-def bagging(df: DataFrame, id_col: str, n_estimators: int = 10, max_samples: float = 1.0,
+def bagging(df: DataFrame, id_col: str, n_estimators: int = 10, max_samples: float | int = 1.0,
             features: str = "features", label: str = "label", seed: int = 42,
             **tree_kw) -> dict:
     """Bagged decision trees with an out-of-bag score.
 
-    Replica r's sample is a Poisson(max_samples) weight per row (T9); the
-    tree is fitted with ``weightCol``; OOB rows of r are those with weight 0.
+    Replica r's sample is a Poisson weight per row (T9), computed from the
+    hash of (seed, r, id) on the one cached table; ``max_samples`` is a share
+    (float) or an expected number of rows (int).  Rows of weight 0 are out of
+    bag for r.  ``oob`` has the mean class probabilities of the replicas that
+    did not see the row, its class and its label.
     """
-    w = bootstrap(df.select(id_col, features, label), n_estimators, [id_col], max_samples,
-                  seed).cache()
-    models, oob_preds = [], None
-    for r in range(n_estimators):
-        rep = w.filter(F.col("replica") == r)
-        m = DecisionTreeClassifier(featuresCol=features, labelCol=label, weightCol="weight",
-                                   seed=seed + r, **tree_kw).fit(rep.filter("weight > 0"))
-        models.append(m)
-        oob = m.transform(rep.filter("weight = 0")).select(
-            id_col, F.col("prediction").alias("p"))
-        oob_preds = oob if oob_preds is None else oob_preds.unionByName(oob)
-    from quarry.operators.aggregate import mode
-    votes = mode(oob_preds, [id_col], "p", "oob_pred")
-    scored = votes.join(df.select(id_col, label), id_col)
-    oob_score = scored.agg(F.avg((F.col("oob_pred") == F.col(label)).cast("double"))).first()[0]
-    w.unpersist()
-    return {"models": models, "oob_score": oob_score, "oob_votes": votes}
+    data = df.select(id_col, features, label).cache()
+    rate = max_samples / max(data.count(), 1) if isinstance(max_samples, int) else max_samples
+    weight = [poisson_weight(F.lit(r), [id_col], rate, seed) for r in range(n_estimators)]
+    models = [DecisionTreeClassifier(featuresCol=features, labelCol=label, weightCol="_w",
+                                     seed=seed + r, **tree_kw)
+              .fit(data.withColumn("_w", weight[r].cast("double")).filter("_w > 0"))
+              for r in range(n_estimators)]
+    k = max(m.numClasses for m in models)
+    # plain columns first: the trees' own columns do not fit into one expression
+    out, seen = data, []
+    for r, m in enumerate(models):
+        out = _with_proba(m, out, features, f"_q{r}", k)
+        seen.append(F.when(weight[r] == 0, F.col(f"_q{r}")))
+    members = F.filter(F.array(*seen), lambda q: q.isNotNull())
+    mean = F.transform(F.aggregate(members, F.array_repeat(F.lit(0.0), k),
+                                   lambda a, q: F.zip_with(a, q, lambda x, y: x + y)),
+                       lambda x: x / F.size(members))
+    oob = out.filter(F.size(members) > 0).select(id_col, label, mean.alias("oob_proba"))
+    oob = oob.withColumn("oob_pred", (F.array_position("oob_proba", F.array_max("oob_proba")) - 1).cast("double"))
+    score = oob.agg(F.avg((F.col("oob_pred") == F.col(label)).cast("double"))).first()[0]
+    return {"models": models, "oob_score": score, "oob": oob, "oob_votes": oob.select(id_col, "oob_pred"),
+            "n_classes": k}
+
+
+def _with_proba(model, df: DataFrame, features: str, out: str, k: int) -> DataFrame:
+    """Class probabilities of one fitted classifier as an array of length k."""
+    names = {"prediction": "_tp", "rawPrediction": "_tr", "probability": "_tq"}
+    m = model.copy()
+    m = m.setFeaturesCol(features).setPredictionCol(names["prediction"]) \
+        .setRawPredictionCol(names["rawPrediction"]).setProbabilityCol(names["probability"])
+    q = vector_to_array("_tq")
+    q = F.concat(q, F.array_repeat(F.lit(0.0), k - model.numClasses)) if k > model.numClasses else q
+    return m.transform(df).withColumn(out, q).drop(*names.values())
+
+
+def bagging_predict(ens: dict, df: DataFrame, features: str = "features") -> DataFrame:
+    """Mean class probabilities over the bagged trees, and the likeliest class."""
+    out, k = df, ens["n_classes"]
+    for r, m in enumerate(ens["models"]):
+        out = _with_proba(m, out, features, f"_q{r}", k)
+    total = F.aggregate(F.array(*(F.col(f"_q{r}") for r in range(len(ens["models"])))),
+                        F.array_repeat(F.lit(0.0), k),
+                        lambda a, q: F.zip_with(a, q, lambda x, y: x + y))
+    out = out.withColumn("proba", F.transform(total, lambda x: x / len(ens["models"])))
+    return out.withColumn("prediction", (F.array_position("proba", F.array_max("proba")) - 1).cast("double")) \
+        .drop(*(f"_q{r}" for r in range(len(ens["models"]))))
 
 
 def vote(preds: DataFrame, id_col: str, member_col: str = "member",
@@ -140,50 +172,83 @@ def small_tree_forest(df: DataFrame, test: DataFrame, id_col: str, n_sets: int =
 
 
 # ---------------------------------------------------------------- L23
+SMALLEST = 1e-15
+
+
 def adaboost(df: DataFrame, n_estimators: int = 10, learning_rate: float = 0.5,
              features: str = "features", label: str = "label", max_depth: int = 1,
-             checkpoint_every: int = 5, seed: int = 42) -> dict:
-    """SAMME AdaBoost over depth-limited trees.  Row weights live in a
-    column updated by an expression each round; the lineage is cut with a
-    reliable checkpoint every few rounds."""
-    k = df.select(label).distinct().count()
-    d = df.select(features, label).withColumn("w", F.lit(1.0))
+             checkpoint_every: int = 5, seed: int = 42, algorithm: str = "SAMME") -> dict:
+    """Multi-class AdaBoost over depth-limited trees.  SAMME weighs a
+    stage by its error; SAMME.R uses the stage's class probabilities.  Row
+    weights are a column updated by one expression a round; the lineage is cut
+    with a reliable checkpoint every few rounds."""
+    k = int(df.agg(F.max(label)).first()[0]) + 1
+    d = cut_lineage(df.select(features, label).withColumn("w", F.lit(1.0)))
     stages, alphas = [], []
     for r in range(n_estimators):
         m = DecisionTreeClassifier(featuresCol=features, labelCol=label, weightCol="w",
                                    maxDepth=max_depth, seed=seed + r).fit(d)
-        p = m.transform(d).withColumn("miss", (F.col("prediction") != F.col(label)).cast("double"))
-        err = p.agg((F.sum(F.col("w") * F.col("miss")) / F.sum("w")).alias("e")).first()["e"]
-        err = min(max(err, 1e-10), 1 - 1e-10)
-        alpha = learning_rate * (math.log((1 - err) / err) + math.log(k - 1))
+        p = _with_proba(m, d, features, "_q", k)
+        if algorithm == "SAMME.R":
+            logs = F.transform("_q", lambda x: F.log(F.greatest(x, F.lit(SMALLEST))))
+            own = F.get(logs, F.col(label).cast("int"))
+            rest = F.aggregate(logs, F.lit(0.0), lambda a, x: a + x) - own
+            coded = own - rest / (k - 1)          # labels coded 1 and -1 / (k - 1)
+            alpha, w = 1.0, F.col("w") * F.exp(-learning_rate * (k - 1) / k * coded)
+        else:
+            miss = (F.array_position("_q", F.array_max("_q")) - 1 != F.col(label)).cast("double")
+            err = p.agg(F.sum(F.col("w") * miss) / F.sum("w")).first()[0]
+            err = min(max(err, 1e-10), 1 - 1e-10)
+            alpha = learning_rate * (math.log((1 - err) / err) + math.log(k - 1))
+            w = F.col("w") * F.exp(F.lit(alpha) * miss)
         stages.append(m)
         alphas.append(alpha)
-        d = p.withColumn("w", F.col("w") * F.exp(F.lit(alpha) * F.col("miss"))).select(
-            features, label, "w")
-        tot = d.agg(F.sum("w")).first()[0]
-        d = d.withColumn("w", F.col("w") / F.lit(tot))
+        d = p.withColumn("w", w).select(features, label, "w")
+        total = d.agg(F.sum("w")).first()[0]
+        d = d.withColumn("w", F.col("w") / F.lit(total))
         if (r + 1) % checkpoint_every == 0:
             d = cut_lineage(d)
-    return {"models": stages, "alphas": alphas, "n_classes": k}
+    return {"models": stages, "alphas": alphas, "n_classes": k, "algorithm": algorithm}
 
 
-def _add_vote(pred_col: str, alpha: float):
-    return lambda s, j: s + F.when(F.col(pred_col) == j, F.lit(alpha)).otherwise(F.lit(0.0))
+def reweighted_sequence(df: DataFrame, fit, n_rounds: int, learning_rate: float = 1.0,
+                        features: str = "features", label: str = "label") -> list:
+    """L23 by hand: ``fit(data)`` (a classifier with weightCol ``w``) again and
+    again, each time with the rows it got wrong weighing 1 + learning_rate
+    times as much.  Returns the models of all rounds."""
+    d, models = df.withColumn("w", F.lit(1.0)), []
+    for r in range(n_rounds):
+        m = fit(d)
+        models.append(m)
+        p = m.transform(d)
+        factor = F.when(F.col("prediction") != F.col(label), 1.0 + learning_rate).otherwise(1.0)
+        d = cut_lineage(p.withColumn("w", F.col("w") * factor).select(*d.columns))
+    return models
 
 
 def adaboost_predict(ens: dict, df: DataFrame, features: str = "features") -> DataFrame:
-    k = ens["n_classes"]
+    """Class scores summed over the stages, and the class with the highest."""
+    k, out = ens["n_classes"], df
     score = F.array_repeat(F.lit(0.0), k)
-    out = df
     for i, (m, a) in enumerate(zip(ens["models"], ens["alphas"])):
-        out = m.setPredictionCol(f"_p{i}").setRawPredictionCol(f"_r{i}") \
-            .setProbabilityCol(f"_q{i}").transform(out)
-        score = F.transform(score, _add_vote(f"_p{i}", a))
+        out = _with_proba(m, out, features, f"_q{i}", k)
+        q = F.col(f"_q{i}")
+        if ens.get("algorithm") == "SAMME.R":
+            logs = F.transform(q, lambda x: F.log(F.greatest(x, F.lit(SMALLEST))))
+            mean = F.aggregate(logs, F.lit(0.0), lambda s, x: s + x) / k
+            part = F.zip_with(logs, F.array_repeat(mean, k), lambda x, y: (k - 1) * (x - y))
+        else:
+            best = F.array_position(q, F.array_max(q)) - 1
+            part = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), _vote_of(best, a))
+        out = out.withColumn(f"_s{i}", part)
+        score = F.zip_with(score, F.col(f"_s{i}"), lambda x, y: x + y)
     out = out.withColumn("ada_score", score)
-    out = out.withColumn("prediction", (F.array_position("ada_score", F.array_max("ada_score"))
-                                        - 1).cast("double"))
-    drops = [c for c in out.columns if c.startswith(("_p", "_r", "_q"))]
-    return out.drop(*drops)
+    out = out.withColumn("prediction", (F.array_position("ada_score", F.array_max("ada_score")) - 1).cast("double"))
+    return out.drop(*(f"{c}{i}" for i in range(len(ens["models"])) for c in ("_q", "_s")))
+
+
+def _vote_of(best, alpha: float):
+    return lambda j: F.when(best == j, F.lit(float(alpha))).otherwise(F.lit(0.0))
 
 
 # ---------------------------------------------------------------- L24 / L25

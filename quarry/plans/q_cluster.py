@@ -205,7 +205,7 @@ def c16_gmm_sample(spark, sf):
 @query("c17_bic_aic")
 def c17_bic_aic(spark, sf):
     pcs = _planted_pcs(spark, sf, 3)
-    rows = D.bic_table(pcs, "pc", [3, 5], ["full", "diag"], max_iter=15)
+    rows = D.bic_table(pcs, "pc", [3, 5], ["full", "diag"], id_col="vec_id", max_iter=15, n_init=2)
     return spark.createDataFrame(rows, "k int, cov_type string, log_likelihood double, "
                                        "bic double, aic double")
 

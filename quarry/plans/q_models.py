@@ -280,7 +280,7 @@ def l19_extra_trees(spark, sf):
 def l20_bagging_oob(spark, sf):
     e = _emb_cls(spark, sf)
     r = TR.bagging(e, "vec_id", n_estimators=5, maxDepth=5)
-    return r["oob_votes"].withColumn("oob_score", F.lit(r["oob_score"]))
+    return r["oob"].select("vec_id", "oob_proba", "oob_pred").withColumn("oob_score", F.lit(r["oob_score"]))
 
 
 _VOTE_MEMBERS = {"m0": (0, 3), "m1": (0, 4), "m2": (1, 3)}
@@ -327,7 +327,7 @@ def l22_small_tree_forest(spark, sf):
 @query("l23_adaboost")
 def l23_adaboost(spark, sf):
     e = _emb(spark, sf).withColumn("label", (F.col("c_rule") == 0).cast("double"))
-    ens = TR.adaboost(e, n_estimators=4, learning_rate=0.5, max_depth=1, checkpoint_every=2)
+    ens = TR.adaboost(e, n_estimators=10, learning_rate=0.5, max_depth=1, algorithm="SAMME.R")
     return TR.adaboost_predict(ens, e).select("vec_id", "prediction", "label")
 
 
@@ -409,9 +409,11 @@ def g3_grid_search(spark, sf):
     rf = TR.random_forest(seed=42)
     maps = G.grid(rf, [{"numTrees": [5, 10], "maxDepth": [3, 5]}, {"numTrees": [5],
                                                                     "bootstrap": [False]}])
-    _, res = G.grid_search(rf, maps, MulticlassClassificationEvaluator(metricName="accuracy"),
-                           e, parallelism=4)
-    return res
+    ev = MulticlassClassificationEvaluator(metricName="accuracy")
+    model, res = G.grid_search(rf, maps, ev, e, parallelism=4, collect_sub_models=True)
+    train = G.fold_scores(model, e, ev).groupBy("map_id").agg(F.avg("train_score").alias("mean_train_score"))
+    e.unpersist()
+    return res.join(train, "map_id")
 
 
 @query("g4_random_search")
@@ -445,7 +447,7 @@ def g6_held_out_search(spark, sf):
     e = _emb_cls(spark, sf)
     dt = TR.decision_tree(seed=42)
     maps = G.grid(dt, {"maxDepth": [2, 4, 6]})
-    _, res = G.held_out_search(dt, maps, MulticlassClassificationEvaluator(metricName="accuracy"), e)
+    _, res = G.held_out_search(dt, maps, MulticlassClassificationEvaluator(metricName="accuracy"), e, ["vec_id"])
     return res
 
 

@@ -150,6 +150,6 @@ SELECT user_id, count(*) AS n, {S.rnd('avg(value)', 9)} AS mean FROM events GROU
 def d4_running_mean_stream(spark, sf):
     ev = table(spark, sf, "events")
     stream = _stream_input(spark, ev.select("event_id", "user_id", "value"), ["event_id"])
-    import uuid
-    out = D.running_mean_stream(stream, "user_id", "value", f"d4_{uuid.uuid4().hex[:8]}")
+    out = D.running_mean_stream(stream, "user_id", "value", scratch_path(spark, "d4-sink"),
+                                scratch_path(spark, "d4-ckpt"))
     return out.select("user_id", "n", rnd("mean", 9).alias("mean"))

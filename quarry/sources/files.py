@@ -32,10 +32,11 @@ def with_batches(df: DataFrame, n: int, ids: Sequence[str], seed: int = 42,
 
 
 def write_batches(df: DataFrame, path: str, n: int, ids: Sequence[str], seed: int = 42) -> str:
-    """S3: write one Parquet file per batch (batch=k folders), the input of a
-    file stream read with maxFilesPerTrigger=1."""
+    """S3: write the batches as folders batch=k.  Every task writes its own
+    files of each batch, so no batch passes through one task; a stream over the
+    folders takes as many files per trigger as it likes."""
     d = with_batches(df, n, ids, seed)
-    d.repartition("batch").write.mode("overwrite").partitionBy("batch").parquet(path)
+    d.write.mode("overwrite").partitionBy("batch").parquet(path)
     return path
 
 

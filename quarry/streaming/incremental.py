@@ -150,10 +150,20 @@ def pca_from_state(state: dict, k: int):
 
 
 # ---------------------------------------------------------------- D4
-def running_mean_stream(stream: DataFrame, key: str, value: str, query_name: str):
-    """Streaming per-key running mean (complete mode, memory sink)."""
-    agg = stream.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("mean"))
-    q = (agg.writeStream.outputMode("complete").format("memory").queryName(query_name)
-         .trigger(availableNow=True).start())
+def running_mean_stream(stream: DataFrame, key: str, value: str, path: str,
+                        checkpoint: str) -> DataFrame:
+    """Streaming per-key running mean.  Each trigger writes only the keys it
+    changed, to its own folder of the sink (a replayed trigger overwrites it);
+    the current value of a key is the one of its latest trigger."""
+    path = path.rstrip("/")
+    agg = stream.groupBy(key).agg(F.count(value).alias("_n"), F.sum(value).alias("_sum"),
+                                  F.count(F.lit(1)).alias("n"))
+
+    def handle(batch: DataFrame, batch_id: int):
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={int(batch_id)}")
+    q = (agg.writeStream.outputMode("update").foreachBatch(handle)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    return stream.sparkSession.table(query_name)
+    latest = stream.sparkSession.read.parquet(path).groupBy(key).agg(
+        F.max_by(F.struct("n", "_n", "_sum"), "batch_id").alias("s"))
+    return latest.select(key, "s.n", F.try_divide("s._sum", "s._n").alias("mean"))
