@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from quarry.llm.ragged import text_slices, texts_of
+from quarry.llm.ragged import kept, text_slices, texts_of
 
 WORD = re.compile(r"[^\W_]+")
 
@@ -168,17 +168,6 @@ class Matcher:
         return sorted(out, key=lambda x: (x[2], x[1], x[3]))
 
 
-_BUILT: dict[str, Matcher] = {}
-
-
-def _matcher(token: str, items, rate: float, least_words: int) -> Matcher:
-    if token not in _BUILT:
-        if len(_BUILT) > 2:
-            _BUILT.clear()
-        _BUILT[token] = Matcher(items, rate, least_words)
-    return _BUILT[token]
-
-
 def item_blocks(items: DataFrame, block_bytes: int, id_col: str, text_col: str):
     """Items in blocks of about ``block_bytes`` of text, one block at a time on
     the driver, for tasks to hold."""
@@ -204,7 +193,7 @@ def find_passages(docs: DataFrame, items: DataFrame, rate: float = 0.1, least_wo
         shared, token = docs.sparkSession.sparkContext.broadcast(block), uuid.uuid4().hex
 
         def run(batches, shared=shared, token=token):
-            matcher = _matcher(token, shared.value, rate, least_words)
+            matcher = kept(("items", token), lambda: Matcher(shared.value, rate, least_words))
             for batch in batches:
                 for part in text_slices(batch, text_col):
                     rows, found = [], []
@@ -228,7 +217,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, rate: float = 0.1, leas
         shared, token = docs.sparkSession.sparkContext.broadcast(block), uuid.uuid4().hex
 
         def run(batches, shared=shared, token=token):
-            matcher = _matcher(token, shared.value, rate, least_words)
+            matcher = kept(("items", token), lambda: Matcher(shared.value, rate, least_words))
             for batch in batches:
                 for part in text_slices(batch, text_col):
                     clean = [not matcher.passages(normal(t)) for t in texts_of(part, text_col).to_pylist()]

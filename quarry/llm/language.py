@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from quarry.llm.ragged import concat_ranges, segment_sums, split_codes, text_slices, texts_of
+from quarry.llm.ragged import concat_ranges, nothing_kept, segment_sums, split_codes, text_slices, texts_of
 
 GRAMS = (1, 2, 3, 4)
 BITS = 18
@@ -291,6 +291,7 @@ def predict_language(docs: DataFrame, field: Field, id_col: str = "doc_id",
                          StructField("score", DoubleType())])
 
     def run(batches):
+        nothing_kept()
         for batch in batches:
             for part in text_slices(batch, text_col, 8 << 20):
                 lang, score = shared.value.predict(texts_of(part, text_col))

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from quarry.llm.ragged import nothing_kept
 from quarry.session import scratch_path
 
 MIX = 0x9E3779B97F4A7C15
@@ -85,6 +86,7 @@ def dedup_lines(docs: DataFrame, window: int = 2, modulus: int = 2, long_words:
     own = _marked(docs, id_col, text_col)
 
     def places(batches):
+        nothing_kept()
         for batch in batches:
             rows, at, h1, h2 = [], [], [], []
             for i, text in enumerate(batch.column("__text").to_pylist()):

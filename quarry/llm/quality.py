@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from quarry.llm.ragged import segment_sums, split_codes, text_slices, texts_of
+from quarry.llm.ragged import nothing_kept, segment_sums, split_codes, text_slices, texts_of
 
 LOWER, UPPER, DIGIT, BLANK, STOP, QUOTE, SYMBOL, WIDE, TAIL = range(9)
 
@@ -193,6 +193,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_train_rows: int = 20_000
     schema = "y double, h long, x array<double>"
 
     def run(batches):
+        nothing_kept()
         for batch in batches:
             for part in text_slices(batch, "text"):
                 x = statistics(texts_of(part, "text"))
@@ -215,6 +216,7 @@ def score_quality(docs: DataFrame, trees: Trees, id_col: str = "doc_id",
     schema = StructType([docs.schema[id_col], StructField("score", DoubleType())])
 
     def run(batches):
+        nothing_kept()
         for batch in batches:
             for part in text_slices(batch, text_col, 8 << 20):
                 score = trees.scores(statistics(texts_of(part, text_col)))
@@ -228,6 +230,7 @@ def keep_quality(docs: DataFrame, trees: Trees, least: float = 0.3, text_col: st
     """The rows scored ``least`` or more, with all their columns."""
 
     def run(batches):
+        nothing_kept()
         for batch in batches:
             for part in text_slices(batch, text_col, 8 << 20):
                 keep = trees.scores(statistics(texts_of(part, text_col))) >= least

@@ -10,12 +10,30 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 
+_KEPT: dict = {}
+
+
+def kept(name, make):
+    """State that a Python worker keeps between tasks.  Only the latest is held:
+    a worker that serves another operator lets go of what it kept before."""
+    if name not in _KEPT:
+        _KEPT.clear()
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
+def nothing_kept() -> None:
+    """For operators that keep no state: let go of what another one kept."""
+    _KEPT.clear()
+
+
 def text_slices(batch: pa.RecordBatch, column: str,
                 max_bytes: int = 16 << 20) -> Iterator[pa.RecordBatch]:
     """Consecutive slices of a batch holding about ``max_bytes`` of text each
     (a single longer text is a slice of its own); nulls count as empty."""
     if not batch.num_rows:
         return
+    pa.default_memory_pool().release_unused()
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(sizes, dtype=np.int64)
     at = 0

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from quarry.llm.ragged import text_slices, texts_of
+from quarry.llm.ragged import nothing_kept, text_slices, texts_of
 
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
@@ -209,6 +209,7 @@ def scan_secrets(docs: DataFrame, max_layer_bytes: int = 64 << 20, id_col: str =
                          StructField("n_unopened", LongType())])
 
     def run(batches):
+        nothing_kept()
         for batch in batches:
             for part in text_slices(batch, text_col):
                 texts = texts_of(part, text_col)

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from quarry.llm.ragged import concat_ranges, text_slices, texts_of
+from quarry.llm.ragged import concat_ranges, nothing_kept, text_slices, texts_of
 from quarry.operators.graph import star_components
 from quarry.session import scratch_path
 
@@ -71,6 +71,7 @@ def fingerprints(docs: DataFrame, size: int = 4, keep: tuple[str, ...] = ("doc_i
     schema = StructType([*(own.schema[c] for c in keep), StructField("fp", LongType())])
 
     def run(batches):
+        nothing_kept()
         for batch in batches:
             for part in text_slices(batch, "__text"):
                 fp = [fingerprint(t, size) for t in texts_of(part, "__text").to_pylist()]

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
-from quarry.llm.ragged import segment_sums, split_codes, text_slices, texts_of
+from quarry.llm.ragged import kept, segment_sums, split_codes, text_slices, texts_of
 
 SPACE = "▁"
 CUT = re.compile("(?<=[^▁])(?=▁)")
@@ -158,7 +158,7 @@ def _disjoint(at: np.ndarray) -> np.ndarray:
 class WordCounts:
     """Counts of texts; remembers up to ``max_words`` distinct words."""
 
-    def __init__(self, path: str, max_words: int = 1_000_000):
+    def __init__(self, path: str, max_words: int = 500_000):
         self.table, self.max_words = MergeTable(path), max_words
         self.known: dict[str, int] = {}
 
@@ -182,9 +182,6 @@ class WordCounts:
         return out
 
 
-_KEPT: dict[str, WordCounts] = {}
-
-
 def count_tokens(docs: DataFrame, model_path: str, limit: int = 4096,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_bytes, n_tokens, over_limit (more than ``limit`` tokens) of every row."""
@@ -193,12 +190,11 @@ def count_tokens(docs: DataFrame, model_path: str, limit: int = 4096,
                          StructField("over_limit", BooleanType())])
 
     def run(batches):
-        if model_path not in _KEPT:
-            _KEPT[model_path] = WordCounts(model_path)
+        counter = kept(("counts", model_path), lambda: WordCounts(model_path))
         for batch in batches:
             for part in text_slices(batch, text_col):
                 texts = texts_of(part, text_col)
-                n = _KEPT[model_path].texts(texts)
+                n = counter.texts(texts)
                 size = pc.binary_length(texts).cast(pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(id_col), size, pa.array(n), pa.array(n > limit)],

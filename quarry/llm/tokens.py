@@ -13,11 +13,12 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
 
-from quarry.llm.ragged import concat_ranges, split_codes
+from quarry.llm.ragged import concat_ranges, kept, split_codes
 
 LETTER = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
 DIGIT = "0-9²³¹¼-¾"
@@ -38,9 +39,10 @@ def byte_letters() -> list[str]:
 
 
 class WordIds:
-    """Ids of texts; remembers up to ``max_words`` distinct words."""
+    """Ids of texts; remembers about ``max_words`` distinct words (as entries
+    of one flat array) and as many pre-tokens (as packed bytes)."""
 
-    def __init__(self, path: str, max_words: int = 1_000_000):
+    def __init__(self, path: str, max_words: int = 300_000):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.model = self.tok.model
@@ -60,38 +62,35 @@ class WordIds:
             raise ValueError(f"{path}: neither byte-level nor a lower-casing word file")
         self.letters = byte_letters()
         self.max_words = max_words
-        self.reset()
+        self.known: dict[str, bytes] = {}
+        self.forget_words()
 
-    def reset(self) -> None:
+    def forget_words(self) -> None:
         self.entry: dict[str, int] = {}
-        self.known: dict[str, list[int]] = {}
         self.starts = np.zeros(1024, np.int64)
         self.counts = np.zeros(1024, np.int64)
         self.flat = np.zeros(8192, np.uint32)
         self.used = 0
 
     # ---------------------------------------------------------------- words
-    def word_ids(self, word: str) -> list[int]:
-        """Ids of one piece that stands between two certain cuts."""
+    def word_ids(self, word: str) -> bytes:
+        """Ids (unsigned 32-bit) of one piece that stands between two certain cuts."""
         if not (word.isascii() and word.isprintable() or PLAIN.fullmatch(word)) \
                 or "<" in word and any(s in word for s in self.specials):
-            return self.tok.encode(word, add_special_tokens=False).ids
+            return packed(self.tok.encode(word, add_special_tokens=False).ids)
         parts = self.pattern.findall(word if self.spaced else word.lower())
         known = self.known
         if len(parts) == 1:
             return known.get(parts[0]) or self.part_ids(parts[0])
-        out: list[int] = []
-        for part in parts:
-            out += known.get(part) or self.part_ids(part)
-        return out
+        return b"".join([known.get(part) or self.part_ids(part) for part in parts])
 
-    def part_ids(self, part: str) -> list[int]:
+    def part_ids(self, part: str) -> bytes:
         """Ids of one pre-token by the library's model."""
         if part.isascii() and part.isprintable():
             seen = part.replace(" ", self.letters[32])
         else:
             seen = "".join([self.letters[b] for b in part.encode()])
-        ids = self.known[part] = [t.id for t in self.model.tokenize(seen)]
+        ids = self.known[part] = packed([t.id for t in self.model.tokenize(seen)])
         return ids
 
     def entries(self, words: list[str]) -> np.ndarray:
@@ -99,14 +98,14 @@ class WordIds:
         missing = list(dict.fromkeys(w for w in words if w not in self.entry))
         if missing:
             fresh = [self.word_ids(w) for w in missing]
-            n, sizes = len(self.entry), np.fromiter(map(len, fresh), np.int64, len(fresh))
+            n, sizes = len(self.entry), np.fromiter(map(len, fresh), np.int64, len(fresh)) // 4
             total = int(sizes.sum())
             self.starts = _grown(self.starts, n + len(fresh))
             self.counts = _grown(self.counts, n + len(fresh))
             self.flat = _grown(self.flat, self.used + total)
             self.starts[n:n + len(fresh)] = self.used + np.cumsum(sizes) - sizes
             self.counts[n:n + len(fresh)] = sizes
-            self.flat[self.used:self.used + total] = [i for ids in fresh for i in ids]
+            self.flat[self.used:self.used + total] = np.frombuffer(b"".join(fresh), np.uint32)
             self.used += total
             self.entry.update(zip(missing, range(n, n + len(missing))))
         return np.fromiter(map(self.entry.__getitem__, words), np.int64, len(words))
@@ -114,8 +113,10 @@ class WordIds:
     # ---------------------------------------------------------------- texts
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets): text i owns ids[offsets[i]:offsets[i+1]]."""
-        if len(self.entry) > self.max_words or len(self.known) > self.max_words:
-            self.reset()
+        if len(self.entry) > self.max_words:
+            self.forget_words()
+        if len(self.known) > self.max_words:
+            self.known.clear()
         if not len(texts):
             return np.zeros(0, np.uint32), np.zeros(1, np.int64)
         codes, offsets, words = split_codes(texts)
@@ -147,6 +148,10 @@ class WordIds:
         return np.concatenate(out), np.concatenate(([0], np.cumsum(sizes)))
 
 
+def packed(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes()
+
+
 def _grown(a: np.ndarray, n: int) -> np.ndarray:
     if n <= len(a):
         return a
@@ -155,13 +160,9 @@ def _grown(a: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-_KEPT: dict[str, WordIds] = {}
-
-
 def word_ids(path: str) -> WordIds:
-    """The worker's own tokenizer for a file (loaded once per process)."""
-    if path not in _KEPT:
-        import os
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _KEPT[path] = WordIds(path)
-    return _KEPT[path]
+    """The worker's tokenizer for a file, kept until the worker turns to
+    another operator."""
+    import os
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return kept(("ids", path), lambda: WordIds(path))
