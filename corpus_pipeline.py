@@ -31,9 +31,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without chunks of lines that stand elsewhere before."""
+    """All documents, without chunks of lines and passages that stand elsewhere before."""
     ship_package(spark)
-    return dedup_lines(docs)
+    return dedup_lines(docs, passages=True)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -35,7 +35,7 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarry.llm.line_dedup import dedup_lines
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return dedup_lines(docs, detail=True)
+    return dedup_lines(docs, detail=True, passages=True)
 
 
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
