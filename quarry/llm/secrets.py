@@ -140,13 +140,18 @@ def inflate(data: bytes, most: int) -> bytes | None:
     return out
 
 
-def readable(data: bytes) -> str | None:
-    """The bytes as text, if they are UTF-8 without control characters."""
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return text if text and all(c.isprintable() or c in "\t\r\n" for c in text) else None
+NULS = re.compile(rb"(?:[\t\n\r -~]\x00){4}|(?:\x00[\t\n\r -~]){4}")
+LOOK = re.compile(MAY_HOLD)
+
+
+def readings(data: bytes) -> list[str]:
+    """The bytes as text, with replacements for what is none: as UTF-8 and, where
+    NULs stand between ASCII characters, as UTF-16 of both kinds from both first
+    bytes.  Left out is only what no pattern and no layer can find a thing in."""
+    texts = [data.decode("utf-8", "replace")]
+    if NULS.search(data):
+        texts += [data[first:].decode(kind, "replace") for kind in ("utf-16-le", "utf-16-be") for first in (0, 1)]
+    return [text for text in texts if LOOK.search(text)]
 
 
 def base64_layers(layer: Layer, most: int) -> tuple[list[Layer], int]:
@@ -164,8 +169,7 @@ def base64_layers(layer: Layer, most: int) -> tuple[list[Layer], int]:
         except TooLarge:
             unopened += 1
             continue
-        if (text := readable(data)) is not None:
-            out.append(layer.child(m.start(), m.end(), text))
+        out += [layer.child(m.start(), m.end(), text) for text in readings(data)]
     return out, unopened
 
 
