@@ -5,7 +5,8 @@ runs and compressed payloads are unwrapped layer by layer.  A layer knows for
 each of its characters which range of the original text it came from, so a
 find in any depth is reported as a range of the original.  A layer already
 seen in the same text is not opened again; the worklist ends when no layer
-gives a new one.
+gives a new one.  A find in base64 has the range of the whole run; where runs
+go on over line ends, each line is tried by itself and all of them joined.
 
 Defined results: a null or empty text has no spans; a null id stays null;
 repeated rows are scanned each on their own; extra columns are ignored.  A
@@ -15,7 +16,6 @@ in ``n_unopened``.
 
 from __future__ import annotations
 
-import base64
 import binascii
 import bz2
 import hashlib
@@ -41,9 +41,13 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"\\(?:u\{([0-9A-Fa-f]{1,6})\}|u([0-9A-Fa-f]{4})|U([0-9A-Fa-f]{8})|x([0-9A-Fa-f]{2}))")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: Such characters that go on over line ends; counted without them, there must be 16 as well.
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[ \t]*+(?:\r\n?|\n)[ \t]*+[A-Za-z0-9+/_-]++)++={0,2}")
+MAGIC = re.compile(rb"\x1f\x8b\x08|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd|\x78[\x01\x5e\x9c\xda]")
 #: What any base match or any layer must hold: decides on whole columns, in native code, which texts need a look.
 MAY_HOLD = (r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]|AKIA[A-Z0-9]{16}|[0-9a-f]{24}"""
-            r"|%[0-9A-Fa-f]{2}|\\[uUx][0-9A-Fa-f{]|[A-Za-z0-9+/_-]{16}")
+            r"|%[0-9A-Fa-f]{2}|\\[uUx][0-9A-Fa-f{]|[A-Za-z0-9+/_-]{16}"
+            r"|[A-Za-z0-9+/_-][ \t]*[\r\n][ \t\n]*[A-Za-z0-9+/_-]")
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -154,22 +158,39 @@ def readings(data: bytes) -> list[str]:
     return [text for text in texts if LOOK.search(text)]
 
 
+def base64_runs(text: str) -> list[tuple[int, int, str]]:
+    """(start, end, characters) of each run by itself and, where runs go on over
+    line ends, of all of them joined."""
+    out = [(m.start(), m.end(), m[0].rstrip("=")) for m in BASE64.finditer(text)]
+    for m in WRAPPED.finditer(text):
+        run = "".join(m[0].rstrip("=").split())
+        if len(run) >= 16:
+            out.append((m.start(), m.end(), run))
+    return out
+
+
 def base64_layers(layer: Layer, most: int) -> tuple[list[Layer], int]:
+    """What each run decodes to from each of its first four characters on: one of
+    them is in step with base64 that begins anywhere in the run.  Compressed
+    payloads are opened wherever in the decoded bytes they begin."""
     out, unopened = [], 0
-    for m in BASE64.finditer(layer.text):
-        run = m[0].rstrip("=")
-        if len(run) % 4 == 1:
-            run = run[:-1]
-        try:
-            data = base64.b64decode((run + "=" * (-len(run) % 4)).translate(STANDARD), validate=True)
-            while (less := inflate(data, most)) is not None:
-                data = less
-        except binascii.Error:
-            continue
-        except TooLarge:
-            unopened += 1
-            continue
-        out += [layer.child(m.start(), m.end(), text) for text in readings(data)]
+    for start, end, run in base64_runs(layer.text):
+        run = run.translate(STANDARD)
+        for first in range(4):
+            part = run[first:len(run) - ((len(run) - first) % 4 == 1)]
+            data = binascii.a2b_base64(part + "=" * (-len(part) % 4))
+            opened = [data]
+            for m in MAGIC.finditer(data):
+                try:
+                    less, found = memoryview(data)[m.start():], None
+                    while (less := inflate(less, most)) is not None:
+                        found = less
+                except TooLarge:
+                    unopened += 1
+                    continue
+                if found is not None:
+                    opened.append(found)
+            out += [layer.child(start, end, text) for x in opened for text in readings(x)]
     return out, unopened
 
 

@@ -1,9 +1,25 @@
 """Encoded layers of the secret scan that are not clean UTF-8 or not one run."""
+import base64
+import bz2
 import gzip
+import lzma
+import random
+import zlib
 
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from test_search import PLAIN, b64, spans
 
+from quarry.llm import secrets
+
+LONG = " ".join(f"word{i}" for i in range(30)) + " " + PLAIN + " " + " ".join(f"end{i}" for i in range(30))
+
+
+def pack_zstd(data):
+    import zstandard
+    return zstandard.ZstdCompressor().compress(data)
+
 
 @pytest.mark.parametrize("data", [
     "\ufeff" + PLAIN, "a\u00a0b " + PLAIN, "\u200d\u00ad " + PLAIN, "\x1b[31m" + PLAIN, "\x00" + PLAIN,
@@ -13,3 +29,28 @@ from test_search import PLAIN, b64, spans
 def test_layers_that_are_not_clean_text(data):
     hidden = b64(data)
     assert f"assign:11:{11 + len(hidden)}" in spans("some words " + hidden + " and more")
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\n    "])
+@pytest.mark.parametrize("width", [8, 63, 64, 76])
+@pytest.mark.parametrize("pack", [bytes, gzip.compress, zlib.compress, bz2.compress, lzma.compress, pack_zstd])
+def test_wrapped_base64_is_joined(pack, width, end):
+    noise = "".join(random.Random(6).choices("abcdefgh ", k=400))
+    run = b64(pack((LONG + noise).encode()))
+    hidden = end.join(run[i:i + width] for i in range(0, len(run), width))
+    text = "some words: " + hidden + " and more"
+    assert f"assign:12:{12 + len(hidden)}" in spans(text)
+    assert pc.match_substring_regex(pa.array([text]), secrets.MAY_HOLD)[0].as_py()
+
+
+@pytest.mark.parametrize("glue", ["/", "v1/", "/a/", "ab_", "x-", "key-id_", "abcd/", "q", "qq", "qqq"])
+@pytest.mark.parametrize("pack", [bytes, gzip.compress, zlib.compress, bz2.compress, lzma.compress, pack_zstd])
+def test_glued_base64_is_found(pack, glue):
+    hidden = glue + base64.urlsafe_b64encode(pack(("é " + PLAIN).encode())).decode()
+    assert f"assign:11:{11 + len(hidden)}" in spans("some words " + hidden + " and more")
+
+
+def test_lines_that_part_a_character():
+    run = b64("é" * 28 + PLAIN)
+    hidden = "\n".join(run[i:i + 38] for i in range(0, len(run), 38))
+    assert f"assign:0:{len(hidden)}" in spans(hidden)
