@@ -80,8 +80,15 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.substrings import drop_repeated
+    kept = drop_repeated(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality, op2_decontamination, op3_line_dedup, op4_secrets, op5_simhash, op6_top_k,
-    op7_packing, op8_token_files, op9_token_counts, op10_language)}
+    op7_packing, op8_token_files, op9_token_counts, op10_language,
+    op13_substring_dedup)}
 #: What SQL can express; the others are tested against brute force, round trips or held-out rows.
 SQL: dict[str, str] = {"op6_top_k": TOP_K_SQL}
