@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.llm.hard_negatives import SQL as HARD_NEGATIVES_SQL
 from quarry.llm.topk import SQL as TOP_K_SQL
 from quarry.session import scratch_path
 
@@ -80,6 +81,11 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.hard_negatives import mine_negatives
+    return mine_negatives(_table(spark, sf_dir, "embeddings"))
+
+
 def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarry.llm.substrings import drop_repeated
     kept = drop_repeated(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -89,6 +95,6 @@ def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_quality, op2_decontamination, op3_line_dedup, op4_secrets, op5_simhash, op6_top_k,
     op7_packing, op8_token_files, op9_token_counts, op10_language,
-    op13_substring_dedup)}
+    op11_hard_negatives, op13_substring_dedup)}
 #: What SQL can express; the others are tested against brute force, round trips or held-out rows.
-SQL: dict[str, str] = {"op6_top_k": TOP_K_SQL}
+SQL: dict[str, str] = {"op6_top_k": TOP_K_SQL, "op11_hard_negatives": HARD_NEGATIVES_SQL}
