@@ -181,8 +181,8 @@ def lowest(n: int, m: int, kind) -> np.ndarray:
 
 def below(x: int) -> float:
     """A double that is certainly not above x."""
-    x = float(min(max(x, -10**300), 10**300))
-    return x - abs(x) * 1e-12 - 1
+    x = float(min(x, 10**300)) if x > -10**300 else -np.inf
+    return x - abs(x) * 1e-12 - 1 if x > -np.inf else x
 
 
 def best_positives(block: Block, ids, labels, rows, norms, angles, k: int, chunk: int):
@@ -214,7 +214,7 @@ def best_negatives(block: Block, ids, labels, rows, norms, angles, ranges, k: in
     kind, rows = as_kind(block, rows)
     n, step = len(block.ids), max(1, chunk // max(len(block.ids), 1))
     slots = max((len(r) for r in ranges), default=0)
-    limit = 10**400 if kind is object else 2**62 // max(n, 1)
+    limit = 10**690 if kind is object else 2**62 // max(n, 1)
     clip = lambda x: min(max(x, -limit), limit)
     los = np.array([[clip(r[p][0]) if p < len(r) else 1 for p in range(slots)] for r in ranges], object)
     his = np.array([[clip(r[p][1]) if p < len(r) else 0 for p in range(slots)] for r in ranges], object)
