@@ -86,6 +86,11 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine_negatives(_table(spark, sf_dir, "embeddings"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.collocations import collocations
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
 def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarry.llm.substrings import drop_repeated
     kept = drop_repeated(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -95,6 +100,6 @@ def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_quality, op2_decontamination, op3_line_dedup, op4_secrets, op5_simhash, op6_top_k,
     op7_packing, op8_token_files, op9_token_counts, op10_language,
-    op11_hard_negatives, op13_substring_dedup)}
+    op11_hard_negatives, op12_collocations, op13_substring_dedup)}
 #: What SQL can express; the others are tested against brute force, round trips or held-out rows.
 SQL: dict[str, str] = {"op6_top_k": TOP_K_SQL, "op11_hard_negatives": HARD_NEGATIVES_SQL}

@@ -34,25 +34,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from quarry.llm.ragged import concat_ranges, kept, text_slices, texts_of
+from quarry.llm.stored import bucketed, packed, unpacked
 from quarry.llm.word_spans import Hasher, buffer_of, mixed, window_hashes
-from quarry.session import scratch_path
 
 LAST = np.iinfo(np.int64).max
 
 
-def packed(values: np.ndarray) -> bytes:
-    """Whole numbers, byte by byte of their places, compressed."""
-    width = values.dtype.itemsize
-    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, width).T)
-    return pa.compress(planes.tobytes(), "zstd", asbytes=True)
-
-
-def unpacked(blob: bytes, n: int, kind) -> np.ndarray:
-    width = np.dtype(kind).itemsize
-    planes = np.frombuffer(pa.decompress(blob, n * width, "zstd", asbytes=True), np.uint8)
-    return np.ascontiguousarray(planes.reshape(width, n).T).reshape(-1).view(kind)
-
-
 def to_blob(batch: pa.RecordBatch) -> bytes:
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
@@ -162,14 +149,7 @@ def drop_repeated(docs: DataFrame, size: int = 13, id_col: str = "doc_id", text_
         if held:
             yield row(held, n, at)
 
-    # bucketed by slice, so the join with the answers moves no texts
-    path = scratch_path(spark, "substring_slices")
-    table = path.rsplit("/", 1)[1].replace("-", "_")
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    docs.mapInArrow(slices, "slice long, n_bytes long, rows binary") \
-        .write.bucketBy(buckets, "slice").sortBy("slice").option("compression", "uncompressed") \
-        .saveAsTable(table, format="parquet", path=path)
-    stored = spark.table(table)
+    stored = bucketed(docs.mapInArrow(slices, "slice long, n_bytes long, rows binary"), "slice", "substring_slices")
     total = stored.agg(F.sum("n_bytes")).first()[0] or 0
     ranges = max(-(-total // range_bytes), 1)
 
