@@ -7,8 +7,8 @@ and however much comes before it.  A chunk counts if it has several lines and
 ``least_words`` words, or if it has ``long_words`` words.
 
 With ``passages``, every passage of several lines that holds ``long_words``
-words and stands at an earlier place goes too, wherever its edges are: of each
-line the fewest lines from it on, and the fewest lines up to it, that hold so
+words, begins and ends on a line with words and stands at an earlier place goes
+too, wherever its edges are: of each line with words the fewest lines from it on, and the fewest lines up to it, that hold so
 many words are pieces as well.  They depend on nothing outside the passage, so
 those of all its lines are found again and cover it from edge to edge.  Pieces
 overlap; the first place of every line's text is never in a removed one.
@@ -19,6 +19,8 @@ and largest, also combined first); a hash whose texts differ removes nothing.
 The first place of a chunk (smallest id, then place in the text) keeps it, and
 so does a place that overlaps the first one in the same text.
 
+Blank lines at the edge of a removed passage stay; those inside it go.
+
 Defined results: null and empty texts stay as they are; rows without an id come
 after all others; rows equal in id and text stand for one place and keep or
 lose the same chunks; line ends of kept lines are unchanged; all other columns
@@ -66,26 +68,30 @@ def chunks(text: str, window: int = 2, modulus: int = 2, long_words: int = 50,
 
 def windows(words: list[int], least: int) -> set[tuple[int, int]]:
     """(first line, line after the last) of the fewest lines from each line on,
-    and up to each line, that hold ``least`` words; single lines are left out."""
-    out, n = set(), len(words)
+    and up to each line, that hold ``least`` words.  They begin and end on lines
+    with words, so blank lines cost nothing; single lines are left out."""
+    own = [i for i, n in enumerate(words) if n]
+    out, n = set(), len(own)
     end = total = 0
     for start in range(n):
         while end < n and total < least:
-            total += words[end]
+            total += words[own[end]]
             end += 1
         if total < least:
             break
-        out.add((start, end))
-        total -= words[start]
+        out.add((own[start], own[end - 1] + 1))
+        total -= words[own[start]]
     start, total = n, 0
     for end in range(n, 0, -1):
         while start and total < least:
             start -= 1
-            total += words[start]
+            total += words[own[start]]
         if total < least:
             break
-        out.add((start, end))
-        total -= words[end - 1]
+        out.add((own[start], own[end - 1] + 1))
+        total -= words[own[end - 1]]
+    # two lines that each hold enough, with blank ones between
+    out |= {(a, b + 1) for a, b in zip(own, own[1:]) if b - a > 1 and min(words[a], words[b]) >= least}
     return {(a, b) for a, b in out if b - a > 1}
 
 

@@ -73,8 +73,9 @@ def test_line_dedup_is_exact(frame):
 
 
 def test_line_query(spark, sample):
+    from test_passages import brute_passages
     rows = [(i, t) for i, t, _ in sample]
-    want = dict(zip((i for i, _ in rows), brute_lines(rows)))
+    want = dict(zip((i for i, _ in rows), brute_passages(rows)))
     got = queries.op3_line_dedup(spark, SF).collect()
     assert len(got) == len(rows) and all(r["text"] == want[r["doc_id"]] for r in got)
     assert any(r["n_removed"] for r in got)
@@ -191,6 +192,7 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
     import corpus_pipeline as cp
     import duckdb
     import pyarrow as pa
+    from test_passages import brute_passages
     from test_search import edit
     from test_tokens import BYTE, check_pieces, library
 
@@ -212,7 +214,7 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
                 want = {i: t for i, t in rows.items() if trees.scores(statistics(pa.array([t])))[0] >= 0.3}
             elif name == "line_dedup":
                 order = sorted(rows.items())
-                want = dict(zip((i for i, _ in order), brute_lines(order)))
+                want = dict(zip((i for i, _ in order), brute_passages(order)))
             elif name == "near_dedup":
                 order = sorted(rows.items())
                 want = {i: t for (i, t), c in zip(order, expected_groups(order)[2]) if i == c}
