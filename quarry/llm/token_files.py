@@ -90,31 +90,34 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
 
     def run(batches):
         part = TaskContext.get().partitionId()
-        words, base, keys, sizes, held = word_ids(tokenizer_path), 0, [], [], []
-        id_type = None
+        words, base, total, keys, sizes, held = word_ids(tokenizer_path), 0, 0, [], [], []
 
         def segment():
-            ids, ends = np.concatenate(held), np.cumsum([0, *sizes])
+            ids, ends = np.concatenate(held), np.cumsum(np.concatenate(([0], *sizes)))
             levels = encode_levels(ids, widths)
+            own = pa.concat_arrays(keys)
             return pa.RecordBatch.from_arrays(
                 [pa.array([part]), pa.array([base]), pa.array([len(ids)]),
-                 pa.array([keys], pa.list_(id_type)), pa.array([ends[:-1].tolist()], pa.list_(pa.int64())),
+                 pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), own),
+                 pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), pa.array(ends[:-1])),
                  *(pa.array([x], pa.binary()) for level in levels for x in level)],
                 names=["part", "base", "n_ids", "doc_ids", "doc_starts", *names])
 
-        close = np.array([end_id], np.uint32)
         for batch in batches:
             for piece in text_slices(batch, text_col, 4 << 20):
                 ids, ends = words.encode(texts_of(piece, text_col))
-                id_type = piece.schema.field(id_col).type
-                for i, key in enumerate(piece.column(id_col).to_pylist()):
-                    keys.append(key)
-                    held += [ids[ends[i]:ends[i + 1]], close]
-                    sizes.append(int(ends[i + 1] - ends[i]) + 1)
-                if sum(sizes) >= segment_tokens:
+                closed = np.full(len(ids) + piece.num_rows, end_id, np.uint32)
+                own = np.ones(len(closed), bool)
+                own[ends[1:] + np.arange(piece.num_rows)] = False
+                closed[own] = ids
+                held.append(closed)
+                keys.append(piece.column(id_col))
+                sizes.append(np.diff(ends) + 1)
+                total += len(closed)
+                if total >= segment_tokens:
                     yield segment()
-                    base += sum(sizes)
-                    keys, sizes, held = [], [], []
+                    base += total
+                    total, keys, sizes, held = 0, [], [], []
         if keys:
             yield segment()
 

@@ -11,6 +11,7 @@ library, and a text with unusual spacing is cut by the strict rule.
 
 from __future__ import annotations
 
+import itertools
 import json
 import re
 from array import array
@@ -26,6 +27,7 @@ PLAIN = re.compile("[\t\n\r\x20-\x7e¡-įı-ɏ]*")
 BYTE_WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[{DIGIT}]+"
                        f"| ?[^\\s{LETTER}{DIGIT}]+|\\s+(?!\\S)|\\s+")
 LOWER_WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[{DIGIT}]|[^\\s{LETTER}{DIGIT}]+")
+TAIL = ".,;:!?"
 SAFE_CUT = re.compile(r"(?<=\S)(?= )")
 
 
@@ -40,9 +42,10 @@ def byte_letters() -> list[str]:
 
 class WordIds:
     """Ids of texts; remembers about ``max_words`` distinct words (as entries
-    of one flat array) and as many pre-tokens (as packed bytes)."""
+    of one flat array) and as many pre-tokens (as packed bytes).  When there are
+    more, the words met most often stay."""
 
-    def __init__(self, path: str, max_words: int = 300_000):
+    def __init__(self, path: str, max_words: int = 400_000):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.model = self.tok.model
@@ -69,12 +72,35 @@ class WordIds:
         self.entry: dict[str, int] = {}
         self.starts = np.zeros(1024, np.int64)
         self.counts = np.zeros(1024, np.int64)
+        self.hits = np.zeros(1024, np.int64)
         self.flat = np.zeros(8192, np.uint32)
         self.used = 0
 
+    def forget_rare(self) -> None:
+        """Keep the words that several slices held, a third of the room at most."""
+        n, room = len(self.entry), self.max_words // 3
+        stay = np.flatnonzero(self.hits[:n] > 1)
+        if len(stay) > room:
+            stay = np.sort(stay[np.argpartition(-self.hits[stay], room)[:room]])
+        words = list(self.entry)                            # in the order of their rows
+        starts, counts, hits, flat = self.starts[stay], self.counts[stay], self.hits[stay], self.flat
+        self.forget_words()
+        self.entry = dict(zip((words[i] for i in stay.tolist()), range(len(stay))))
+        self.counts, self.hits = _grown(counts, 1024), _grown(hits // 2, 1024)
+        self.starts = _grown(np.cumsum(counts) - counts, 1024)
+        kept_ids = flat[concat_ranges(starts, counts)]
+        self.used = len(kept_ids)
+        self.flat = _grown(kept_ids, 8192)
+
     # ---------------------------------------------------------------- words
     def word_ids(self, word: str) -> bytes:
         """Ids (unsigned 32-bit) of one piece that stands between two certain cuts."""
+        # letters, perhaps with one mark behind: by far the most
+        core, tail = (word[:-1], word[-1]) if word and word[-1] in TAIL else (word, "")
+        if core.isascii() and (core[1:] if self.spaced and core[:1] == " " else core).isalpha():
+            core = core if self.spaced else core.lower()
+            ids = self.known.get(core) or self.part_ids(core)
+            return ids + (self.known.get(tail) or self.part_ids(tail)) if tail else ids
         if not (word.isascii() and word.isprintable() or PLAIN.fullmatch(word)) \
                 or "<" in word and any(s in word for s in self.specials):
             return packed(self.tok.encode(word, add_special_tokens=False).ids)
@@ -95,12 +121,13 @@ class WordIds:
 
     def entries(self, words: list[str]) -> np.ndarray:
         """Row of each word in the table of remembered ids."""
-        missing = list(dict.fromkeys(w for w in words if w not in self.entry))
+        missing = list(dict.fromkeys(itertools.filterfalse(self.entry.__contains__, words)))
         if missing:
             fresh = [self.word_ids(w) for w in missing]
             n, sizes = len(self.entry), np.fromiter(map(len, fresh), np.int64, len(fresh)) // 4
             total = int(sizes.sum())
             self.starts = _grown(self.starts, n + len(fresh))
+            self.hits = _grown(self.hits, n + len(fresh))
             self.counts = _grown(self.counts, n + len(fresh))
             self.flat = _grown(self.flat, self.used + total)
             self.starts[n:n + len(fresh)] = self.used + np.cumsum(sizes) - sizes
@@ -108,13 +135,15 @@ class WordIds:
             self.flat[self.used:self.used + total] = np.frombuffer(b"".join(fresh), np.uint32)
             self.used += total
             self.entry.update(zip(missing, range(n, n + len(missing))))
-        return np.fromiter(map(self.entry.__getitem__, words), np.int64, len(words))
+        rows = np.fromiter(map(self.entry.__getitem__, words), np.int64, len(words))
+        self.hits[rows] += 1
+        return rows
 
     # ---------------------------------------------------------------- texts
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets): text i owns ids[offsets[i]:offsets[i+1]]."""
         if len(self.entry) > self.max_words:
-            self.forget_words()
+            self.forget_rare()
         if len(self.known) > self.max_words:
             self.known.clear()
         if not len(texts):
