@@ -9,9 +9,10 @@ gives a new one.  A find in base64 has the range of the whole run; where runs
 go on over line ends, each line is tried by itself and all of them joined.
 
 Defined results: a null or empty text has no spans; a null id stays null;
-repeated rows are scanned each on their own; extra columns are ignored.  A
-payload that inflates beyond ``max_layer_bytes`` is not opened and is counted
-in ``n_unopened``.
+repeated rows are scanned each on their own; extra columns are ignored.  What
+a payload holds is scanned up to its first error, in blocks of ``block_bytes``
+that overlap by 64 KB, however much it inflates to; a payload within a payload
+that crosses the end of such a block is opened up to there.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ import lzma
 import re
 import zlib
 from collections import deque
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -111,37 +113,107 @@ def escape_layer(layer: Layer) -> Layer | None:
     return layer.replaced(found) if found else None
 
 
-class TooLarge(Exception):
-    pass
+STEP, PIECE = 4096, 1 << 20
 
 
-def inflate(data: bytes, most: int) -> bytes | None:
-    """One compressed layer less, if the bytes begin like one."""
-    if data[:2] == b"\x1f\x8b" or len(data) > 2 and data[0] == 0x78 and (data[0] * 256 + data[1]) % 31 == 0:
-        tool = zlib.decompressobj(47)
-    elif data[:3] == b"BZh":
-        tool = bz2.BZ2Decompressor()
-    elif data[:6] == b"\xfd7zXZ\x00":
-        tool = lzma.LZMADecompressor()
-    elif data[:4] == b"\x28\xb5\x2f\xfd":
+class Inflater:
+    """One stream of a known kind, fed in steps, giving bounded pieces."""
+
+    def __init__(self, data):
+        head = bytes(data[:6])
+        self.zlib = head[:2] == b"\x1f\x8b" or head[:1] == b"\x78"
+        if self.zlib:
+            self.tool = zlib.decompressobj(47)
+        elif head[:3] == b"BZh":
+            self.tool = bz2.BZ2Decompressor()
+        else:
+            self.tool = lzma.LZMADecompressor()
+
+    def feed(self, part) -> Iterator[bytes]:
+        if self.zlib:
+            while len(part) and not self.tool.eof:
+                yield self.tool.decompress(part, PIECE)
+                part = self.tool.unconsumed_tail
+        elif not self.tool.eof:
+            yield self.tool.decompress(part, PIECE)
+            while not self.tool.eof and not self.tool.needs_input:
+                yield self.tool.decompress(b"", PIECE)
+
+
+FAULTS = (zlib.error, OSError, lzma.LZMAError, EOFError)
+
+
+def inflated(data) -> Iterator[bytes]:
+    """Pieces of what a compressed stream holds, up to its end or first error:
+    the step in which the error comes is read again byte by byte."""
+    if data[:4] == b"\x28\xb5\x2f\xfd":
         import zstandard
         try:
-            with zstandard.ZstdDecompressor().stream_reader(data) as reader:
-                out = reader.read(most + 1)
-        except zstandard.ZstdError:
-            return None
-        if len(out) > most:
-            raise TooLarge
-        return out
-    else:
-        return None
-    try:
-        out = tool.decompress(data, most + 1)
-    except (zlib.error, OSError, lzma.LZMAError, EOFError):
-        return None
-    if len(out) > most:
-        raise TooLarge
-    return out
+            with zstandard.ZstdDecompressor().stream_reader(bytes(data)) as reader:
+                while piece := reader.read(STEP):
+                    yield piece
+        except (zstandard.ZstdError, MemoryError):
+            pass
+        return
+    tool = Inflater(data)
+    for at in range(0, len(data), STEP):
+        given = 0
+        try:
+            for piece in tool.feed(data[at:at + STEP]):
+                given += len(piece)
+                yield piece
+        except FAULTS:
+            again = Inflater(data)
+            for lo in range(0, at, STEP):
+                for _ in again.feed(data[lo:lo + STEP]):
+                    pass
+            try:
+                for i in range(at, min(at + STEP, len(data))):
+                    for piece in again.feed(data[i:i + 1]):
+                        yield piece[given:]
+                        given = max(0, given - len(piece))
+            except FAULTS:
+                pass
+            return
+        if tool.tool.eof:
+            return
+    if tool.zlib:
+        yield tool.tool.flush()
+
+
+def blocks(pieces: Iterator[bytes], most: int, overlap: int) -> Iterator[bytes]:
+    """The pieces as blocks of at most ``most`` bytes, each beginning with the
+    last ``overlap`` bytes of the one before."""
+    held, size, fresh = [], 0, False
+    for piece in pieces:
+        while piece:
+            part, piece = piece[:most - size], piece[most - size:]
+            held.append(part)
+            size, fresh = size + len(part), True
+            if size == most:
+                block = b"".join(held)
+                yield block
+                held = [block[len(block) - overlap:]] if overlap else []
+                size, fresh = overlap, False
+    if fresh:
+        yield b"".join(held)
+
+
+def opened(data: bytes, most: int) -> Iterator[bytes]:
+    """The blocks of all compressed streams that begin anywhere in the bytes,
+    and in those blocks, and so on; a block that was there before is not opened
+    again, so a stream that inflates to itself ends."""
+    seen, work = {hashlib.sha256(data).digest()}, [data]
+    while work:
+        view = work.pop()
+        for m in MAGIC.finditer(view):
+            for block in blocks(inflated(memoryview(view)[m.start():]), most, min(most // 4, 1 << 16)):
+                mark = hashlib.sha256(block).digest()
+                if mark not in seen:
+                    seen.add(mark)
+                    yield block
+                    if MAGIC.search(block):
+                        work.append(block)
 
 
 NULS = re.compile(rb"(?:[\t\n\r -~]\x00){4}|(?:\x00[\t\n\r -~]){4}")
@@ -169,51 +241,63 @@ def base64_runs(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
-def base64_layers(layer: Layer, most: int) -> tuple[list[Layer], int]:
+def base64_layers(layer: Layer, most: int) -> list[Layer]:
     """What each run decodes to from each of its first four characters on: one of
     them is in step with base64 that begins anywhere in the run.  Compressed
     payloads are opened wherever in the decoded bytes they begin."""
-    out, unopened = [], 0
+    out = []
     for start, end, run in base64_runs(layer.text):
         run = run.translate(STANDARD)
         for first in range(4):
             part = run[first:len(run) - ((len(run) - first) % 4 == 1)]
             data = binascii.a2b_base64(part + "=" * (-len(part) % 4))
-            opened = [data]
-            for m in MAGIC.finditer(data):
-                try:
-                    less, found = memoryview(data)[m.start():], None
-                    while (less := inflate(less, most)) is not None:
-                        found = less
-                except TooLarge:
-                    unopened += 1
-                    continue
-                if found is not None:
-                    opened.append(found)
-            out += [layer.child(start, end, text) for x in opened for text in readings(x)]
-    return out, unopened
+            out += [layer.child(start, end, text) for x in (data, *opened(data, most)) for text in readings(x)]
+    return out
+
+
+def byte_layers(layer: Layer, most: int) -> list[Layer]:
+    """Compressed payloads written as URL or backslash escapes, plain characters
+    between them included."""
+    out = []
+    for runs, one, decode in ((URL_BYTES, URL, url_bytes), (ESCAPED_BYTES, BYTE_ESCAPE, escaped_bytes)):
+        if one.search(layer.text):
+            for m in runs.finditer(layer.text):
+                if one.search(m[0]):
+                    out += [layer.child(m.start(), m.end(), text) for x in opened(decode(m[0]), most)
+                            for text in readings(x)]
+    return out
+
+
+def url_bytes(run: str) -> bytes:
+    return URL.sub(lambda m: binascii.unhexlify(m[0].replace("%", "")).decode("latin-1"), run).encode("latin-1")
+
+
+def escaped_bytes(run: str) -> bytes:
+    return BYTE_ESCAPE.sub(lambda m: chr(int(m[1] or m[2], 16)) if m[1] or m[2] else SHORT[m[3]], run).encode("latin-1")
 
 
+URL_BYTES = re.compile(r"(?:%[0-9A-Fa-f]{2}|[!-$&-~])+")
+ESCAPED_BYTES = re.compile(r"(?:\\(?:x[0-9A-Fa-f]{2}|u00[0-9A-Fa-f]{2}|[abfnrtv0'\"\\])|[ -\[\]-~])+")
+BYTE_ESCAPE = re.compile(r"\\(?:x([0-9A-Fa-f]{2})|u00([0-9A-Fa-f]{2})|([abfnrtv0'\"\\]))")
+SHORT = dict(zip("abfnrtv0'\"\\", "\a\b\f\n\r\t\v\0'\"\\"))
 STANDARD = str.maketrans("-_", "+/")
 
 
-def all_spans(text: str, base: list[tuple[int, int, str]],
-              max_layer_bytes: int) -> tuple[list[tuple[int, int, str]], int]:
+def all_spans(text: str, base: list[tuple[int, int, str]], block_bytes: int) -> list[tuple[int, int, str]]:
     """Base spans and those of every layer, each once, by start, kind, end."""
-    spans, seen, work, unopened = set(base), {text}, deque([Layer(text)]), 0
+    spans, seen, work = set(base), {text}, deque([Layer(text)])
     while work:
         layer = work.popleft()
         if layer.starts is not None:
             spans.update((*layer.origin(s, e), kind) for s, e, kind in base_spans(layer.text))
-        below, missed = base64_layers(layer, max_layer_bytes)
-        unopened += missed
+        below = base64_layers(layer, block_bytes) + byte_layers(layer, block_bytes)
         below += [x for x in (url_layer(layer), escape_layer(layer)) if x]
         for new in below:
             mark = new.text if new.starts is None else (new.text, *new.origin(0, len(new.text)))
             if new.text and mark not in seen:
                 seen.add(mark)
                 work.append(new)
-    return sorted(spans, key=order), unopened
+    return sorted(spans, key=order)
 
 
 def order(span: tuple[int, int, str]):
@@ -224,14 +308,13 @@ def joined(spans: list[tuple[int, int, str]]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for start, end, kind in spans)
 
 
-def scan_secrets(docs: DataFrame, max_layer_bytes: int = 64 << 20, id_col: str = "doc_id",
+def scan_secrets(docs: DataFrame, block_bytes: int = 16 << 20, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """id, n_assign, n_access, n_hex, base_spans and spans (kind:start:end,
-    comma-joined), n_unopened of every row."""
+    comma-joined) of every row."""
     counts = [f"n_{k}" for k in KINDS]
     schema = StructType([docs.schema[id_col], *(StructField(c, LongType()) for c in counts),
-                         StructField("base_spans", StringType()), StructField("spans", StringType()),
-                         StructField("n_unopened", LongType())])
+                         StructField("base_spans", StringType()), StructField("spans", StringType())])
 
     def run(batches):
         nothing_kept()
@@ -240,17 +323,17 @@ def scan_secrets(docs: DataFrame, max_layer_bytes: int = 64 << 20, id_col: str =
                 texts = texts_of(part, text_col)
                 n = len(texts)
                 cols = [np.zeros(n, np.int64) for _ in KINDS]
-                base, every, unopened = [""] * n, [""] * n, np.zeros(n, np.int64)
+                base, every = [""] * n, [""] * n
                 for i in np.flatnonzero(pc.match_substring_regex(texts, MAY_HOLD)):
                     text = texts[int(i)].as_py()
                     own = sorted(base_spans(text), key=order)
-                    found, unopened[i] = all_spans(text, own, max_layer_bytes)
+                    found = all_spans(text, own, block_bytes)
                     for c, kind in zip(cols, KINDS):
                         c[i] = sum(s[2] == kind for s in own)
                     base[i], every[i] = joined(own), joined(found)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(id_col), *(pa.array(c) for c in cols), pa.array(base, pa.string()),
-                     pa.array(every, pa.string()), pa.array(unopened)], names=schema.names)
+                     pa.array(every, pa.string())], names=schema.names)
     return docs.select(F.col(id_col), F.col(text_col).cast("string").alias(text_col)) \
         .mapInArrow(run, schema)
 

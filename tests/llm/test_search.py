@@ -68,7 +68,7 @@ def naive(t):
 
 def spans(text):
     base = sorted(secrets.base_spans(text), key=secrets.order)
-    return [f"{k}:{s}:{e}" for s, e, k in secrets.all_spans(text, base, 1 << 20)[0]]
+    return [f"{k}:{s}:{e}" for s, e, k in secrets.all_spans(text, base, 1 << 20)]
 
 
 def test_base_spans():
@@ -104,8 +104,7 @@ def test_layers_map_to_the_original(hidden):
 def test_cycles_and_bombs_end():
     assert spans("%25" * 50 + "41") == []
     bomb = b64(gzip.compress(b"0" * 5_000_000))
-    found, unopened = secrets.all_spans(bomb, [], 1 << 20)
-    assert unopened == 1 and found == []
+    assert secrets.all_spans(bomb, [], 1 << 20) == []
     assert spans("password=abcdef12 " + b64("x")) == ["assign:0:17"]
     secrets.all_spans("\\ud83d\\ude00 \\ud83d %ff%fe " * 20, [], 1 << 20)
 

@@ -54,3 +54,55 @@ def test_lines_that_part_a_character():
     run = b64("é" * 28 + PLAIN)
     hidden = "\n".join(run[i:i + 38] for i in range(0, len(run), 38))
     assert f"assign:0:{len(hidden)}" in spans(hidden)
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress, pack_zstd])
+@pytest.mark.parametrize("where", ["first", "far", "at a block's end"])
+def test_large_payloads_are_scanned_whole(pack, where):
+    at = {"first": 0, "far": 5 << 20, "at a block's end": (1 << 20) - 14}[where]
+    hidden = b64(pack(b" " * at + PLAIN.encode() + b" " * (6 << 20)))
+    assert f"assign:11:{11 + len(hidden)}" in spans("some words " + hidden + " and more")
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress, pack_zstd])
+def test_what_inflates_before_an_error_is_kept(pack):
+    noise = bytes(random.Random(7).choices(range(256), k=2_000_000)) if pack in (bz2.compress, pack_zstd) else b""     # several blocks
+    data = bytearray(pack(LONG.encode() + noise))
+    if pack in (gzip.compress, zlib.compress):
+        data[-1] ^= 255                         # a wrong check sum
+    else:
+        data = data[:-4]                        # cut off
+    hidden = b64(bytes(data))
+    assert f"assign:11:{11 + len(hidden)}" in spans("some words " + hidden + " and more")
+
+
+def test_compressed_payloads_written_as_escapes():
+    import urllib.parse
+    noise = "".join(random.Random(8).choices("abcdefgh ", k=300))
+    for pack in (gzip.compress, zlib.compress, bz2.compress, lzma.compress, pack_zstd):
+        data = pack((LONG + noise).encode())
+        forms = [urllib.parse.quote(data, safe=""), urllib.parse.quote(data), "".join(f"%{b:02x}" for b in data),
+                 "".join(f"\\x{b:02x}" for b in data), "".join(f"\\u00{b:02X}" for b in data), repr(data)[2:-1]]
+        for hidden in forms:
+            text = "some words " + hidden + " and more"
+            assert any(s.startswith("assign:") for s in spans(text)), (pack, hidden[:40])
+            assert any(s.startswith("assign:") for s in spans("x " + b64(text) + " y"))
+            assert pc.match_substring_regex(pa.array([text]), secrets.MAY_HOLD)[0].as_py()
+
+
+def test_streams_that_inflate_to_themselves_end(monkeypatch):
+    data = gzip.compress(b"a") + b"\x00" * 20
+    monkeypatch.setattr(secrets, "inflated", lambda x: iter([bytes(x)]))
+    assert list(secrets.opened(data, 1 << 20)) == []
+    turn = [data, data[:-1]]
+    monkeypatch.setattr(secrets, "inflated", lambda x: iter([turn[bytes(x) == data]]))
+    assert list(secrets.opened(data, 1 << 20)) == [data[:-1]]
+
+
+def test_blocks_overlap():
+    pieces = [bytes([i % 251]) * (i % 7) for i in range(300)]
+    whole = b"".join(pieces)
+    got = list(secrets.blocks(iter(pieces), 100, 30))
+    assert got[0] == whole[:100] and all(len(x) <= 100 for x in got)
+    assert b"".join([got[0], *(x[30:] for x in got[1:])]) == whole
+    assert list(secrets.blocks(iter([b"a" * 100]), 100, 30)) == [b"a" * 100]
