@@ -338,9 +338,11 @@ def collocations(docs: DataFrame, least: int = 100, top: int = 2000, absorb: int
     ranges = max(-(-total // range_words), 1)
 
     # ------------------------------------------------------ records, phrases
+    # every word of every slice gets an answer; those without an id are not collected
+    answer = F.when(F.col("id").isNotNull(), F.struct("pos", "id", "c", "before"))
     replies = stored.select("slice", "lang", F.posexplode("words").alias("pos", "word")) \
-        .join(vocabulary, ["lang", "word"]) \
-        .groupBy("slice").agg(F.collect_list(F.struct("pos", "id", "c", "before")).alias("known"))
+        .join(vocabulary, ["lang", "word"], "left") \
+        .groupBy("slice").agg(F.collect_list(answer).alias("known"))
     asked = stored.select("slice", "lang", "n_codes", "codes").join(replies, "slice").join(own_range, "lang") \
         .select("lang", "n_codes", "codes", "known", "lo", "size")
 
