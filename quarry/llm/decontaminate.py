@@ -6,14 +6,17 @@ k + 1 pieces, one piece at least must stand unchanged in any such passage, so
 an Aho-Corasick automaton over all pieces finds every candidate.  A hit is
 verified upwards: the piece with its neighbour, then four pieces, and so on to
 the whole item, each by Myers' bit-parallel distance with the budget that the
-pigeonhole principle leaves to that part (pieces - 1).  A false hit ends at the
-first steps; no true passage is lost.
+pigeonhole principle leaves to that part (pieces - 1).  Before each step a part
+of what joins must stand unchanged beside the hit, by the same principle.  A
+false hit ends at the first steps; no true passage is lost.
 
 Items travel to the tasks in blocks of bounded size; documents are scanned once
 per block and never move.
 
-Defined results: items that are null or have fewer than ``least_words`` words
-are not searched; null and empty texts hold nothing; null ids stay null;
+Defined results: items that are null or hold no letter or digit are not
+searched; an item of fewer than ``least_words`` words and 25 characters is met
+only as it stands, between word edges (scripts without spaces have them
+everywhere); null and empty texts hold nothing; null ids stay null;
 repeated rows are searched each on their own; equal items each give a row.
 """
 
@@ -79,6 +82,7 @@ class Item:
         pieces = self.budget + 1
         self.cuts = [len(text) * i // pieces for i in range(pieces + 1)]
         self.masks: dict[tuple[int, int], dict[str, int]] = {}
+        self.siblings: dict[tuple[int, int, int], list[tuple[int, str]]] = {}
 
     def pieces(self):
         return ((i, self.text[a:b]) for i, (a, b) in enumerate(zip(self.cuts, self.cuts[1:])))
@@ -92,39 +96,85 @@ class Item:
             lo, hi = (lo, mid) if piece < mid else (mid, hi)
         return out[::-1]
 
-    def verify(self, text: str, piece: int, at: int) -> tuple[int, int, int] | None:
-        """(distance, start, end) of the passage around a piece found at ``at``."""
+    def beside(self, text: str, lo: int, hi: int, side: int, start: int) -> bool:
+        """Whether the rest of a joined range may stand beside the half that holds
+        the hit (``side`` is where the halves meet, negative for the right one).
+        The range may hold hi - lo - 1 edits, so of as many parts of the rest and
+        one more, one stands unchanged, at most so many places off."""
+        parts = self.siblings.get((lo, hi, side))
+        if parts is None:
+            a, b = (self.cuts[side], self.cuts[hi]) if side > 0 else (self.cuts[lo], self.cuts[-side])
+            ends = [a + (b - a) * i // (hi - lo) for i in range(hi - lo + 1)]
+            parts = self.siblings[lo, hi, side] = [(x, self.text[x:y]) for x, y in zip(ends, ends[1:])]
+        off = hi - lo - 1
+        for x, part in parts:
+            at = start + x
+            if text.find(part, max(0, at - off), max(0, at + len(part) + off)) >= 0:
+                return True
+        return False
+
+    def verify(self, text: str, piece: int, at: int, seen: dict) -> tuple[int, int, int] | None:
+        """(distance, start, end) of the passage around a piece found at ``at``;
+        ``seen`` keeps what the text's other hits on the same diagonal gave."""
+        start = at - self.cuts[piece]
         for lo, hi in self.path(piece):
-            a, b, most = self.cuts[lo], self.cuts[hi], hi - lo - 1
-            masks = self.masks.get((lo, hi))
-            if masks is None:
-                masks = self.masks[lo, hi] = char_masks(self.text[a:b])
-            left = at - (self.cuts[piece] - a)
-            begin = max(0, left - most)
-            if distance(masks, b - a, text[begin:left + b - a + most], most)[0] > most:
+            mid = (lo + hi) // 2
+            side = mid if piece < mid else -mid
+            key = (lo, hi, start)
+            if key in seen:
+                continue
+            # with two pieces that is all; a hit in the other half may see another rest
+            if (lo, hi, start, side) in seen or not (self.beside(text, lo, hi, side, start) and (
+                    hi - lo == 2 or self.nearest(text, lo, hi, start)[0] < hi - lo)):
+                seen[lo, hi, start, side] = False
                 return None
+            seen[key] = True
         n, k = len(self.text), self.budget
-        left = at - self.cuts[piece]
-        begin = max(0, left - k)
         if not k:
-            return 0, left, left + n
-        found, end = distance(self.masks[0, k + 1], n, text[begin:left + n + k], k)
-        end += begin
+            return 0, start, start + n
+        found, end = self.nearest(text, 0, k + 1, start)
+        if found > k:
+            return None
         window = text[max(0, end - n - found):end][::-1]
         _, back = distance(char_masks(self.text[::-1]), n, window, found)
         return found, end - back, end
 
+    def nearest(self, text: str, lo: int, hi: int, start: int) -> tuple[int, int]:
+        """(distance, end) of the joined pieces around where the item may start;
+        a distance of hi - lo: more than the pieces may hold."""
+        a, b, most = self.cuts[lo], self.cuts[hi], hi - lo - 1
+        masks = self.masks.get((lo, hi))
+        if masks is None:
+            masks = self.masks[lo, hi] = char_masks(self.text[a:b])
+        begin = max(0, start + a - most)
+        found, end = distance(masks, b - a, text[begin:start + b + most], most)
+        return found, begin + end
+
+
+#: Scripts that set no spaces between words: a word may begin and end anywhere in them.
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff"
+                      "\U00020000-\U0003ffff]")
+
+
+def word_edge(text: str, at: int) -> bool:
+    """Whether a word may begin or end before character ``at`` of a normal text."""
+    return at in (0, len(text)) or " " in text[at - 1:at + 1] or bool(UNSPACED.search(text[at - 1:at + 1]))
+
 
 class Matcher:
-    """All pieces of a block of items in one automaton."""
+    """All pieces of a block of items in one automaton.  Items of fewer than
+    ``least_words`` words and ``least_chars`` characters are one piece without
+    an error budget, and stand between word edges."""
 
-    def __init__(self, items: list[tuple[int, str]], rate: float, least_words: int):
+    def __init__(self, items: list[tuple[int, str]], rate: float, least_words: int, least_chars: int = 25):
         import ahocorasick
         self.ids, self.items, where = [], [], {}
         for key, text in items:
             text = normal(text or "")
-            if text and text.count(" ") + 1 >= least_words:
-                item = Item(text, rate)
+            if text:
+                short = text.count(" ") + 1 < least_words and len(text) < least_chars
+                item = Item(text, 0.0 if short else rate)
+                item.short = short
                 for i, piece in item.pieces():
                     where.setdefault(piece, []).append((len(self.items), i))
                 self.ids.append(key)
@@ -139,6 +189,7 @@ class Matcher:
         """item -> (distance, start, end) of its best passage in a normal text
         (least distance, then first)."""
         out: dict[int, tuple[int, int, int]] = {}
+        seen: dict[int, dict] = {}
         if not self.items:
             return out
         for last, (size, places) in self.machine.iter(text):
@@ -149,7 +200,9 @@ class Matcher:
                 if known and (known[0] == 0 or known[1] <= at - item.cuts[piece] + item.budget
                               and at + size <= known[2]):
                     continue                  # inside the passage already found
-                found = item.verify(text, piece, at)
+                if item.short and not (word_edge(text, at) and word_edge(text, at + size)):
+                    continue
+                found = item.verify(text, piece, at, seen.setdefault(i, {}))
                 if found and (known is None or found < known):
                     out[i] = found
         return out

@@ -185,3 +185,48 @@ def test_decontamination_query(spark, sample):
     for d, i in got - exact:
         item = normal(words[i])
         assert edit(item, texts[d]) <= int(0.1 * len(item))
+
+
+def test_short_items_stand_between_word_edges(frame, spark):
+    rows = [(1, "say yes now"), (2, "yesterday and eyes"), (3, "YES!"), (4, "第一章 介绍了机器学习的基本概念"), (5, "机器 学习"),
+            (6, "an item of few words"), (7, "an item of few wards"), (8, "ab"), (9, None)]
+    items = spark.createDataFrame([(1, "Yes"), (2, "机器学习"), (3, "of few words"), (4, "!!"), (5, None), (6, "a")],
+                                  "item_id long, text string")
+    got = sorted((r["doc_id"], r["item_id"], r["distance"]) for r in find_passages(frame(rows), items).collect())
+    assert got == [(1, 1, 0), (3, 1, 0), (4, 2, 0), (6, 3, 0)]
+    assert sorted(r["doc_id"] for r in drop_contaminated(frame(rows), items).collect()) == [2, 5, 7, 8, 9]
+
+
+def test_long_items_without_spaces_are_met_with_edits(frame, spark):
+    rng = random.Random(9)
+    item = "".join(chr(rng.randint(0x4e00, 0x9f00)) for _ in range(60))
+    near = item[:20] + "一" + item[21:40] + item[41:]
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = find_passages(frame([(1, "前" + near + "后"), (2, item[:30])]), items).collect()
+    assert [(r["doc_id"], r["distance"]) for r in got] == [(1, 2)]
+
+
+def test_many_items_equal_brute_force():
+    rng = random.Random(10)
+    words = ["".join(rng.choices("abc", k=rng.randint(1, 4))) for _ in range(30)]
+    texts = [" ".join(rng.choices(words, k=rng.randint(0, 60))) for _ in range(25)]
+    items = []
+    for i in range(60):
+        own = rng.choice([t for t in texts if t]).split()
+        at = rng.randint(0, len(own) - 1)
+        item = list(" ".join(own[at:at + rng.randint(1, 25)]))
+        for _ in range(rng.randint(0, len(item) // 8)):
+            item[rng.randrange(len(item))] = rng.choice("abc ")
+        items.append((i, "".join(item)))
+    matcher = Matcher(items, 0.1, 5)
+    for text in texts:
+        want = set()
+        for i, item in items:
+            item = normal(item)
+            n = len(item)
+            if n < 25 and item.count(" ") < 4:
+                if n and f" {item} " in f" {text} ":
+                    want.add(i)
+            elif n and distance(char_masks(item), n, text, min(int(0.1 * n), n - 1))[0] <= min(int(0.1 * n), n - 1):
+                want.add(i)
+        assert {matcher.ids[j] for j in matcher.passages(normal(text))} == want
