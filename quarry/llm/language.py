@@ -30,6 +30,17 @@ from quarry.llm.ragged import concat_ranges, nothing_kept, segment_sums, split_c
 
 GRAMS = (1, 2, 3, 4)
 BITS = 18
+#: Weights in all: many languages share fewer slots each.
+MOST_WEIGHTS = 1 << 25
+
+
+#: Languages from which on texts go side by side.
+WIDE = 32
+
+
+def slots(languages: int) -> int:
+    """Hashed feature slots, a power of two: 2**BITS up to 128 languages."""
+    return 1 << max(4, min(BITS, (MOST_WEIGHTS // max(languages, 1)).bit_length() - 1))
 
 
 def letter_words(words: list[str]) -> np.ndarray:
@@ -70,7 +81,7 @@ def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 class Field:
     """A trained chain: weights of hashed features, lexicons, transitions."""
     languages: list[str]
-    weights: np.ndarray        # 2**BITS x languages
+    weights: np.ndarray        # slots x languages
     lexicon: np.ndarray        # sorted hashes of frequent words
     lexicon_weights: np.ndarray  # lexicon x languages
     start: np.ndarray
@@ -83,6 +94,7 @@ class Field:
         if not words:
             return out
         hashes, offsets, whole = word_features(words)
+        hashes &= len(self.weights) - 1
         out += np.add.reduceat(self.weights[hashes], offsets[:-1], dtype=float)
         if len(self.lexicon):
             at = np.minimum(np.searchsorted(self.lexicon, whole), len(self.lexicon) - 1)
@@ -100,6 +112,8 @@ class Field:
         n, k = evidence.shape
         if not n:
             return evidence, evidence
+        if k > WIDE:
+            return self.by_texts(evidence, first)
         block = max(1, min(block, n))
         rows = -(-n // block)
         e = np.ones((rows * block, k))
@@ -150,6 +164,33 @@ class Field:
         chance /= chance.sum(2, keepdims=True)
         return (chance.transpose(1, 0, 2).reshape(-1, k)[:n], e.transpose(1, 0, 2).reshape(-1, k)[:n])
 
+    def by_texts(self, evidence: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for many languages, where products of blocks cost too much:
+        all texts step by step side by side, the longest first."""
+        n, k = evidence.shape
+        starts = np.flatnonzero(first)
+        sizes = np.diff(np.append(starts, n))
+        order = np.argsort(-sizes, kind="stable")
+        starts, sizes = starts[order], sizes[order]
+        e = np.exp(evidence - evidence.max(1, keepdims=True)) + 1e-12
+        move, chance = np.exp(self.moves), np.empty((n, k))
+        now = np.broadcast_to(np.exp(self.start), (len(starts), k))
+        for t in range(int(sizes[0])):
+            at = starts[:np.searchsorted(-sizes, -t, "left")] + t
+            now = (now[:len(at)] if t == 0 else now[:len(at)] @ move) * e[at]
+            now /= now.sum(1, keepdims=True)
+            chance[at] = now
+        after = np.zeros((0, k))
+        for t in range(int(sizes[0]) - 1, -1, -1):
+            at = starts[:np.searchsorted(-sizes, -t, "left")] + t
+            after = np.concatenate((after, np.ones((len(at) - len(after), k))))
+            chance[at] *= after
+            e[at] *= after
+            after = e[at] @ move.T
+            after /= after.sum(1, keepdims=True)
+        chance /= chance.sum(1, keepdims=True)
+        return chance, e
+
     def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
         """(language, score) of each text; the score is the mean chance of that
         language over the text's words."""
@@ -185,7 +226,8 @@ def train(texts: list[str], langs: list[str], run_words: int = 24, runs_per_chai
     codes, offsets, words = text_words(pa.array(texts, pa.string()))
     label = np.searchsorted(languages, langs)
     hashes, hoffsets, whole = word_features(words) if words else (np.zeros(0, np.int64), np.zeros(1, np.int64), np.zeros(0, np.uint64))
-    field = Field(languages, np.zeros((1 << BITS, k)), np.zeros(0, np.uint64), np.zeros((0, k)),
+    hashes &= slots(k) - 1
+    field = Field(languages, np.zeros((slots(k), k)), np.zeros(0, np.uint64), np.zeros((0, k)),
                   np.full(k, -np.log(max(k, 1))), np.full((k, k), -np.log(max(k, 1))))
     if k == 0 or not len(codes):
         return Field([], field.weights[:, :0], field.lexicon, field.lexicon_weights, field.start, field.moves)
@@ -232,9 +274,12 @@ def train(texts: list[str], langs: list[str], run_words: int = 24, runs_per_chai
             g_word = np.stack([np.bincount(back, wrong[:, j], len(uniq)) for j in range(k)], axis=1)
             # expected moves less observed ones
             inner = np.flatnonzero(~first)
-            both = np.exp(field.moves)[None] * ahead[inner][:, None, :]
-            both *= chance[inner - 1][:, :, None] / both.sum(2, keepdims=True)
-            g_move = both.sum(0)
+            g_move = np.zeros((k, k))
+            for lo in range(0, len(inner), max(1, (1 << 24) // k ** 2)):
+                some = inner[lo:lo + max(1, (1 << 24) // k ** 2)]
+                both = np.exp(field.moves)[None] * ahead[some][:, None, :]
+                both *= chance[some - 1][:, :, None] / both.sum(2, keepdims=True)
+                g_move += both.sum(0)
             np.subtract.at(g_move, (tag[inner - 1], tag[inner]), 1)
             g_start = wrong[first].sum(0)
             scale = 1 / len(word)
@@ -258,27 +303,29 @@ def train(texts: list[str], langs: list[str], run_words: int = 24, runs_per_chai
 
 def fit_language(docs: DataFrame, max_train_rows: int = 4000, folds: int = 4, held_fold: int = 2,
                  id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                 max_train_chars: int = 4000, max_languages: int = 512) -> Field:
+                 max_train_chars: int = 4000) -> Field:
     """A chain trained on about ``max_train_rows`` documents outside the
-    held-out fold, chosen by hash of the id, evenly over the ``max_languages``
-    most frequent languages; at most ``max_train_chars`` characters around the
-    middle of each are learnt from."""
+    held-out fold, chosen by hash of the id, evenly over all languages, each of
+    which gives one at least.  Of each document at most ``max_train_chars``
+    characters around the middle are drawn, and a stretch of ``words_per_text``
+    (see ``train``) is learnt from; the bound is on the sample only."""
     from quarry.llm.quality import remainder
     rows = docs.select(F.col(id_col).alias("k"), F.col(text_col).cast("string").alias("text"),
                        F.col(lang_col).cast("string").alias("lang")) \
         .where("k IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL") \
         .where(remainder("k", folds) != held_fold)
-    count = {r["lang"]: r["count"] for r in
-             rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()}
-    if not count:
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    languages = counts.count()           # the model holds a column for each
+    if not languages:
         return train([], [])
-    each = max(1, max_train_rows // len(count))
-    share = F.create_map(*(F.lit(x) for lang, n in count.items() for x in (lang, min(1.0, 1.2 * each / n + 1e-9))))
+    each = max(1, max_train_rows // languages)
+    # so many more than needed that no language is left without a row
+    share = (F.lit(1.2 * each + 20) / F.col("n") + 1e-9) * 1_000_000
     middle = F.greatest(F.lit(1), ((F.length("text") - max_train_chars) / 2).cast("int"))
-    drawn = rows.withColumn("h", F.xxhash64("k")) \
-        .where(F.pmod("h", F.lit(1_000_000)) < F.coalesce(share[F.col("lang")], F.lit(0.0)) * 1_000_000) \
+    drawn = rows.join(counts, "lang").withColumn("h", F.xxhash64("k")) \
+        .where(F.pmod("h", F.lit(1_000_000)) < share) \
         .select("h", "lang", F.substring("text", middle, F.lit(max_train_chars)).alias("text")) \
-        .orderBy("h", "text", "lang").limit(2 * max_train_rows)
+        .orderBy("h", "text", "lang").limit(2 * (max_train_rows + 22 * languages) + 1000)
     learnt = drawn.toPandas().groupby("lang", sort=True).head(each)
     return train(learnt["text"].tolist(), learnt["lang"].tolist())
 
@@ -292,8 +339,9 @@ def predict_language(docs: DataFrame, field: Field, id_col: str = "doc_id",
 
     def run(batches):
         nothing_kept()
+        size = max(1 << 16, (8 << 20) * 16 // max(16, len(shared.value.languages)))
         for batch in batches:
-            for part in text_slices(batch, text_col, 8 << 20):
+            for part in text_slices(batch, text_col, size):
                 lang, score = shared.value.predict(texts_of(part, text_col))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(id_col), pa.array(lang, pa.string()), pa.array(score)], names=schema.names)

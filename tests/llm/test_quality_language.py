@@ -167,3 +167,34 @@ def test_trees_type():
 
 def test_small_query_runs(spark):
     assert queries.op1_quality(spark, SF).count() == queries.op10_language(spark, SF).count() >= 200
+
+
+def test_every_language_is_learnt(spark):
+    rng = np.random.default_rng(4)
+    names = [f"l{i:04d}" for i in range(520)]
+    rows = []
+    for i, name in enumerate(names):
+        letters = [chr(0x4e00 + 7 * i + j) for j in range(7)]
+        for _ in range(3 if i % 50 else 20):
+            rows.append((len(rows), " ".join("".join(rng.choice(letters, 3)) for _ in range(6)), name))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    field = fit_language(df, max_train_rows=300)
+    assert field.languages == sorted({n for i, _, n in rows if zlib.crc32(str(i).encode()) % 4 != 2})
+    assert len(field.languages) > 512 and field.weights.size <= 1 << 25
+    pred = {r["doc_id"]: r["lang_pred"] for r in predict_language(df.limit(400), field).collect()}
+    assert np.mean([pred[i] == n for i, _, n in rows if i in pred]) > 0.9
+
+
+def test_texts_side_by_side_equal_blocks():
+    rng = np.random.default_rng(5)
+    k = 5
+    moves = np.log(rng.dirichlet(np.ones(k), k))
+    field = Field([f"l{i}" for i in range(k)], np.zeros((16, k)), np.zeros(0, np.uint64), np.zeros((0, k)),
+                  np.log(rng.dirichlet(np.ones(k))), moves)
+    first = rng.random(300) < 0.1
+    first[0] = True
+    evidence = rng.normal(size=(300, k))
+    a, b = field.marginals(evidence, first), field.by_texts(evidence, first)
+    assert np.allclose(a[0], b[0], atol=1e-9)
+    for x, y in ((a[1], b[1]),):
+        assert np.allclose(x / x.sum(1, keepdims=True), y / y.sum(1, keepdims=True), atol=1e-9)
