@@ -2,8 +2,8 @@
 
 Centroids (k x d, k a parameter) travel as literals inside the plan, so the
 assignment step is a projection, not a join; each Lloyd / seeding step is
-one partial aggregation.  DBSCAN uses the grid (2-D) or blocked (high-d)
-radius join and connected components by star contraction, checkpointed
+one partial aggregation.  DBSCAN uses the graph of cells (2-D, cells.py) or the pruned (high-d)
+radius join, and connected components by star contraction, checkpointed
 each round.
 """
 
@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 
 from quarry.functions.arrays import lit_vector, sq_dist
 from quarry.functions.hashing import md5_uniform
+from quarry.operators.cells import cell_dbscan
 from quarry.operators.graph import star_components
-from quarry.operators.joins import (knn_join, nearest_centroid, radius_join_blocked,
-                                    radius_join_grid)
+from quarry.operators.joins import knn_join, nearest_centroid, radius_join_blocked
 from quarry.operators.window import sort_positions, top_k_per_group
 from quarry.session import cut_lineage
 
@@ -144,15 +144,9 @@ def connected_components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     return nodes.join(found, "id", "left").select("id", F.coalesce("comp", "id").alias("comp"))
 
 
-def dbscan(df: DataFrame, id_col: str, eps: float, min_samples: int,
-           xy: tuple[str, str] | None = None, vec: str | None = None,
-           relabel: bool = True) -> DataFrame:
-    """(id, label, is_core); label -1 is noise.  Border rows join the
-    smallest adjacent cluster; labels are ranked by the smallest id."""
-    if xy:
-        pairs = radius_join_grid(df, id_col, xy[0], xy[1], eps)
-    else:
-        pairs = radius_join_blocked(df, id_col, vec, eps)
+def _pair_dbscan(df: DataFrame, id_col: str, eps: float, min_samples: int, vec: str) -> DataFrame:
+    """(id, comp, is_core) from all pairs within eps."""
+    pairs = radius_join_blocked(df, id_col, vec, eps)
     pairs = cut_lineage(pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")))
     ids = df.select(F.col(id_col).cast("long").alias("id"))
     deg = pairs.groupBy(F.col("a").alias("id")).agg((F.count(F.lit(1)) + 1).alias("deg"))
@@ -164,11 +158,24 @@ def dbscan(df: DataFrame, id_col: str, eps: float, min_samples: int,
     comp = connected_components(core_edges, core)
     border = pairs.join(comp.withColumnRenamed("id", "b"), "b").groupBy(
         F.col("a").alias("id")).agg(F.min("comp").alias("bcomp"))
-    lab = nodes.join(comp, "id", "left").join(border, "id", "left").select(
+    return nodes.join(comp, "id", "left").join(border, "id", "left").select(
         "id", "is_core", F.when(F.col("is_core"), F.col("comp"))
         .otherwise(F.col("bcomp")).alias("comp"))
+
+
+def dbscan(df: DataFrame, id_col: str, eps: float, min_samples: int,
+           xy: tuple[str, str] | None = None, vec: str | None = None,
+           relabel: bool = True) -> DataFrame:
+    """(id, label, is_core); label -1 is noise.  Border rows join the
+    smallest adjacent cluster; labels are ranked by the smallest id.  A plane
+    (``xy``) goes by the graph of cells, vectors by the pruned radius join."""
+    lab = cell_dbscan(df, id_col, *xy, eps, min_samples) if xy \
+        else _pair_dbscan(df, id_col, eps, min_samples, vec)
     if relabel:
+        lab = cut_lineage(lab)
         comps = lab.filter(F.col("comp").isNotNull()).select("comp").distinct()
+        if comps.isEmpty():
+            return lab.select(F.col("id").alias(id_col), F.lit(-1).cast("long").alias("label"), "is_core")
         ranked = sort_positions(comps, "comp", ["comp"], out="rk")
         lab = lab.join(ranked, "comp", "left").withColumn(
             "label", F.coalesce(F.col("rk") - 1, F.lit(-1)).cast("long")).drop("rk")

@@ -1,9 +1,9 @@
 """Joins implied by the reference (J1-J9) and similarity joins.
 
 No side is forced to be broadcast: Spark decides by its own byte estimates.
-Exact kNN and high-dimensional radius joins use a blocked
-co-group: every (query block, base block) pair is one task holding at most
-``block_rows`` rows per side; only per-block top-k candidates are shuffled.
+Exact kNN and high-dimensional radius joins co-group each block of base rows
+with the queries that can have a neighbour there (``pivots.py``): a task holds
+about ``block_rows`` rows per side; only top-k candidates are shuffled on.
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.arrays import lit_matrix, sq_dist
+from quarry.operators.pivots import Blocks, matrix, send
+from quarry.session import scratch_path
 
 # ---------------------------------------------------------------- J1
 def zip_columns(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -56,37 +58,20 @@ def nearest_centroid(df: DataFrame, vec: str, centroids: Sequence[Sequence[float
 
 
 # ---------------------------------------------------------------- J5
-def _blocks(n: int, block_rows: int) -> int:
-    return max(1, math.ceil(n / block_rows))
+def _shares(n: int, rows: int) -> int:
+    return max(1, math.ceil(n / rows))
 
 
-def _to_mat(series) -> np.ndarray:
-    if len(series) == 0:
-        return np.zeros((0, 0))
-    return np.stack([np.asarray(v, dtype=np.float64) for v in series])
+def _nothing(**kinds) -> pd.DataFrame:
+    return pd.DataFrame({n: np.zeros(0, k) for n, k in kinds.items()})
 
 
-def knn_join(query: DataFrame, base: DataFrame, k: int, q_id: str, q_vec: str,
-             b_id: str | None = None, b_vec: str | None = None,
-             block_rows: int = 2048, exclude_self: bool = False) -> DataFrame:
-    """Exact k nearest neighbours (Euclidean) of every query row.
-
-    Returns (qid, nid, dist, rank) with ties broken by neighbour id.
-    """
-    b_id, b_vec = b_id or q_id, b_vec or q_vec
-    nq, nb = query.count(), base.count()
-    bq, bb = _blocks(nq, block_rows), _blocks(nb, block_rows)
-    q = query.select(F.col(q_id).cast("long").alias("qid"), F.col(q_vec).alias("qv")) \
-        .withColumn("qb", F.pmod(F.xxhash64("qid"), F.lit(bq)).cast("int")) \
-        .withColumn("bb", F.explode(F.sequence(F.lit(0), F.lit(bb - 1))))
-    b = base.select(F.col(b_id).cast("long").alias("nid"), F.col(b_vec).alias("bv")) \
-        .withColumn("bb", F.pmod(F.xxhash64("nid"), F.lit(bb)).cast("int")) \
-        .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(bq - 1))))
-
+def _nearest(k: int, exclude_self: bool):
+    """The k nearest base rows of each query inside a block, ties by id."""
     def block_topk(qp: pd.DataFrame, bp: pd.DataFrame) -> pd.DataFrame:
         if len(qp) == 0 or len(bp) == 0:
-            return pd.DataFrame({"qid": np.zeros(0, np.int64), "nid": np.zeros(0, np.int64), "dist": np.zeros(0)})
-        Q, B = _to_mat(qp["qv"]), _to_mat(bp["bv"])
+            return _nothing(qid=np.int64, nid=np.int64, dist=float, block=np.int32)
+        Q, B = matrix(qp["qv"]), matrix(bp["bv"])
         qi, bi = qp["qid"].to_numpy(), bp["nid"].to_numpy()
         d2 = (Q * Q).sum(1)[:, None] + (B * B).sum(1)[None, :] - 2.0 * Q @ B.T
         if exclude_self:
@@ -104,13 +89,74 @@ def knn_join(query: DataFrame, base: DataFrame, k: int, q_id: str, q_vec: str,
         r, c, exact = r[order], c[order], exact[order]
         first = np.searchsorted(r, np.arange(len(Q)))
         near = np.arange(len(r)) - first[r] < k
-        return pd.DataFrame({"qid": qi[r[near]], "nid": bi[c[near]], "dist": exact[near]})
+        return pd.DataFrame({"qid": qi[r[near]], "nid": bi[c[near]], "dist": exact[near],
+                             "block": np.full(int(near.sum()), bp["block"].iloc[0], np.int32)})
+    return block_topk
+
+
+def _within(eps: float, include_self: bool):
+    """All base rows within eps of each query inside a block."""
+    def block_pairs(qp: pd.DataFrame, bp: pd.DataFrame) -> pd.DataFrame:
+        if len(qp) == 0 or len(bp) == 0:
+            return _nothing(id_a=np.int64, id_b=np.int64, dist=float)
+        Q, B = matrix(qp["qv"]), matrix(bp["bv"])
+        qi, bi = qp["qid"].to_numpy(), bp["nid"].to_numpy()
+        d2 = (Q * Q).sum(1)[:, None] + (B * B).sum(1)[None, :] - 2.0 * Q @ B.T
+        r, c = np.nonzero(d2 <= eps * eps * (1 + 1e-9) + 1e-12)
+        diff = Q[r] - B[c]
+        d = np.sqrt((diff * diff).sum(-1))
+        keep = d <= eps
+        if not include_self:
+            keep &= qi[r] != bi[c]
+        return pd.DataFrame({"id_a": qi[r][keep].astype(np.int64),
+                             "id_b": bi[c][keep].astype(np.int64), "dist": d[keep]})
+    return block_pairs
+
+
+def _one_block(q: DataFrame, b: DataFrame, n_queries: int, query_rows: int):
+    """All queries against a base of one block."""
+    shares = _shares(n_queries, query_rows)
+    return (q.withColumn("block", F.lit(0)).withColumn("share", F.pmod(F.xxhash64("qid"), F.lit(shares)).cast("int")),
+            b.withColumn("block", F.lit(0)).withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1)))))
 
-    cand = q.groupBy("qb", "bb").cogroup(b.groupBy("qb", "bb")).applyInPandas(
-        block_topk, schema="qid long, nid long, dist double")
+
+def _cogroup(asked: DataFrame, held: DataFrame, fn, schema: str) -> DataFrame:
+    return asked.groupBy("block", "share").cogroup(held.groupBy("block", "share")).applyInPandas(fn, schema=schema)
+
+
+def knn_join(query: DataFrame, base: DataFrame, k: int, q_id: str, q_vec: str,
+             b_id: str | None = None, b_vec: str | None = None,
+             block_rows: int = 2048, exclude_self: bool = False, sent: dict | None = None) -> DataFrame:
+    """Exact k nearest neighbours (Euclidean) of every query row.
+
+    Returns (qid, nid, dist, rank) with ties broken by neighbour id.  A base of
+    more than one block goes by pivots (``pivots.py``): each query is searched
+    in its home block first and then only in the blocks that its k-th distance
+    there can reach.  ``sent`` takes the numbers of query and base rows shuffled.
+    """
+    b_id, b_vec = b_id or q_id, b_vec or q_vec
+    q = query.select(F.col(q_id).cast("long").alias("qid"), F.col(q_vec).alias("qv"))
+    b = base.select(F.col(b_id).cast("long").alias("nid"), F.col(b_vec).alias("bv"))
+    nq, nb = query.count(), base.count()
+    schema, best = "qid long, nid long, dist double, block int", _nearest(k, exclude_self)
+    if nb <= block_rows:
+        found = _cogroup(*_one_block(q, b, nq, block_rows), best, schema)
+    else:
+        blocks = Blocks(b, block_rows)
+        asked, held, n1, m1 = send(q, blocks, block_rows)
+        path = scratch_path(q.sparkSession, "knn_home")
+        _cogroup(asked, held, best, schema).write.parquet(path)
+        home = q.sparkSession.read.parquet(path)
+        bound = home.groupBy("qid").agg(F.count("*").alias("n"), F.max("dist").alias("dist"), F.min("block").alias("home")) \
+            .select("qid", "home", F.when(F.col("n") >= k, F.col("dist")).otherwise(F.lit(float("inf"))).alias("tau"))
+        rest = q.join(bound, "qid", "left").fillna({"home": -1, "tau": float("inf")})
+        asked, held, n2, m2 = send(rest, blocks, block_rows)
+        found = home.unionByName(_cogroup(asked, held, best, schema))
+        if sent is not None:
+            sent.update(queries=n1 + n2, base=m1 + m2, blocks=len(blocks.names))
     w = Window.partitionBy("qid").orderBy("dist", "nid")
-    # each query has at most k * (#base blocks) candidates: a bounded group
-    return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    # each query has at most k candidates per block it was sent to
+    return found.drop("block").withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
 # ---------------------------------------------------------------- J6
@@ -140,35 +186,21 @@ def radius_join_grid(df: DataFrame, id_col: str, x: str, y: str, eps: float,
 
 
 def radius_join_blocked(df: DataFrame, id_col: str, vec: str, eps: float,
-                        block_rows: int = 2048, include_self: bool = False) -> DataFrame:
-    """J6 (high-d): exact pairs within eps by blocked co-group (vectorised
-    distance matrix per block pair; only pairs within eps leave the task)."""
+                        block_rows: int = 2048, include_self: bool = False, sent: dict | None = None) -> DataFrame:
+    """J6 (high-d): exact pairs within eps; a row meets only the blocks that its
+    pivot distances allow (vectorised distances per block, only pairs within eps
+    leave the task)."""
+    q = df.select(F.col(id_col).cast("long").alias("qid"), F.col(vec).alias("qv"))
+    b = df.select(F.col(id_col).cast("long").alias("nid"), F.col(vec).alias("bv"))
     n = df.count()
-    nb = _blocks(n, block_rows)
-    a = df.select(F.col(id_col).cast("long").alias("qid"), F.col(vec).alias("qv")) \
-        .withColumn("qb", F.pmod(F.xxhash64("qid"), F.lit(nb)).cast("int")) \
-        .withColumn("bb", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))))
-    b = df.select(F.col(id_col).cast("long").alias("nid"), F.col(vec).alias("bv")) \
-        .withColumn("bb", F.pmod(F.xxhash64("nid"), F.lit(nb)).cast("int")) \
-        .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))))
-
-    def block_pairs(qp: pd.DataFrame, bp: pd.DataFrame) -> pd.DataFrame:
-        if len(qp) == 0 or len(bp) == 0:
-            return pd.DataFrame({"id_a": [], "id_b": [], "dist": []})
-        Q, B = _to_mat(qp["qv"]), _to_mat(bp["bv"])
-        qi, bi = qp["qid"].to_numpy(), bp["nid"].to_numpy()
-        d2 = (Q * Q).sum(1)[:, None] + (B * B).sum(1)[None, :] - 2.0 * Q @ B.T
-        r, c = np.nonzero(d2 <= eps * eps * (1 + 1e-9) + 1e-12)
-        diff = Q[r] - B[c]
-        d = np.sqrt((diff * diff).sum(-1))
-        keep = d <= eps
-        if not include_self:
-            keep &= qi[r] != bi[c]
-        return pd.DataFrame({"id_a": qi[r][keep].astype(np.int64),
-                             "id_b": bi[c][keep].astype(np.int64), "dist": d[keep]})
-
-    return a.groupBy("qb", "bb").cogroup(b.groupBy("qb", "bb")).applyInPandas(
-        block_pairs, schema="id_a long, id_b long, dist double")
+    if n <= block_rows:
+        asked, held = _one_block(q, b, n, block_rows)
+    else:
+        blocks = Blocks(b, block_rows)
+        asked, held, n1, m1 = send(q.withColumn("tau", F.lit(float(eps))), blocks, block_rows)
+        if sent is not None:
+            sent.update(queries=n1, base=m1, blocks=len(blocks.names))
+    return _cogroup(asked, held, _within(eps, include_self), "id_a long, id_b long, dist double")
 
 
 # ---------------------------------------------------------------- J7 / J8
