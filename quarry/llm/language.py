@@ -322,7 +322,8 @@ def fit_language(docs: DataFrame, max_train_rows: int = 4000, folds: int = 4, he
     # so many more than needed that no language is left without a row
     share = (F.lit(1.2 * each + 20) / F.col("n") + 1e-9) * 1_000_000
     middle = F.greatest(F.lit(1), ((F.length("text") - max_train_chars) / 2).cast("int"))
-    drawn = rows.join(counts, "lang").withColumn("h", F.xxhash64("k")) \
+    # a row per language, as the model itself has a column for each: far smaller than the model
+    drawn = rows.join(F.broadcast(counts), "lang").withColumn("h", F.xxhash64("k")) \
         .where(F.pmod("h", F.lit(1_000_000)) < share) \
         .select("h", "lang", F.substring("text", middle, F.lit(max_train_chars)).alias("text")) \
         .orderBy("h", "text", "lang").limit(2 * (max_train_rows + 22 * languages) + 1000)
