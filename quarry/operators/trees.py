@@ -13,7 +13,7 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.ml import Model
+import pandas as pd
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier,
                                        MultilayerPerceptronClassifier,
                                        RandomForestClassifier)
@@ -23,6 +23,7 @@ from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomFor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators.histtrees import feature_array, keyed_trees, small_tree_votes
 from quarry.operators.split import poisson_weight, shuffle_split
 from quarry.session import cut_lineage
 
@@ -41,14 +42,6 @@ def random_forest(kind: str = "classifier", max_features=None, **kw):
     return RandomForestClassifier(**kw) if kind == "classifier" else RandomForestRegressor(**kw)
 
 
-def extra_trees(**kw):
-    """L19 (nearest match): no bootstrap, coarse random splits via few bins
-    and per-node feature sampling; MLlib has no random-threshold trees."""
-    kw.setdefault("maxBins", 8)
-    kw.setdefault("featureSubsetStrategy", "sqrt")
-    return RandomForestClassifier(bootstrap=False, **kw)
-
-
 def named_importances(model, names: Sequence[str]) -> list[tuple[str, float]]:
     """Feature importances paired with names, descending."""
     imp = model.featureImportances.toArray()
@@ -151,24 +144,64 @@ def members_long(models: dict, df: DataFrame, id_col: str, with_proba: bool = Fa
     return out
 
 
-# ---------------------------------------------------------------- L22
-def small_tree_forest(df: DataFrame, test: DataFrame, id_col: str, n_sets: int = 20,
+# ---------------------------------------------------------------- L20 / L22: many small trees
+def bagging_small(df: DataFrame, id_col: str, n_estimators: int, max_samples: int,
+                  features: str = "features", label: str = "label", seed: int = 42, **tree_kw) -> dict:
+    """L20 with samples of about ``max_samples`` rows each: all trees are fitted
+    in one job, a group of rows per tree, and the out-of-bag rows are scored in
+    one pass.  Results as of ``bagging``."""
+    data = whole_keyed(df, id_col, features, label)
+    n, top = data.agg(F.count("*"), F.max("y")).first()
+    k = int(top) + 1
+    weights = F.transform(F.sequence(F.lit(0), F.lit(n_estimators - 1)),
+                          lambda r: poisson_weight(r, ["id"], max_samples / max(n, 1), seed))
+    data = data.withColumn("weights", weights)
+    rows = data.select("x", "y", F.posexplode("weights").alias("replica", "w")).where("w > 0")
+    models = keyed_trees(rows, "replica", "x", "y", k, "w", **tree_kw)
+    own = dict(models)
+
+    @F.pandas_udf("array<double>")
+    def out_of_bag(x: pd.Series, w: pd.Series) -> pd.Series:
+        rows_, seen = np.stack(x.to_list()), np.stack(w.to_list())
+        total = np.zeros((len(rows_), k))
+        for r, m in own.items():
+            out = np.flatnonzero(seen[:, r] == 0)
+            total[out] += m.predict_rows(rows_[out])
+        size = total.sum(1)
+        return pd.Series([t / s if s else None for t, s in zip(total, size)], dtype=object)
+
+    oob = data.select(F.col("id").alias(id_col), F.col("y").alias(label), out_of_bag("x", "weights").alias("oob_proba")) \
+        .where("oob_proba IS NOT NULL") \
+        .withColumn("oob_pred", (F.array_position("oob_proba", F.array_max("oob_proba")) - 1).cast("double"))
+    score = oob.agg(F.avg((F.col("oob_pred") == F.col(label)).cast("double"))).first()[0]
+    return {"models": models, "oob_score": score, "oob": oob, "oob_votes": oob.select(id_col, "oob_pred"), "n_classes": k}
+
+
+def whole_keyed(df: DataFrame, id_col: str, features: str, label: str) -> DataFrame:
+    """id, x, y of the rows without a null or NaN."""
+    return df.select(F.col(id_col).alias("id"), feature_array(df, features).alias("x"), F.col(label).cast("double").alias("y")) \
+        .where("x IS NOT NULL AND y IS NOT NULL AND NOT isnan(y)").where(F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v)))
+
+
+def _equals(c: int):
+    return lambda v: v == F.lit(float(c))
+
+
+def small_tree_forest(df: DataFrame, test: DataFrame, id_col: str, n_sets: int = 1000,
                       size: int = 100, features: str = "features", label: str = "label",
                       seed: int = 42, **tree_kw) -> dict:
-    """Many trees on small random subsets, majority vote on ``test``."""
-    sets = shuffle_split(df.select(id_col, features, label), n_sets, size, [id_col], seed).cache()
-    preds = None
-    accs = []
-    for s in range(n_sets):
-        m = DecisionTreeClassifier(featuresCol=features, labelCol=label, seed=seed + s,
-                                   **tree_kw).fit(sets.filter(F.col("set_id") == s))
-        t = m.transform(test).select(id_col, F.lit(s).alias("member"), "prediction", label)
-        accs.append(t.agg(F.avg((F.col("prediction") == F.col(label)).cast("double"))).first()[0])
-        preds = t if preds is None else preds.unionByName(t)
-    v = vote(preds, id_col).join(test.select(id_col, label), id_col)
-    acc = v.agg(F.avg((F.col("vote") == F.col(label)).cast("double"))).first()[0]
-    sets.unpersist()
-    return {"mean_tree_accuracy": float(np.mean(accs)), "vote_accuracy": acc}
+    """Many trees on small random subsets, fitted in one job (a group per
+    subset), and their majority vote on ``test`` (ties: the smallest class)."""
+    data = whole_keyed(df, id_col, features, label)
+    k = int(data.agg(F.max("y")).first()[0]) + 1
+    sets = shuffle_split(data, n_sets, size, ["id"], seed)
+    models = keyed_trees(sets, "set_id", "x", "y", k, **tree_kw)
+    votes = small_tree_votes(test, models, features)
+    share = F.size(F.filter("votes", lambda v: v == F.col(label))) / F.size("votes")
+    count = F.array(*(F.size(F.filter("votes", _equals(c))) for c in range(k)))
+    top = F.array_position(count, F.array_max(count)) - 1
+    mean, vote_ = votes.agg(F.avg(share), F.avg((top == F.col(label)).cast("double"))).first()
+    return {"mean_tree_accuracy": float(mean), "vote_accuracy": float(vote_), "models": models}
 
 
 # ---------------------------------------------------------------- L23

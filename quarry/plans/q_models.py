@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from quarry.functions.arrays import argmax
 from quarry.functions.hashing import rnd
 from quarry.operators import features as X
+from quarry.operators import histtrees as H
 from quarry.operators import linear as L
 from quarry.operators import neighbors as N
+from quarry.operators import randomtrees as R
 from quarry.operators import selection as G
 from quarry.operators import split as T
 from quarry.operators import trees as TR
@@ -261,6 +263,20 @@ def l17b_tree_regressor(spark, sf):
     return m.transform(d).select("l_orderkey", "l_linenumber", "prediction")
 
 
+@query("l17c_best_first_tree")
+def l17c_best_first_tree(spark, sf):
+    e = _emb_cls(spark, sf)
+    m = H.best_first_tree(e, max_leaf_nodes=16, min_samples_split=20)
+    return m.transform(e).select("vec_id", "prediction", "probability")
+
+
+@query("l17d_best_first_regressor")
+def l17d_best_first_regressor(spark, sf):
+    d = _lp(spark, sf)
+    m = H.best_first_tree(d, label="y_rule", criterion="variance", max_leaf_nodes=12, min_samples_leaf=50)
+    return m.transform(d).select("l_orderkey", "l_linenumber", "prediction")
+
+
 @query("l18_random_forest")
 def l18_random_forest(spark, sf):
     d = _lp(spark, sf)
@@ -272,8 +288,8 @@ def l18_random_forest(spark, sf):
 @query("l19_extra_trees")
 def l19_extra_trees(spark, sf):
     e = _emb_cls(spark, sf)
-    m = TR.extra_trees(numTrees=10, maxDepth=5, seed=42).fit(e)
-    return m.transform(e).select("vec_id", "prediction")
+    m = R.extra_trees(e, n_estimators=20, max_depth=6)
+    return m.transform(e).select("vec_id", "prediction", "probability")
 
 
 @query("l20_bagging_oob")
@@ -283,6 +299,12 @@ def l20_bagging_oob(spark, sf):
     return r["oob"].select("vec_id", "oob_proba", "oob_pred").withColumn("oob_score", F.lit(r["oob_score"]))
 
 
+@query("l20b_bagging_small_trees")
+def l20b_bagging_small_trees(spark, sf):
+    r = TR.bagging_small(_emb_cls(spark, sf), "vec_id", n_estimators=500, max_samples=100, max_depth=6)
+    return r["oob"].select("vec_id", "oob_proba", "oob_pred").withColumn("oob_score", F.lit(r["oob_score"]))
+
+
 _VOTE_MEMBERS = {"m0": (0, 3), "m1": (0, 4), "m2": (1, 3)}
 
 
@@ -318,8 +340,8 @@ def l21b_soft_voting(spark, sf):
 def l22_small_tree_forest(spark, sf):
     e = _emb_cls(spark, sf)
     e = T.split_three_way(e, [0.8, 0.2], ["vec_id"], out="part")
-    r = TR.small_tree_forest(e.filter("part = 0"), e.filter("part = 1"), "vec_id", n_sets=5,
-                             size=100, maxDepth=4)
+    r = TR.small_tree_forest(e.filter("part = 0"), e.filter("part = 1"), "vec_id", n_sets=1000,
+                             size=100, max_depth=4)
     return spark.createDataFrame([(r["mean_tree_accuracy"], r["vote_accuracy"])],
                                  "mean_tree_accuracy double, vote_accuracy double")
 
@@ -356,6 +378,15 @@ def l25_gbt_early_stopping(spark, sf):
     return spark.createDataFrame([(m.getNumTrees,)], "n_trees int")
 
 
+@query("l25b_boosted_eval_set")
+def l25b_boosted_eval_set(spark, sf):
+    d = T.split_by_hash(_lp(spark, sf), "l_orderkey", 0.2, "md5", out="is_val")
+    m = H.boosted_trees(d.filter("NOT is_val"), label="y_rule", eval_set=d.filter("is_val"), n_estimators=30,
+                        learning_rate=0.5, max_depth=3, max_bins=64, early_stopping_rounds=2)
+    return spark.createDataFrame([(i + 1, float(x), i == m.best_iteration) for i, x in enumerate(m.eval_losses)],
+                                 "n_trees int, eval_loss double, is_best boolean")
+
+
 @query("l26_mlp")
 def l26_mlp(spark, sf):
     e = _emb_cls(spark, sf)
