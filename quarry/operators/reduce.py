@@ -228,7 +228,7 @@ def lda(df: DataFrame, vec: str, label: str, k: int | None = None, ridge: float
     Sb = np.zeros((d, d))
     for m in per.values():
         mk = m.mean
-        Sw += m.xtx - m.n * np.outer(mk, mk)
+        Sw += m.cxx
         Sb += m.n * np.outer(mk - mu, mk - mu)
     vals, vecs = np.linalg.eig(np.linalg.solve(Sw + ridge * np.eye(d), Sb))
     order = np.argsort(-vals.real)

@@ -126,27 +126,28 @@ def minibatch_kmeans(stream: DataFrame, vec: str, init_centroids, store: StateSt
 def incremental_pca_stream(stream: DataFrame, vec: str, store: StateStore,
                            checkpoint: str) -> None:
     """D3: merge each batch's Gram statistics into the running total; the
-    PCA of the total after the last batch equals the batch PCA exactly."""
+    PCA of the total after the last batch equals the batch PCA exactly.  The
+    state holds products about the mean, so values far from zero keep their digits."""
     def handle(batch: DataFrame, batch_id: int):
         m = gram(batch, vec)
         if m is None:
             return
         prev = store.latest(before=batch_id)
         if prev:
-            n = prev["n"] + m.n
-            sx = np.array(prev["sx"]) + m.sx
-            xtx = np.array(prev["xtx"]) + m.xtx
-        else:
-            n, sx, xtx = m.n, m.sx, m.xtx
-        store.save(batch_id, {"n": float(n), "sx": sx.tolist(), "xtx": xtx.tolist()})
+            m = _moments(prev).merge(m)
+        store.save(batch_id, {"n": float(m.n), "sx": m.sx.tolist(), "cxx": m.cxx.tolist()})
     _run(stream, handle, checkpoint)
 
 
-def pca_from_state(state: dict, k: int):
+def _moments(state: dict):
     from quarry.operators.aggregate import Moments
+    sx, cxx = np.array(state["sx"]), np.array(state["cxx"])
+    return Moments(state["n"], sx, cxx + np.outer(sx, sx) / state["n"], cxx=cxx)
+
+
+def pca_from_state(state: dict, k: int):
     from quarry.operators.reduce import pca_from_moments
-    m = Moments(state["n"], np.array(state["sx"]), np.array(state["xtx"]))
-    return pca_from_moments(m, k)
+    return pca_from_moments(_moments(state), k)
 
 
 # ---------------------------------------------------------------- D4
