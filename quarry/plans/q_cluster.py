@@ -11,6 +11,7 @@ from quarry.functions import mathfn as M
 from quarry.functions.hashing import rnd
 from quarry.operators import cluster as C
 from quarry.operators import density as D
+from quarry.operators import linkage as LK
 from quarry.operators import linear as L
 from quarry.operators import reduce as R
 from quarry.operators.joins import nearest_centroid
@@ -143,6 +144,17 @@ def c11_hierarchical(spark, sf):
                                                                           "cluster")
 
 
+@query("c11b_single_linkage")
+def c11b_single_linkage(spark, sf):
+    return LK.dendrogram(LK.spanning_tree(_planted(spark, sf), "vec_id", "emb"))
+
+
+@query("c11c_single_linkage_cut")
+def c11c_single_linkage_cut(spark, sf):
+    e = _planted(spark, sf)
+    return LK.cut_tree(e, "vec_id", LK.spanning_tree(e, "vec_id", "emb"), k=5).join(e.select("vec_id", "group"), "vec_id")
+
+
 @query("c12_gmm")
 def c12_gmm(spark, sf):
     pcs = _planted_pcs(spark, sf)
