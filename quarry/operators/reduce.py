@@ -13,11 +13,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from quarry.operators.aggregate import Moments, gram
+from quarry.operators.aggregate import Moments, _vec_matrix, complete_rows, gram
 
 
 @dataclass
@@ -109,29 +110,58 @@ def explained_variance_table(model: PCAModel, spark) -> DataFrame:
 
 
 # ---------------------------------------------------------------- R4
+def tall_qr(df: DataFrame, vec: str, project_rows, width: int, groups: int = 32) -> np.ndarray:
+    """R of the QR factorisation of ``project_rows(X)`` (n x width) over all rows:
+    Householder QR in each task, the triangles stacked and factorised again in
+    ``groups`` groups, and those once more.  The condition of the matrix is never
+    squared."""
+    import pyarrow as pa
+
+    def triangle(parts: list[np.ndarray]) -> np.ndarray:
+        return np.linalg.qr(np.concatenate([np.zeros((width, width)), *parts]), mode="r")
+
+    def part(frames):
+        r = None
+        for f in frames:
+            if len(f):
+                r = triangle([*([] if r is None else [r]), project_rows(_vec_matrix(f["x"]))])
+        if r is not None:
+            yield pd.DataFrame({"r": [r.ravel().tolist()], "task": [TaskContext.get().partitionId()]})
+
+    def merge(group: pa.Table) -> pa.Table:
+        rs = [np.array(x.as_py()).reshape(width, width) for x in group.column("r")]
+        return pa.table({"r": pa.array([triangle(rs).ravel().tolist()], pa.list_(pa.float64()))})
+    rows = complete_rows(df.select(F.col(vec).alias("x")), "x")
+    parts = rows.mapInPandas(part, "r array<double>, task int").groupBy(F.pmod("task", F.lit(groups)).alias("g")) \
+        .applyInArrow(merge, "r array<double>").collect()
+    return triangle([np.array(p["r"]).reshape(width, width) for p in parts])
+
+
 def randomized_pca(df: DataFrame, vec: str, k: int, oversample: int = 10, seed: int = 42) -> PCAModel:
-    """Randomized range finder in one data pass after the mean:
-    Z = (X - mu) Omega per batch, partial Z'Z and Z'X merged; R = chol(Z'Z),
-    B = R^-T Z'X = Q'X, SVD(B) gives the axes."""
+    """Randomised range finder after the mean: Z = (X - mu) Omega, its R by a
+    tall-skinny QR, then B = (Z R^-1)' X = Q' X in one more pass; the SVD of B
+    gives the axes."""
     from quarry.operators.linear import sum_pass
     m = gram(df, vec)
     mu = m.mean
     d = len(mu)
     l = min(d, k + oversample)
     omega = np.random.default_rng(seed).standard_normal((d, l))
+    R = tall_qr(df, vec, lambda X: (X - mu) @ omega, l)
+    # columns that the rows do not span (R's small diagonal) stay out
+    u, size, vt = np.linalg.svd(R)
+    keep = size > 1e-14 * size[0] if size[0] > 0 else np.zeros(l, bool)
+    inverse = (vt[keep].T / size[keep])               # Q = Z V S^-1, orthonormal as Z R^-1 is
 
     def fn(X, pdf):
         Xc = X - mu
-        Z = Xc @ omega
-        return np.concatenate([(Z.T @ Z).ravel(), (Z.T @ Xc).ravel()])
-    s = sum_pass(df.select(F.col(vec).alias("x")), fn, l * l + l * d)
-    ztz, ztx = s[:l * l].reshape(l, l), s[l * l:].reshape(l, d)
-    R = np.linalg.cholesky(ztz + 1e-12 * np.eye(l)).T
-    B = np.linalg.solve(R.T, ztx)
-    _, sv, vt = np.linalg.svd(B, full_matrices=False)
-    var = sv[:k] ** 2 / (m.n - 1)
+        return ((Xc @ omega @ inverse).T @ Xc).ravel()
+    B = sum_pass(df.select(F.col(vec).alias("x")), fn, int(keep.sum()) * d).reshape(-1, d)
+    _, sv, axes = np.linalg.svd(B, full_matrices=False)
+    var = np.zeros(k)
+    var[:min(k, len(sv))] = sv[:k] ** 2 / (m.n - 1)
     total = float(np.trace(m.cov(ddof=1)))
-    return PCAModel(mu, _sign_fix(vt[:k]), var, total)
+    return PCAModel(mu, _sign_fix(axes[:k]), var[:len(axes[:k])], total)
 
 
 # ---------------------------------------------------------------- R5 / R6

@@ -14,6 +14,7 @@ from quarry.operators import density as D
 from quarry.operators import linkage as LK
 from quarry.operators import linear as L
 from quarry.operators import reduce as R
+from quarry.operators import spectral as SP
 from quarry.operators.joins import nearest_centroid
 from quarry.plans import sqlfrag as S
 from quarry.plans.common import CENT_SQL, collect_centroids, label_centroids
@@ -136,6 +137,12 @@ def c10_spectral(spark, sf):
     return C.spectral(_planted(spark, sf), "vec_id", "emb", 5, n_neighbors=10, gamma=0.5)
 
 
+@query("c10b_laplacian_clusters")
+def c10b_laplacian_clusters(spark, sf):
+    e = _planted(spark, sf)
+    return SP.spectral_clusters(e, "vec_id", "emb", 5, n_neighbors=10, gamma=0.5).join(e.select("vec_id", "group"), "vec_id")
+
+
 @query("c11_hierarchical")
 def c11_hierarchical(spark, sf):
     e = _planted(spark, sf)
