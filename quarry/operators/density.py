@@ -257,13 +257,42 @@ def _digamma(x: float) -> float:
         1 / 240 - f / 132))))
 
 
+def _beta_gap(a: float, b: float, concentration: float) -> float:
+    """Divergence of Beta(a, b) from Beta(1, concentration)."""
+    ln_beta = lambda x, y: math.lgamma(x) + math.lgamma(y) - math.lgamma(x + y)
+    both = _digamma(a + b)
+    return ln_beta(1.0, concentration) - ln_beta(a, b) + (a - 1.0) * (_digamma(a) - both) \
+        + (b - concentration) * (_digamma(b) - both)
+
+
+def _normal_wishart_gap(dm, beta, W, nu, e_ln_lam, b0, W0inv, nu0) -> float:
+    """Divergence of a component's Normal-Wishart from the prior; ``dm`` is the
+    distance of the means."""
+    d = len(dm)
+
+    def ln_b(logdet, n):
+        return -0.5 * n * logdet - (0.5 * n * d * math.log(2) + 0.25 * d * (d - 1) * math.log(math.pi)
+                                    + sum(math.lgamma(0.5 * (n + 1 - i)) for i in range(1, d + 1)))
+    means = 0.5 * (d * b0 / beta - d - d * math.log(b0 / beta) + b0 * nu * dm @ W @ dm)
+    shapes = 0.5 * (nu - nu0) * e_ln_lam - 0.5 * nu * d + 0.5 * nu * np.trace(W0inv @ W) \
+        + ln_b(np.linalg.slogdet(W)[1], nu) - ln_b(-np.linalg.slogdet(W0inv)[1], nu0)
+    return float(means + shapes)
+
+
 def vb_gmm(df: DataFrame, vec: str, k: int, id_col: str, max_iter: int = 100,
-           tol: float = 1e-3, weight_prior: float | None = None, seed: int = 42) -> Mixture:
-    """C14: variational Bayesian Gaussian mixture (finite Dirichlet prior on
-    the weights, Normal-Wishart on means / precisions).  Each iteration is
-    one pass: batches compute responsibilities from the current variational
-    parameters and return N_k, sum r x, sum r x x'; the Dirichlet / Wishart
-    updates run on the driver.  Unneeded components get weights near 0."""
+           tol: float = 1e-3, weight_prior: float | None = None, seed: int = 42,
+           prior: str = "dirichlet") -> Mixture:
+    """C14: variational Bayesian Gaussian mixture (a finite Dirichlet prior on
+    the weights, or with ``prior="stick_breaking"`` the Dirichlet process: each
+    weight is a Beta(1, weight_prior) share of what the earlier ones leave;
+    Normal-Wishart on means / precisions).  Each iteration is one pass: batches
+    compute responsibilities from the current variational parameters and return
+    N_k, sum r x, sum r x x'; the weight and Wishart updates run on the driver.
+    Unneeded components get weights near 0.  ``lower_bounds`` of the result has
+    the evidence bound of each pass (stick-breaking), which never falls."""
+    sticks = prior == "stick_breaking"
+    if not sticks and prior != "dirichlet":
+        raise ValueError(f"unknown prior {prior}")
     from quarry.operators.aggregate import gram
     from quarry.operators.cluster import kmeans_pp_init
     d_ = df.select(F.col(vec).alias("x")).cache()
@@ -275,22 +304,23 @@ def vb_gmm(df: DataFrame, vec: str, k: int, id_col: str, max_iter: int = 100,
     b0, nu0 = 1.0, float(D_)
     centers = np.asarray(kmeans_pp_init(df, vec, id_col, k, seed), dtype=float)
     k = len(centers)
-    size = k + k * D_ + k * D_ * D_
+    size = k + k * D_ + k * D_ * D_ + 1
 
     def stats_from(resp_fn):
         def fn(X, pdf):
-            r = resp_fn(X)
+            r, evidence = resp_fn(X)
             Sxx = np.einsum("nk,ni,nj->kij", r, X, X)
-            return np.concatenate([r.sum(0), (r.T @ X).ravel(), Sxx.ravel()])
+            return np.concatenate([r.sum(0), (r.T @ X).ravel(), Sxx.ravel(), [evidence]])
         s = sum_pass(d_, fn, size)
-        return s[:k], s[k:k + k * D_].reshape(k, D_), s[k + k * D_:].reshape(k, D_, D_)
+        return s[:k], s[k:k + k * D_].reshape(k, D_), s[k + k * D_:-1].reshape(k, D_, D_), s[-1]
 
     def hard(X, c=centers):
         a = np.argmin(((X[:, None, :] - c[None]) ** 2).sum(-1), 1)
-        return np.eye(k)[a]
+        return np.eye(k)[a], 0.0
 
-    Nk, Sx, Sxx = stats_from(hard)
-    prev = None
+    Nk, Sx, Sxx, _ = stats_from(hard)
+    prev, bounds = None, []
+    W0inv_ = W0inv + COV_FLOOR * np.eye(D_)
     for it in range(max_iter):
         Nk_ = np.maximum(Nk, 1e-10)
         xbar = Sx / Nk_[:, None]
@@ -304,7 +334,14 @@ def vb_gmm(df: DataFrame, vec: str, k: int, id_col: str, max_iter: int = 100,
             dx = xbar[j] - m0
             Winv = W0inv + Nk[j] * S + (b0 * Nk[j] / (b0 + Nk[j])) * np.outer(dx, dx)
             W[j] = np.linalg.inv(Winv + COV_FLOOR * np.eye(D_))
-        e_ln_pi = np.array([_digamma(a) for a in alpha]) - _digamma(alpha.sum())
+        if sticks:
+            rest = np.cumsum(Nk[::-1])[::-1] - Nk
+            va, vb = 1.0 + Nk, a0 + rest
+            both = np.array([_digamma(x) for x in va + vb])
+            left = np.array([_digamma(x) for x in vb]) - both
+            e_ln_pi = np.array([_digamma(x) for x in va]) - both + np.cumsum(left) - left
+        else:
+            e_ln_pi = np.array([_digamma(a) for a in alpha]) - _digamma(alpha.sum())
         e_ln_lam = np.array([sum(_digamma((nu[j] + 1 - i) / 2) for i in range(1, D_ + 1))
                              + D_ * math.log(2) + np.linalg.slogdet(W[j])[1] for j in range(k)])
         if prev is not None and np.abs(Nk - prev).max() <= tol * Nk.sum():
@@ -318,12 +355,22 @@ def vb_gmm(df: DataFrame, vec: str, k: int, id_col: str, max_iter: int = 100,
                 quad = np.einsum("ni,ij,nj->n", dx, W[j], dx)
                 lr[:, j] = e_ln_pi[j] + 0.5 * e_ln_lam[j] - 0.5 * D_ * math.log(2 * math.pi) \
                     - 0.5 * (D_ / beta[j] + nu[j] * quad)
-            return np.exp(lr - _logsumexp(lr)[:, None])
-        Nk, Sx, Sxx = stats_from(resp)
+            total = _logsumexp(lr)
+            return np.exp(lr - total[:, None]), total.sum()
+        Nk, Sx, Sxx, evidence = stats_from(resp)
+        if sticks:
+            bounds.append(evidence - sum(_beta_gap(a, b, a0) for a, b in zip(va, vb)) - sum(
+                _normal_wishart_gap(m[j] - m0, beta[j], W[j], nu[j], e_ln_lam[j], b0, W0inv_, nu0) for j in range(k)))
     d_.unpersist()
     covs = np.stack([np.linalg.inv(W[j]) / nu[j] for j in range(k)])
-    mix = Mixture(alpha / alpha.sum(), m, covs + COV_FLOOR * np.eye(D_)[None], "full",
+    weights = alpha / alpha.sum()
+    if sticks:
+        share = va / (va + vb)
+        weights = share * np.concatenate(([1.0], np.cumprod(1 - share)[:-1]))
+        weights = weights / weights.sum()
+    mix = Mixture(weights, m, covs + COV_FLOOR * np.eye(D_)[None], "full",
                   n=int(round(Nk.sum())), n_iter=it + 1)
+    mix.lower_bounds = bounds
     mix.log_likelihood = float(sum_pass(
         df.select(F.col(vec).alias("x")),
         lambda X, p: np.array([_logsumexp(component_log_density(X, mix)).sum()]), 1)[0])

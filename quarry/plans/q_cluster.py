@@ -197,6 +197,12 @@ def c14_sparse_prior_gmm(spark, sf):
                                  "component int, weight double")
 
 
+@query("c14c_stick_breaking")
+def c14c_stick_breaking(spark, sf):
+    m = D.vb_gmm(_planted_pcs(spark, sf), "pc", 8, "vec_id", max_iter=40, weight_prior=0.01, prior="stick_breaking")
+    return spark.createDataFrame([(i, float(w)) for i, w in enumerate(m.weights)], "component int, weight double")
+
+
 def _fitted(spark, sf):
     pcs = _planted_pcs(spark, sf)
     return pcs, D.em(pcs, "pc", 5, "full", max_iter=20, id_col="vec_id")

@@ -16,6 +16,7 @@ from quarry.operators import features as X
 from quarry.operators import histtrees as H
 from quarry.operators import linear as L
 from quarry.operators import neighbors as N
+from quarry.operators import randomfeatures as RF
 from quarry.operators import randomtrees as R
 from quarry.operators import selection as G
 from quarry.operators import split as T
@@ -209,6 +210,20 @@ def l13_kernel_svm(spark, sf):
     return m.transform(f).select("vec_id", "prediction", "label")
 
 
+@query("l13b_fourier_svm")
+def l13b_fourier_svm(spark, sf):
+    e = emb_view(spark, sf).withColumn("label", (F.col("c_rule") == 0).cast("double"))
+    m, drawn = RF.kernel_svc(e, "emb", "label", RF.FourierFeatures.draw(64, 256, 1.0), C=10.0, max_iter=50)
+    return m.transform(RF.with_features(e, "emb", drawn, "z")).select("vec_id", "prediction", "label")
+
+
+@query("l13c_sketched_polynomial_svm")
+def l13c_sketched_polynomial_svm(spark, sf):
+    e = emb_view(spark, sf).withColumn("label", (F.col("c_rule") == 0).cast("double"))
+    m, drawn = RF.kernel_svc(e, "emb", "label", RF.TensorSketch.draw(64, 256, 3), C=10.0, max_iter=50)
+    return m.transform(RF.with_features(e, "emb", drawn, "z")).select("vec_id", "prediction", "label")
+
+
 @query("l14_linear_svr")
 def l14_linear_svr(spark, sf):
     d = _lp(spark, sf)
@@ -505,6 +520,18 @@ def t13_learning_curve(spark, sf):
     return spark.createDataFrame(lc, "n_train long, train_rmse double, val_rmse double")
 
 
+@query("t13b_learning_curve_any")
+def t13b_learning_curve_any(spark, sf):
+    e = _emb_cls(spark, sf)
+    wrong = lambda p: p.agg(F.avg((F.col("prediction") != F.col("label")).cast("double"))).first()[0]
+    n = e.count()
+    sizes = [n // 8, n // 4, n // 2]
+    fits = {"tree": lambda d: H.best_first_tree(d, max_leaf_nodes=12),
+            "logistic": lambda d: L.logistic(C=1.0, n=d.count(), multinomial=True, max_iter=30).fit(d)}
+    rows = [(name, *r) for name, fit in fits.items() for r in G.learning_curve_of(e, fit, wrong, ["vec_id"], sizes)]
+    return spark.createDataFrame(rows, "model string, n_train long, train_error double, val_error double")
+
+
 @query("u2_custom_predictor")
 def u2_custom_predictor(spark, sf):
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
