@@ -214,11 +214,16 @@ def grouped(found: DataFrame, id_col: Column, most: int = 4) -> DataFrame:
     """fp and component_id (least ``id_col`` of all rows in the component) of
     every distinct fingerprint of ``found``."""
     nodes = found.groupBy("fp").agg(F.min(id_col).alias("least"))
-    near = star_components(near_edges(nodes, most))
-    nodes = nodes.join(near.withColumnRenamed("id", "fp"), "fp", "left") \
-        .select("fp", "least", F.coalesce("comp", "fp").alias("comp"))
-    return nodes.join(nodes.groupBy("comp").agg(F.min("least").alias("component_id")), "comp") \
-        .select("fp", "component_id")
+    # a node is named by its least id first (null last), so the smallest name of a
+    # component holds its result and no join by component is needed
+    name = F.struct(F.col("least").isNull().alias("none"), F.col("least").alias("id"), F.col("fp").alias("fp"))
+    edges = near_edges(nodes, most)
+    for c in ("a", "b"):
+        edges = edges.join(nodes.select(F.col("fp").alias(c), name.alias(f"{c}_name")), c)
+    near = star_components(edges.select(F.col("a_name").alias("a"), F.col("b_name").alias("b"))) \
+        .select(F.col("id.fp").alias("fp"), F.col("comp.id").alias("near"), F.lit(True).alias("linked"))
+    return nodes.join(near, "fp", "left").select(
+        "fp", F.when(F.col("linked"), F.col("near")).otherwise(F.col("least")).alias("component_id"))
 
 
 def near_duplicates(docs: DataFrame, size: int = 4, most: int = 4, id_col: str = "doc_id",
