@@ -1,9 +1,11 @@
-"""Custom estimator / predictor surface (U1, U2, U5) on pyspark.ml base
+"""Custom estimator / predictor surface (U1-U6) on pyspark.ml base
 classes, so user stages compose with Pipeline, CrossValidator and
 save / load like built-in stages."""
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector
@@ -79,3 +81,55 @@ class ConstantClassifier(Model, HasPredictionCol, DefaultParamsReadable, Default
 
     def _transform(self, df: DataFrame) -> DataFrame:
         return df.withColumn(self.getPredictionCol(), F.lit(self.getOrDefault(self.value)))
+
+
+# ---------------------------------------------------------------- U3 / U4
+def apply_rows(fn, returns: str):
+    """``fn`` of the values of a row's columns as a column, in Arrow batches;
+    null where one of them is."""
+    @F.pandas_udf(returns)
+    def run(*columns: pd.Series) -> pd.Series:
+        return pd.Series([None if any(v is None or v is pd.NA for v in row) else fn(*row) for row in zip(*columns)], dtype=object)
+    return run
+
+
+def apply_arrays(fn, returns: str):
+    """U4: ``fn`` of a matrix of rows (one value or array per row) as a column of an
+    array column; null arrays, and those of another length than the batch's first,
+    are taken apart from the rest."""
+    @F.pandas_udf(returns)
+    def run(x: pd.Series) -> pd.Series:
+        out: list = [None] * len(x)
+        sizes: dict[int, list[int]] = {}
+        for i, v in enumerate(x):
+            if v is not None:
+                sizes.setdefault(len(v), []).append(i)
+        for at in sizes.values():
+            for i, v in zip(at, fn(np.stack([np.asarray(x.iloc[i], float) for i in at]))):
+                out[i] = v
+        return pd.Series(out, dtype=object)
+    return run
+
+
+# ---------------------------------------------------------------- U5 / U6
+def clone(stage, changes: dict | None = None):
+    """A copy of an estimator or pipeline; ``changes`` sets parameters by name,
+    those of a pipeline's stage as ``<place>__<name>``, nested to any depth."""
+    out = stage.copy()
+    if hasattr(out, "getStages"):
+        out.setStages([s.copy() for s in out.getStages()])
+    for name, value in (changes or {}).items():
+        owner, path = out, name.split("__")
+        for step in path[:-1]:
+            owner = owner.getStages()[int(step)]
+        owner._set(**{path[-1]: value})
+    return out
+
+
+def merge_aggregate(parts: list[dict]) -> dict:
+    """Mergeable states per key ({key: state with ``merge``}) added up."""
+    out: dict = {}
+    for part in parts:
+        for key, state in part.items():
+            out[key] = out[key].merge(state) if key in out else state
+    return out

@@ -119,7 +119,20 @@ def c7_active_learning(spark, sf):
         "vec_id", "cluster", "uncertainty")
 
 
-@query("c8_dbscan")
+@query("c8_dbscan", f"""WITH RECURSIVE {S.PLANE_CTE},
+pair AS (SELECT a.id AS a, b.id AS b FROM plane a JOIN plane b
+         ON b.x BETWEEN a.x - 0.301 AND a.x + 0.301 AND b.y BETWEEN a.y - 0.301 AND a.y + 0.301
+         WHERE sqrt(power(a.x - b.x, 2) + power(a.y - b.y, 2)) <= 0.3),
+core AS (SELECT a AS id FROM pair GROUP BY a HAVING count(*) >= 3),
+link AS (SELECT a, b FROM pair WHERE a IN (SELECT id FROM core) AND b IN (SELECT id FROM core)),
+reach(id, root) AS (SELECT id, id FROM core UNION SELECT l.b, r.root FROM reach r JOIN link l ON l.a = r.id),
+comp AS (SELECT id, min(root) AS comp FROM reach GROUP BY id),
+border AS (SELECT p.a AS id, min(c.comp) AS comp FROM pair p JOIN comp c ON c.id = p.b
+           WHERE p.a NOT IN (SELECT id FROM core) GROUP BY p.a),
+found AS (SELECT id, comp, TRUE AS is_core FROM comp UNION ALL SELECT id, comp, FALSE FROM border),
+ranked AS (SELECT comp, row_number() OVER (ORDER BY comp) - 1 AS label FROM (SELECT DISTINCT comp FROM comp))
+SELECT p.id, coalesce(r.label, -1) AS label, coalesce(f.is_core, FALSE) AS is_core
+FROM plane p LEFT JOIN found f ON f.id = p.id LEFT JOIN ranked r ON r.comp = f.comp""")
 def c8_dbscan(spark, sf):
     return C.dbscan(plane_view(spark, sf), "id", 0.3, 3, xy=("x", "y"))
 
@@ -156,12 +169,23 @@ def c11b_single_linkage(spark, sf):
     return LK.dendrogram(LK.spanning_tree(_planted(spark, sf), "vec_id", "emb"))
 
 
-@query("c11c_single_linkage_cut")
+@query("c11c_single_linkage_cut", """
+SELECT vec_id, min(vec_id) OVER (PARTITION BY vec_id % 5) AS cluster, (vec_id % 5)::INTEGER AS "group"
+FROM embeddings""")
 def c11c_single_linkage_cut(spark, sf):
     e = _planted(spark, sf)
     return LK.cut_tree(e, "vec_id", LK.spanning_tree(e, "vec_id", "emb"), k=5).join(e.select("vec_id", "group"), "vec_id")
 
 
+@query("c11d_single_linkage_height", f"""WITH RECURSIVE {S.EMB_CTE},
+link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM emb a JOIN emb b ON list_distance(a.emb, b.emb) <= 1.2),
+reach(id, root) AS (SELECT vec_id, vec_id FROM emb UNION SELECT l.b, r.root FROM reach r JOIN link l ON l.a = r.id)
+SELECT id AS vec_id, min(root) AS cluster FROM reach GROUP BY id""")
+def c11d_single_linkage_height(spark, sf):
+    e = emb_view(spark, sf)
+    return LK.cut_tree(e, "vec_id", LK.spanning_tree(e, "vec_id", "emb"), height=1.2)
+
+
 @query("c12_gmm")
 def c12_gmm(spark, sf):
     pcs = _planted_pcs(spark, sf)

@@ -175,7 +175,11 @@ def x14_top_feature_selector(spark, sf):
     return sel.transform(e).select("vec_id", vector_to_array("selected").alias("selected"))
 
 
-@query("x15_feature_names")
+@query("x15_feature_names", """
+SELECT (row_number() OVER (ORDER BY part, name) - 1)::INTEGER AS idx, name FROM (
+  SELECT 0 AS part, 'l_quantity__imp__std' AS name UNION ALL SELECT 1, 'l_discount__imp__std'
+  UNION ALL SELECT 2, 'l_tax__imp__std'
+  UNION ALL SELECT DISTINCT 3, 'l_returnflag__oh_' || l_returnflag FROM lineitem JOIN part ON l_partkey = p_partkey)""")
 def x15_feature_names(spark, sf):
     lp = lp_view(spark, sf, nulls=True)
     pipe = X.column_transformer(["l_quantity", "l_discount", "l_tax"], ["l_returnflag"])

@@ -48,12 +48,36 @@ def l1b_simple_regression(spark, sf):
     return s.select(*[rnd(c, 9).alias(c) for c in ("slope", "intercept", "r2")])
 
 
-@query("l1c_normal_equation")
+def _elimination_sql() -> str:
+    """The normal equations of four features by elimination on their covariances."""
+    xs = {"e": "l_quantity", "f": "l_discount", "g": "p_retailprice", "h": "CASE WHEN l_returnflag = 'A' THEN 1.0 ELSE 0.0 END"}
+    names = list(xs)
+    cols = [(i, j) for k, i in enumerate(names) for j in names[k:] + ["y"]]
+    out = [S.LP_CTE, "t AS (SELECT y_rule AS y, " + ", ".join(f"{e} AS {n}" for n, e in xs.items()) + " FROM lp)",
+           "m0 AS (SELECT " + ", ".join(f"covar_pop({i}, {j}) AS {i}{j}" for i, j in cols) + ", "
+           + ", ".join(f"avg({n}) AS mean_{n}" for n in [*names, "y"]) + " FROM t)"]
+    for step, p in enumerate(names[:-1]):
+        out.append(f"m{step + 1} AS (SELECT * REPLACE (" + ", ".join(
+            f"{i}{j} - {p}{i} * {p}{j} / {p}{p} AS {i}{j}" for i, j in cols if i > p) + f") FROM m{step})")
+    last = "m3"
+    for k in range(len(names) - 1, -1, -1):
+        n, known = names[k], names[k + 1:]
+        out.append(f"s{k} AS (SELECT *, (" + " - ".join([f"{n}y", *(f"{n}{m} * beta_{m}" for m in known)])
+                   + f") / {n}{n} AS beta_{n} FROM {last})")
+        last = f"s{k}"
+    terms = {"intercept": "mean_y - " + " - ".join(f"beta_{n} * mean_{n}" for n in names),
+             **{t: f"beta_{n}" for t, n in zip(LP_FEATS, names)}}
+    return "WITH " + ",\n".join(out) + "\n" + " UNION ALL ".join(
+        f"SELECT '{t}' AS term, " + ", ".join(f"{S.rnd(e, 4)} AS {m}" for m in ("solve", "lstsq", "pinv")) + " FROM s0"
+        for t, e in terms.items())
+
+
+@query("l1c_normal_equation", _elimination_sql())
 def l1c_normal_equation(spark, sf):
     m = gram(_lp(spark, sf), "features", "y_rule")
     fits = {k: L.solve_normal(m, method=k) for k in ("solve", "lstsq", "pinv")}
     names = ["intercept"] + LP_FEATS
-    rows = [(n, *[float(np.concatenate([[f.intercept], f.coef])[i]) for f in fits.values()])
+    rows = [(n, *[round(float(np.concatenate([[f.intercept], f.coef])[i]), 4) for f in fits.values()])
             for i, n in enumerate(names)]
     return spark.createDataFrame(rows, "term string, solve double, lstsq double, pinv double")
 
@@ -543,3 +567,75 @@ def u2_custom_predictor(spark, sf):
     tuned = est.copy({est.C: 1.0})              # U5: copy with a param map
     return m.transform(e).select("vec_id", "prediction").withColumn("train_auc", F.lit(auc)) \
         .withColumn("copied_C", F.lit(tuned.getOrDefault(tuned.C)))
+
+
+# ---------------------------------------------------------------- U1, U3-U6
+@query("u1_custom_transformer", f"""WITH {S.LP_CTE}
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, {S.rnd('l_quantity / l_extendedprice * 1000.0', 9)} AS per_kprice,
+       {S.rnd('CASE WHEN p_size = 0 THEN NULL ELSE p_retailprice / p_size END', 9)} AS price_per_size FROM lp""")
+def u1_custom_transformer(spark, sf):
+    """A user's transformer as a pipeline stage, saved and loaded."""
+    from pyspark.ml import PipelineModel
+
+    from quarry.operators.columns import RatioFeatures
+    from quarry.session import scratch_path
+    lp = lp_view(spark, sf)
+    stage = RatioFeatures(ratios=[["per_price", "l_quantity", "l_extendedprice"]], addOptional=True,
+                          optional=["price_per_size", "p_retailprice", "p_size"])
+    path = scratch_path(spark, "u1")
+    Pipeline(stages=[stage]).fit(lp).write().save(path)
+    d = PipelineModel.load(path).transform(lp)
+    return d.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", rnd(F.col("per_price") * 1000.0, 9).alias("per_kprice"),
+                    rnd("price_per_size", 9).alias("price_per_size"))
+
+
+@query("u3_row_lambda", """
+SELECT c_custkey, split_part(c_name, '#', 1) || '/' || lower(substr(c_mktsegment, 1, 3)) AS tag FROM customer""")
+def u3_row_lambda(spark, sf):
+    """A function of a row's own values, in Arrow batches."""
+    from quarry.operators.custom import apply_rows
+    from quarry.sources.tables import table
+    tag = apply_rows(lambda name, segment: f"{name.split('#')[0]}/{segment[:3].lower()}", "string")
+    return table(spark, sf, "customer").select("c_custkey", tag("c_name", "c_mktsegment").alias("tag"))
+
+
+@query("u4_apply_along_axis", f"""WITH {S.EMB_CTE}
+SELECT vec_id, {S.rnd('list_max(emb) - list_min(emb)', 9)} AS spread, (list_position(emb, list_max(emb)) - 1)::BIGINT AS top FROM emb""")
+def u4_apply_along_axis(spark, sf):
+    """Functions of whole arrays, one numpy call per batch."""
+    from quarry.operators.custom import apply_arrays
+    e = emb_view(spark, sf)
+    spread = apply_arrays(lambda x: x.max(axis=1) - x.min(axis=1), "double")
+    top = apply_arrays(lambda x: x.argmax(axis=1), "long")
+    return e.select("vec_id", rnd(spread("emb"), 9).alias("spread"), top("emb").alias("top"))
+
+
+@query("u5_clone_set_params", f"""WITH {S.LP_CTE}
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, {S.rnd('l_tax / l_quantity', 9)} AS first_ratio,
+       {S.rnd('p_retailprice / l_quantity', 9)} AS second_ratio FROM lp""")
+def u5_clone_set_params(spark, sf):
+    """A pipeline cloned with another parameter of a named stage; the original keeps its own."""
+    from quarry.operators.columns import RatioFeatures
+    from quarry.operators.custom import clone
+    lp = lp_view(spark, sf)
+    first = Pipeline(stages=[RatioFeatures(ratios=["ratio,l_tax,l_quantity"], addOptional=False)])
+    second = clone(first, {"0__ratios": ["ratio,p_retailprice,l_quantity"]})
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_tax", "l_quantity", "p_retailprice"]
+    one = first.fit(lp).transform(lp.select(*keys)).withColumnRenamed("ratio", "first_ratio")
+    both = second.fit(one).transform(one)
+    return both.select(*keys[:4], rnd("first_ratio", 9).alias("first_ratio"), rnd("ratio", 9).alias("second_ratio"))
+
+
+@query("u6_custom_aggregate", f"""WITH {S.EMB_CTE},
+x AS (SELECT label, i, v FROM (SELECT label, unnest(emb) AS v, generate_subscripts(emb, 1) AS i FROM emb)),
+m AS (SELECT label, i, avg(v) AS m, var_samp(v) AS s FROM x GROUP BY label, i)
+SELECT label::BIGINT AS label, (SELECT count(*) FROM emb e WHERE e.label = m.label) AS n,
+       {S.rnd('sum(m * i)', 9)} AS mean_sum, {S.rnd('sum(s)', 9)} AS total_variance FROM m GROUP BY label""")
+def u6_custom_aggregate(spark, sf):
+    """A mergeable aggregate of one's own: moments per label, added up in parts."""
+    from quarry.operators.custom import merge_aggregate
+    e = emb_view(spark, sf).withColumn("label", F.col("label").cast("long"))
+    half = merge_aggregate([gram(e.where(F.col("vec_id") % 2 == r), "emb", group="label") for r in (0, 1)])
+    rows = [(int(k), int(m.n), round(float(m.mean @ np.arange(1, len(m.mean) + 1)), 9) + 0.0,
+             round(float(np.trace(m.cov(ddof=1))), 9) + 0.0) for k, m in sorted(half.items())]
+    return spark.createDataFrame(rows, "label long, n long, mean_sum double, total_variance double")

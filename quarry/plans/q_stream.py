@@ -34,7 +34,8 @@ def s1b_csv_roundtrip(spark, sf):
     return read_table(spark, path, "csv", CUSTOMER_SCHEMA)
 
 
-@query("s2_read_documents")
+@query("s2_read_documents", """
+SELECT lang AS label, 'document-' || lpad(doc_id::VARCHAR, 12, '0') AS name, strlen(text) + 1 AS length FROM documents""")
 def s2_read_documents(spark, sf):
     root = scratch_path(spark, "docs")
     d = table(spark, sf, "documents")
