@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.operators.window import cumulative, value_bucket
+from quarry.session import cut_lineage
 
 
 def _c(x) -> Column:
@@ -89,6 +90,8 @@ def score_curve(df: DataFrame, score: str, label: str, n_buckets: int = 1024) ->
     g = df.groupBy(F.col(score).alias("threshold")).agg(
         F.sum(_c(label).cast("long")).alias("pos_at"),
         F.sum((1 - _c(label).cast("long"))).alias("neg_at"))
+    # the buckets look at the scores several times: make them once
+    g = cut_lineage(g)
     g = value_bucket(g, "threshold", n_buckets, descending=True)
     c = cumulative(g, "_vb", [F.col("threshold").desc()],
                    {"tp": F.col("pos_at"), "fp": F.col("neg_at")}, totals=True,
