@@ -236,8 +236,11 @@ def find_passages(docs: DataFrame, items: DataFrame, rate: float = 0.1, least_wo
                   block_bytes: int = 16 << 20, id_col: str = "doc_id", text_col: str = "text",
                   item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """id, item id, distance, start, end (code points of the text): the best
-    passage of each item in each row that holds one."""
+    passage of each item in each row that holds one.  Where both ids have one
+    name, the item's is given as ``item_<name>``."""
     import uuid
+    if item_id == id_col:
+        items, item_id = items.withColumnRenamed(item_id, f"item_{item_id}"), f"item_{item_id}"
     own = docs.select(F.col(id_col), F.col(text_col).cast("string").alias(text_col))
     schema = StructType([docs.schema[id_col], items.schema[item_id],
                          *(StructField(n, LongType()) for n in ("distance", "start", "end"))])

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from quarry.llm.ragged import nothing_kept
+from quarry.llm.ragged import nothing_kept, shielded
 from quarry.session import scratch_path
 
 MIX = 0x9E3779B97F4A7C15
@@ -141,8 +141,13 @@ def dedup_lines(docs: DataFrame, window: int = 2, modulus: int = 2, long_words:
     """The rows with repeated chunks, and with ``passages`` all repeated
     passages, removed from their text.  ``detail`` adds n_chunks, n_removed and
     removed (line ranges first:end, comma-joined)."""
+    return shielded(docs, lambda d, i, t: _dedup_lines(d, (window, modulus, long_words, least_words), i, t, detail, passages),
+                    id_col, text_col)
+
+
+def _dedup_lines(docs: DataFrame, shape: tuple[int, int, int, int], id_col: str, text_col: str,
+                 detail: bool, passages: bool) -> DataFrame:
     spark, names = docs.sparkSession, docs.columns
-    shape = (window, modulus, long_words, least_words)
     id_kind = docs.schema[id_col].dataType.simpleString()
     own = _marked(docs, id_col, text_col)
 

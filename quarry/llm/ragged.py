@@ -71,3 +71,14 @@ def segment_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sum of values[offsets[i]:offsets[i+1]] for each i; empty ranges give 0."""
     run = np.concatenate(([0], np.cumsum(values)))
     return run[offsets[1:]] - run[offsets[:-1]]
+
+
+def shielded(docs, run, *names: str):
+    """``run(docs, *names)`` on rows whose columns that begin with ``__`` (the
+    operators' own) go by other names meanwhile; ``names`` are columns it is told."""
+    taken = {c: f"column {i} {c.strip('_')}" for i, c in enumerate(docs.columns) if c.startswith("__")}
+    if not taken:
+        return run(docs, *names)
+    back = {new: old for old, new in taken.items()}
+    out = run(docs.withColumnsRenamed(taken), *(taken.get(n, n) for n in names))
+    return out.withColumnsRenamed(back)

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from quarry.llm.ragged import concat_ranges, nothing_kept, text_slices, texts_of
+from quarry.llm.ragged import concat_ranges, nothing_kept, shielded, text_slices, texts_of
 from quarry.operators.graph import star_components
 from quarry.session import scratch_path
 
@@ -229,6 +229,10 @@ def grouped(found: DataFrame, id_col: Column, most: int = 4) -> DataFrame:
 def near_duplicates(docs: DataFrame, size: int = 4, most: int = 4, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """id, fingerprint (16 hex digits), component_id of every row."""
+    return shielded(docs.select(id_col, text_col), lambda d, i, t: _near_duplicates(d, size, most, i, t), id_col, text_col)
+
+
+def _near_duplicates(docs: DataFrame, size: int, most: int, id_col: str, text_col: str) -> DataFrame:
     spark = docs.sparkSession
     path = scratch_path(spark, "simhash")
     fingerprints(docs, size, (id_col,), text_col).write.parquet(path)
@@ -241,6 +245,10 @@ def keep_one(docs: DataFrame, size: int = 4, most: int = 4, id_col: str = "doc_i
              text_col: str = "text") -> DataFrame:
     """The row of each component with the smallest id (rows without an id come
     last; equal ids by hash of the row), with all its columns."""
+    return shielded(docs, lambda d, i, t: _keep_one(d, size, most, i, t), id_col, text_col)
+
+
+def _keep_one(docs: DataFrame, size: int, most: int, id_col: str, text_col: str) -> DataFrame:
     spark = docs.sparkSession
     mark = F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns))
     rank = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"),
