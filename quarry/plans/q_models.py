@@ -128,15 +128,22 @@ def l4_regularized(spark, sf):
     return spark.createDataFrame(rows, "model string, term string, value double")
 
 
-@query("l5_polynomial_regression")
+@query("l5_polynomial_regression", f"""WITH {S.LP_CTE},
+t AS (SELECT l_quantity / 50.0 AS e, power(l_quantity / 50.0, 2) AS f, y_rule + 2.0 * power(l_quantity / 50.0, 2) AS y FROM lp),
+m AS (SELECT covar_pop(e, e) AS ee, covar_pop(e, f) AS ef, covar_pop(f, f) AS ff, covar_pop(e, y) AS ey, covar_pop(f, y) AS fy,
+             avg(e) AS mean_e, avg(f) AS mean_f, avg(y) AS mean_y FROM t),
+b AS (SELECT *, (fy - ef * ey / ee) / (ff - ef * ef / ee) AS beta_f FROM m),
+c AS (SELECT *, (ey - ef * beta_f) / ee AS beta_e FROM b)
+SELECT 'intercept' AS term, {S.rnd('mean_y - beta_e * mean_e - beta_f * mean_f', 5)} AS value FROM c
+UNION ALL SELECT 'x', {S.rnd('beta_e', 5)} FROM c UNION ALL SELECT 'x^2', {S.rnd('beta_f', 5)} FROM c""")
 def l5_polynomial_regression(spark, sf):
     lp = lp_view(spark, sf).withColumn("x", F.col("l_quantity") / 50.0).withColumn(
         "y2", F.col("y_rule") + 2.0 * F.pow(F.col("l_quantity") / 50.0, 2))
     p = X.polynomial_features(lp, ["x"], 2, bias=False)
     v = VectorAssembler(inputCols=["x", "`x^2`"], outputCol="pf").transform(p)
     fit = L.fit_linear(v, "pf", "y2")
-    return spark.createDataFrame([("intercept", fit.intercept), ("x", float(fit.coef[0])),
-                                  ("x^2", float(fit.coef[1]))], "term string, value double")
+    return spark.createDataFrame([("intercept", round(float(fit.intercept), 5)), ("x", round(float(fit.coef[0]), 5)),
+                                  ("x^2", round(float(fit.coef[1]), 5))], "term string, value double")
 
 
 @query("l6_early_stopping")
@@ -491,7 +498,7 @@ def g4_random_search(spark, sf):
     e = _folded_emb(spark, sf).cache()
     lr = LogisticRegression(maxIter=30, family="multinomial")
     maps = G.random_param_maps(lr, {"regParam": ("reciprocal", 1e-3, 1.0),
-                                    "elasticNetParam": ("uniform", 0.0, 1.0)}, 4)
+                                    "elasticNetParam": ("uniform", 0.0, 1.0)}, 10)
     _, res = G.grid_search(lr, maps, MulticlassClassificationEvaluator(metricName="accuracy"), e)
     return res
 
@@ -561,7 +568,7 @@ def u2_custom_predictor(spark, sf):
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
     from quarry.operators.custom import LinearSVMClassifier
     e = _emb(spark, sf).withColumn("label", (F.col("c_rule") == 0).cast("double"))
-    est = LinearSVMClassifier(C=10.0, epochs=5, eta0=1.0, etaD=10.0)
+    est = LinearSVMClassifier(C=10.0, epochs=60, eta0=1.0, etaD=10.0)
     m = est.fit(e)
     auc = BinaryClassificationEvaluator().evaluate(m.transform(e))
     tuned = est.copy({est.C: 1.0})              # U5: copy with a param map

@@ -57,7 +57,12 @@ def run(spark, name):
 
 def test_named_keys(spark):
     """Keys that only ran until now."""
-    rows = run(spark, "l29_lda")
-    assert rows
-    assert len(run(spark, "s5_model_roundtrip")) > 0
-    assert len(run(spark, "l5_polynomial_regression")) > 0
+    assert all(r["before"] == r["after"] for r in run(spark, "s5_model_roundtrip"))
+    assert max(r["accuracy"] for r in run(spark, "r6_kernel_parameter_search")) > 0.9
+    by = {}
+    for r in run(spark, "l29_lda"):
+        by.setdefault(r["group"], []).append(r["ld"])
+    mean = {g: np.mean(v, axis=0) for g, v in by.items()}
+    spread = np.mean([np.std(v, axis=0).mean() for v in by.values()])
+    assert min(np.linalg.norm(mean[a] - mean[b]) for a in mean for b in mean if a < b) > 2 * spread
+    assert np.mean([r["train_auc"] for r in run(spark, "u2_custom_predictor")]) > 0.9
