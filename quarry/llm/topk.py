@@ -111,7 +111,7 @@ def beyond(score: int) -> bytes:
 
 def exact_top_k(vectors: DataFrame, k: int = 5, scale: float = 256.0, every: int = 50,
                 id_col: str = "vec_id", vec_col: str = "embedding",
-                query_block: int = 8192, row_block: int = 8192) -> DataFrame:
+                query_block: int = 65_536, row_block: int = 8192) -> DataFrame:
     """query_id, rank, vec_id, score: the k best rows of every row whose id is
     divisible by ``every``."""
     spark = vectors.sparkSession
