@@ -42,22 +42,36 @@ def lloyd(df: DataFrame, vec: str, centroids: Sequence[Sequence[float]], max_ite
     """K-means from GIVEN initial centroids with an iteration cap.
     Returns centroids per iteration, n_iter and the inertia of the rows about
     the returned centroids.  An empty cluster keeps its previous centroid."""
+    from quarry.operators.aggregate import complete_rows
+    from quarry.operators.linear import sum_pass
     cents = [list(map(float, c)) for c in centroids]
-    dim, history, n_iter = len(cents[0]), [cents], 0
-    data = df.select(vec).persist()
+    k, dim, history, n_iter = len(cents), len(cents[0]), [cents], 0
+    data = complete_rows(df.select(F.col(vec).alias("x")), "x").persist()
+
+    def sums(centres: np.ndarray):
+        """Rows, sums and squared distances per cluster, in one pass whose plan is
+        the same each time: the centroids travel with the function."""
+        def fn(X, pdf):
+            near = np.empty((len(X), k))
+            for j, c in enumerate(centres):
+                diff = X - c
+                near[:, j] = (diff * diff).sum(1)
+            own = near.argmin(1)
+            at = np.eye(k)[own]
+            return np.concatenate([at.sum(0), (at.T @ X).ravel(), [near[np.arange(len(X)), own].sum()]])
+        s = sum_pass(data, fn, k + k * dim + 1)
+        return s[:k], s[k:-1].reshape(k, dim), s[-1]
+
     try:
         for n_iter in range(1, max_iter + 1):
-            stats = nearest_centroid(data, vec, cents).groupBy("cluster").agg(
-                F.array(*[F.avg(F.col(vec)[i]) for i in range(dim)]).alias("m")).collect()
-            new = [list(c) for c in cents]
-            for r in stats:
-                new[r["cluster"]] = list(r["m"])
-            shift = max(float(np.linalg.norm(np.subtract(n, c))) for n, c in zip(new, cents))
+            n, total, _ = sums(np.array(cents))
+            new = [(total[j] / n[j]).tolist() if n[j] else list(cents[j]) for j in range(k)]
+            shift = max(float(np.linalg.norm(np.subtract(a, c))) for a, c in zip(new, cents))
             cents = new
             history.append(cents)
             if shift <= tol:
                 break
-        inertia = nearest_centroid(data, vec, cents).agg(F.sum(F.col("dist") * F.col("dist"))).first()[0]
+        inertia = sums(np.array(cents))[2]
     finally:
         data.unpersist()
     return {"centroids": cents, "history": history, "inertia": float(inertia or 0.0), "n_iter": n_iter}

@@ -272,7 +272,9 @@ def sum_pass(df: DataFrame, fn, size: int) -> np.ndarray:
             raise ValueError("NULL or NaN in the rows of a statistics pass")
         yield pd.DataFrame({"i": np.arange(size, dtype=np.int32), "v": acc})
     out = df.mapInPandas(part, "i int, v double").groupBy("i").agg(F.sum("v").alias("v"))
-    return out.toPandas().sort_values("i")["v"].to_numpy()
+    sums, found = np.zeros(size), out.toPandas()       # no partitions: all zeros
+    sums[found["i"].to_numpy(dtype=np.int64)] = found["v"].to_numpy(dtype=float)
+    return sums
 
 
 def _as_array(df: DataFrame, col: str):
