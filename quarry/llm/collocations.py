@@ -45,6 +45,8 @@ from quarry.session import scratch_path
 
 MOST = 5
 WORDS = [f"w{k + 1}" for k in range(MOST)]
+#: Up to so many languages a row for each is broadcast; beyond, none holds much and they are joined.
+MOST_LANGUAGES = 100_000
 #: Share of the code interval for the end of a piece.
 END_SHARE = 0.1
 PIECE = np.zeros(256, bool)
@@ -302,6 +304,9 @@ def collocations(docs: DataFrame, least: int = 100, top: int = 2000, absorb: int
 
     # ----------------------------------------------------------- vocabulary
     n_of = stored.groupBy("lang").agg(F.sum("n").alias("n"))
+    # tables of a row per language: a language with most of the rows must not be a join key
+    few = n_of.count() <= MOST_LANGUAGES
+    per_language = F.broadcast if few else lambda table: table
     counted = stored.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("x")) \
         .groupBy("lang", F.col("x.words").alias("word")).agg(F.sum("x.counts").alias("c")) \
         .where(F.col("c") >= least)
@@ -343,7 +348,8 @@ def collocations(docs: DataFrame, least: int = 100, top: int = 2000, absorb: int
     replies = stored.select("slice", "lang", F.posexplode("words").alias("pos", "word")) \
         .join(vocabulary, ["lang", "word"], "left") \
         .groupBy("slice").agg(F.collect_list(answer).alias("known"))
-    asked = stored.select("slice", "lang", "n_codes", "codes").join(replies, "slice").join(own_range, "lang") \
+    asked = stored.select("slice", "lang", "n_codes", "codes").join(replies, "slice") \
+        .join(per_language(own_range), "lang") \
         .select("lang", "n_codes", "codes", "known", "lo", "size")
 
     def grams(batches):
@@ -412,7 +418,8 @@ def collocations(docs: DataFrame, least: int = 100, top: int = 2000, absorb: int
         *(c for c in forward.columns)), backward, "right")
     size = sum((F.col(c) > 0).cast("int") for c in WORDS)
     longer = F.greatest("left_ext", "right_ext")
-    kept_ = both.where((F.col("w2") > 0) & (longer * 100 < F.col("f") * absorb)).join(n_of, "lang") \
+    kept_ = both.where((F.col("w2") > 0) & (longer * 100 < F.col("f") * absorb)) \
+        .join(per_language(n_of), "lang") \
         .select("lang", *WORDS, F.col("f").alias("a"), "n", size.alias("size"),
                 *(f"left{k}" for k in range(1, MOST)), *(f"right{k}" for k in range(1, MOST)))
 
