@@ -2,8 +2,8 @@
 
 Centroids (k x d, k a parameter) travel as literals inside the plan, so the
 assignment step is a projection, not a join; each Lloyd / seeding step is
-one partial aggregation.  DBSCAN uses the graph of cells (2-D, cells.py) or the pruned (high-d)
-radius join, and connected components by star contraction, checkpointed
+one partial aggregation.  DBSCAN uses the graph of cells (2-D, cells.py) or
+blocks of rows (high-d, pivots.py), and connected components by star contraction, checkpointed
 each round.
 """
 
@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import BisectingKMeans, KMeans, PowerIterationClustering
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector
@@ -21,10 +22,11 @@ from pyspark.sql import functions as F
 from quarry.functions.arrays import lit_vector, sq_dist
 from quarry.functions.hashing import md5_uniform
 from quarry.operators.cells import cell_dbscan
-from quarry.operators.graph import star_components
-from quarry.operators.joins import knn_join, nearest_centroid, radius_join_blocked
+from quarry.operators.graph import FEW, star_components, stars
+from quarry.operators.joins import knn_join, nearest_centroid
+from quarry.operators.pivots import Blocks, exact, matrix, send, squares, steps
 from quarry.operators.window import sort_positions, top_k_per_group
-from quarry.session import cut_lineage
+from quarry.session import cut_lineage, scratch_path
 
 
 # ---------------------------------------------------------------- C1
@@ -158,20 +160,119 @@ def connected_components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     return nodes.join(found, "id", "left").select("id", F.coalesce("comp", "id").alias("comp"))
 
 
-def _pair_dbscan(df: DataFrame, id_col: str, eps: float, min_samples: int, vec: str) -> DataFrame:
-    """(id, comp, is_core) from all pairs within eps."""
-    pairs = radius_join_blocked(df, id_col, vec, eps)
-    pairs = cut_lineage(pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")))
-    ids = df.select(F.col(id_col).cast("long").alias("id"))
-    deg = pairs.groupBy(F.col("a").alias("id")).agg((F.count(F.lit(1)) + 1).alias("deg"))
-    nodes = ids.join(deg, "id", "left").fillna(1, ["deg"]) \
-        .withColumn("is_core", F.col("deg") >= min_samples)
+def _close(q: np.ndarray, b: np.ndarray, size: np.ndarray, eps: float) -> np.ndarray:
+    """Which rows of q and b lie within eps; distances that rounding could place
+    on either side are taken from differences."""
+    d2 = squares(q, b, size)
+    slack = 1e-9 * ((q * q).sum(1) + size.max()) + 1e-300
+    near = d2 <= (eps * eps - slack)[:, None]
+    r, c = np.nonzero(~near & (d2 <= (eps * eps + slack)[:, None]))
+    near[r, c] = exact(q, b, r, c) <= eps
+    return near
+
+
+def _tile(qp: pd.DataFrame, bp: pd.DataFrame, eps: float):
+    """(slice of the queries, which base rows are within eps of each), a few queries at a time."""
+    if len(qp) and len(bp):
+        q, b = matrix(qp["qv"]), matrix(bp["bv"])
+        size = (b * b).sum(1)
+        for at in steps(len(q), len(b)):
+            yield at, _close(q[at], b, size, eps)
+
+
+def _count_near(eps: float):
+    """Of each query its number of neighbours of other ids in a block."""
+    def count(qp: pd.DataFrame, bp: pd.DataFrame) -> pd.DataFrame:
+        qi, bi = qp["qid"].to_numpy(), bp["nid"].to_numpy()
+        n = np.zeros(len(qp), np.int64)
+        for at, near in _tile(qp, bp, eps):
+            own = np.flatnonzero(np.isin(qi[at], bi))
+            near[own] &= qi[at][own][:, None] != bi[None, :]
+            n[at] = near.sum(1)
+        return pd.DataFrame({"id": qi.astype(np.int64), "n": n})
+    return count
+
+
+def _link_classes(eps: float):
+    """The classes (qc, bc) joined by rows within eps, as stars (u, v)."""
+    def link(qp: pd.DataFrame, bp: pd.DataFrame) -> pd.DataFrame:
+        qc, bc = qp["qc"].to_numpy(np.int64), bp["bc"].to_numpy(np.int64)
+        u, v = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for at, near in _tile(qp, bp, eps):
+            near &= qc[at][:, None] != bc[None, :]
+            r, c = np.nonzero(near)
+            u, v = stars(np.r_[u, qc[at][r]], np.r_[v, bc[c]])
+        return pd.DataFrame({"u": u, "v": v})
+    return link
+
+
+def _least_class(eps: float):
+    """Of each query the least class of the base rows within eps."""
+    def least(qp: pd.DataFrame, bp: pd.DataFrame) -> pd.DataFrame:
+        order = np.argsort(bp["bc"].to_numpy(), kind="stable")
+        bp, found = bp.iloc[order], []
+        qi, bc = qp["qid"].to_numpy(), bp["bc"].to_numpy()
+        for at, near in _tile(qp, bp, eps):
+            some = np.flatnonzero(near.any(1))
+            found.append(pd.DataFrame({"id": qi[at][some].astype(np.int64), "comp": bc[near[some].argmax(1)]}))
+        return pd.concat(found) if found else pd.DataFrame({"id": np.zeros(0, np.int64), "comp": np.zeros(0, np.int64)})
+    return least
+
+
+def _vector_dbscan(df: DataFrame, id_col: str, eps: float, min_samples: int, vec: str,
+                   block_rows: int = 2048) -> DataFrame:
+    """(id, comp, is_core).  Neighbours are tested block against block and only
+    counted; no pair is written.  Core rows are joined to clusters inside their
+    own blocks first; then blocks report which clusters of theirs touch."""
+    spark = df.sparkSession
+    rows = df.select(F.col(id_col).cast("long").alias("nid"), F.col(vec).alias("bv"))
+    path = scratch_path(spark, "dbscan_rows")
+    rows.write.parquet(path)
+    rows = spark.read.parquet(path)
+    asks = lambda d: d.withColumnRenamed("nid", "qid").withColumnRenamed("bv", "qv").withColumn("tau", F.lit(float(eps)))
+
+    def meet(blocks, asked, fn, schema, **more):
+        asked, held, *_ = send(asked, blocks, block_rows, **more)
+        return asked.groupBy("block", "share").cogroup(held.groupBy("block", "share")).applyInPandas(fn, schema=schema)
+
+    blocks = Blocks(rows, block_rows)
+    if blocks.rows is None:
+        return rows.select(F.col("nid").alias("id"), F.lit(False).alias("is_core"), F.lit(None).cast("long").alias("comp"))
+    near = meet(blocks, asks(rows), _count_near(eps), "id long, n long")
+    deg = near.groupBy("id").agg((F.sum("n") + 1).alias("deg"))
+    nodes = cut_lineage(rows.select(F.col("nid").alias("id")).join(deg, "id", "left").fillna(1, ["deg"])
+                        .withColumn("is_core", F.col("deg") >= min_samples))
     core = nodes.filter("is_core").select("id")
-    core_edges = pairs.join(core.withColumnRenamed("id", "a"), "a", "left_semi") \
-        .join(core.withColumnRenamed("id", "b"), "b", "left_semi").filter(F.col("a") < F.col("b"))
-    comp = connected_components(core_edges, core)
-    border = pairs.join(comp.withColumnRenamed("id", "b"), "b").groupBy(
-        F.col("a").alias("id")).agg(F.min("comp").alias("bcomp"))
+    blocks = Blocks(rows.join(core.withColumnRenamed("id", "nid"), "nid", "left_semi"), block_rows)
+    if blocks.rows is None:
+        return nodes.select("id", "is_core", F.lit(None).cast("long").alias("comp"))
+    link, pairs = _link_classes(eps), "u long, v long"
+
+    def inside(part: pd.DataFrame) -> pd.DataFrame:
+        return link(part.rename(columns={"nid": "qid", "bv": "qv"}).assign(qc=part["nid"]), part.assign(bc=part["nid"]))
+
+    def named(edges: DataFrame) -> DataFrame:
+        return star_components(edges.select(F.col("u").alias("a"), F.col("v").alias("b")), small=FEW)
+
+    found = named(blocks.rows.select("nid", "bv", "block").groupBy("block").applyInPandas(inside, pairs))
+    ids = core.distinct()
+    comp = cut_lineage(ids.join(found, "id", "left").select("id", F.coalesce("comp", "id").alias("comp")))
+    path = scratch_path(spark, "dbscan_core")
+    blocks.rows.join(comp.select(F.col("id").alias("nid"), F.col("comp").alias("bc")), "nid") \
+        .select("nid", "bv", "block", "bc").write.parquet(path)
+    own = spark.read.parquet(path)
+    # one row per block: bounded
+    kinds = {r["block"]: (r["lo"], r["hi"]) for r in own.groupBy("block").agg(
+        F.min("bc").alias("lo"), F.max("bc").alias("hi")).collect()}
+    single = np.array([kinds[b][0] if kinds[b][0] == kinds[b][1] else -2**63 for b in blocks.names.tolist()])
+    touch = named(meet(blocks, asks(own.withColumnRenamed("bc", "qc")), link, pairs, single=single, keep=("qc",), base=own))
+    to = cut_lineage(comp.join(touch.select(F.col("id").alias("comp"), F.col("comp").alias("to")), "comp", "left")
+                     .select("id", F.coalesce("to", "comp").alias("comp")))
+    final = own.drop("bc").join(to.select(F.col("id").alias("nid"), F.col("comp").alias("bc")), "nid")
+    rest = rows.join(core.withColumnRenamed("id", "nid"), "nid", "left_anti")
+    border = meet(blocks, asks(rest), _least_class(eps), "id long, comp long", base=final) \
+        .groupBy("id").agg(F.min("comp").alias("bcomp"))
+    comp = core.join(to, "id")
     return nodes.join(comp, "id", "left").join(border, "id", "left").select(
         "id", "is_core", F.when(F.col("is_core"), F.col("comp"))
         .otherwise(F.col("bcomp")).alias("comp"))
@@ -182,9 +283,9 @@ def dbscan(df: DataFrame, id_col: str, eps: float, min_samples: int,
            relabel: bool = True) -> DataFrame:
     """(id, label, is_core); label -1 is noise.  Border rows join the
     smallest adjacent cluster; labels are ranked by the smallest id.  A plane
-    (``xy``) goes by the graph of cells, vectors by the pruned radius join."""
+    (``xy``) goes by the graph of cells, vectors by blocks (``pivots.py``)."""
     lab = cell_dbscan(df, id_col, *xy, eps, min_samples) if xy \
-        else _pair_dbscan(df, id_col, eps, min_samples, vec)
+        else _vector_dbscan(df, id_col, eps, min_samples, vec)
     if relabel:
         lab = cut_lineage(lab)
         comps = lab.filter(F.col("comp").isNotNull()).select("comp").distinct()

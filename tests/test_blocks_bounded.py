@@ -5,6 +5,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from quarry.operators import cluster as C
 from quarry.operators import joins as J
 from quarry.operators import linkage as LK
 from quarry.operators.graph import star_components, stars
@@ -62,6 +63,21 @@ def test_blocks_that_skip_nothing_go_as_lots(spark):
     assert {(r["id_a"], r["id_b"]) for r in pairs} == {(int(i), int(j)) for i, j in zip(*np.nonzero(np.sqrt(d) <= 0.9))}
 
 
+@pytest.mark.parametrize("eps,least,block_rows", [(0.35, 4, 32), (0.6, 6, 64), (9.0, 3, 32), (0.001, 2, 500)])
+def test_dbscan_of_vectors_equals_brute_force(spark, monkeypatch, eps, least, block_rows):
+    """No pair is written: the radius join is not asked."""
+    from test_cells import brute
+    monkeypatch.setattr(J, "radius_join_blocked", None)
+    monkeypatch.setattr(C, "radius_join_blocked", None, raising=False)
+    rng = np.random.default_rng(7)
+    n = 400
+    x, y, ids = rng.normal(size=n) + 3 * rng.integers(0, 3, n), rng.normal(size=n), rng.permutation(400) + 9
+    got = C._vector_dbscan(frame(spark, ids, np.c_[x, y]), "id", eps, least, "v", block_rows)
+    rows = {r["id"]: (r["comp"], r["is_core"]) for r in got.collect()}
+    rank = {c: k for k, c in enumerate(sorted({c for c, _ in rows.values() if c is not None}))}
+    assert {i: (rank.get(c, -1), core) for i, (c, core) in rows.items()} == brute(ids, x, y, eps, least)
+
+
 @pytest.mark.parametrize("small", [1, 50, 10_000])
 def test_components_finished_by_one_task(spark, small):
     rng = np.random.default_rng(8)
