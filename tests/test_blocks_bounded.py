@@ -4,6 +4,9 @@ import tracemalloc
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.feature import BucketedRandomProjectionLSH
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import functions as F
 
 from quarry.operators import cluster as C
 from quarry.operators import joins as J
@@ -87,3 +90,21 @@ def test_components_finished_by_one_task(spark, small):
     got = {r["id"]: r["comp"] for r in star_components(df, small=small).collect()}
     assert got == {r["id"]: r["comp"] for r in star_components(df).collect()}
     assert {i: c for i, c in got.items() if i != c} == dict(zip(node.tolist(), least.tolist()))
+
+
+@pytest.mark.parametrize("length,tile", [(0.6, 4096), (0.6, 64), (0.05, 64)])
+def test_lsh_pairs_equal_mllib(spark, length, tile):
+    df = frame(spark, range(300), unit(300, 6))
+    v = df.select("id", array_to_vector("v").alias("_v"))
+    m = BucketedRandomProjectionLSH(inputCol="_v", outputCol="h", bucketLength=length, numHashTables=3, seed=42).fit(v)
+    want = {(r["a"], r["b"]): r["dist"] for r in m.approxSimilarityJoin(v, v, 0.8, "dist").select(
+        F.col("datasetA.id").alias("a"), F.col("datasetB.id").alias("b"), "dist").where("a <> b").collect()}
+    pairs = J._lsh_pairs(df, df, "id", "v", 0.8, length, 3, 42, None, True, tile)
+    rows = pairs.collect()
+    assert len(rows) == len(want) and {(r["qid"], r["nid"]): r["dist"] for r in rows} == want
+    assert "CoGroups" in pairs._jdf.queryExecution().toString()       # buckets meet in tiles, pairs are never joined
+    near = J.knn_join_lsh(df, df, 2, "id", "v", 0.8, length, 3, exclude_self=True).collect()
+    first = {}
+    for (a, b), d in sorted(want.items(), key=lambda x: (x[0][0], x[1], x[0][1])):
+        first.setdefault(a, []).append(b)
+    assert {(r["qid"], r["rank"]): r["nid"] for r in near} == {(a, i + 1): b for a, bs in first.items() for i, b in enumerate(bs[:2])}
