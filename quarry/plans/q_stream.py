@@ -39,11 +39,11 @@ SELECT lang AS label, 'document-' || lpad(doc_id::VARCHAR, 12, '0') AS name, str
 def s2_read_documents(spark, sf):
     root = scratch_path(spark, "docs")
     d = table(spark, sf, "documents")
-    # one text file per document under <root>/<lang>/ (label from the folder)
+    # one text file per document under <root>/<k>/lang=<lang>/ (label from the folder)
     d = d.select(F.col("lang"), F.col("text"),
                  F.concat(F.lit("document-"), F.lpad(F.col("doc_id").cast("string"), 12, "0"))
                  .alias("fname"))
-    d.write.partitionBy("lang", "fname").text(root)
+    FS.write_documents(d, root, "lang", "fname", "text")
     docs = FS.read_documents(spark, root, min_name_len=5, label_from_dir=False)
     return docs.select(F.regexp_extract("path", r"lang=([a-z]+)", 1).alias("label"),
                        F.regexp_extract("path", r"fname=([\w-]+)", 1).alias("name"), "length")
