@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import groupby
+from urllib.parse import quote
 
 import pyarrow as pa
+from pyarrow.fs import FileSystem
+from pyspark import TaskContext
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,34 +31,34 @@ def read_documents(spark: SparkSession, root: str, min_name_len: int = 20,
 
 
 def write_documents(df: DataFrame, root: str, folder: str, name: str, text: str) -> int:
-    """One text file per row, ``<root>/<k>/<folder>=<value>/<name>=<value>.<row>``,
+    """One text file per document, ``<root>/<k>/<folder>=<value>/<name>=<value>.<number>``,
     written by the tasks; k spreads the files over folders that Spark lists in
-    parallel.  A row is one line, a null text an empty one; returns the number of files."""
+    parallel.  A row is one line, a null text an empty one; rows of one task with
+    the same folder and name are lines of one file.  ``root`` is in a store that
+    pyarrow opens; returns the number of files."""
     base = root if "://" in root else "file://" + root.removeprefix("file:")
     none = "__HIVE_DEFAULT_PARTITION__"
+    fs, top = FileSystem.from_uri(base)
+    fs.create_dir(top, recursive=True)
 
     def write(frames):
-        import os
-        from urllib.parse import quote
-
-        from pyarrow.fs import FileSystem
-        from pyspark import TaskContext
         fs, top = FileSystem.from_uri(base)
-        task, row, made = TaskContext.get().partitionId(), 0, set()
+        task, files, made = TaskContext.get().partitionId(), 0, set()
         safe = lambda v: quote(str(v), safe=" ") if v not in (None, "") else none
-        for part in frames:
-            cols = (part.column(c).to_pylist() for c in (folder, name, text))
-            for f, n, t in zip(*cols):
-                where = f"{top}/{task}-{row // 1000}/{folder}={safe(f)}"
-                if where not in made:
-                    fs.create_dir(where, recursive=True)
-                    made.add(where)
-                with fs.open_output_stream(os.path.join(where, f"{name}={safe(n)}.{task}-{row}")) as out:
+        rows = (r for part in frames for r in zip(*(part.column(c).to_pylist() for c in (folder, name, text))))
+        for (f, n), same in groupby(rows, lambda r: (safe(r[0]), safe(r[1]))):
+            where = f"{top}/{task}-{files // 1000}/{folder}={f}"
+            if where not in made:
+                fs.create_dir(where, recursive=True)
+                made.add(where)
+            with fs.open_output_stream(f"{where}/{name}={n}.{task}-{files}") as out:
+                for *_, t in same:
                     out.write((t or "").encode() + b"\n")
-                row += 1
-        yield pa.RecordBatch.from_pydict({"n": [row]}, pa.schema([("n", pa.int64())]))
+            files += 1
+        yield pa.RecordBatch.from_pydict({"n": [files]}, pa.schema([("n", pa.int64())]))
 
-    return df.select(folder, name, text).mapInArrow(write, "n long").agg(F.sum("n")).first()[0] or 0
+    return df.select(folder, name, text).sortWithinPartitions(folder, name) \
+        .mapInArrow(write, "n long").agg(F.sum("n")).first()[0] or 0
 
 
 def with_batches(df: DataFrame, n: int, ids: Sequence[str], seed: int = 42,

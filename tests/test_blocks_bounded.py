@@ -111,15 +111,23 @@ def test_lsh_pairs_equal_mllib(spark, length, tile):
 
 
 def test_documents_written_by_tasks(spark, tmp_path):
-    """A file per row, also where rows of one task have the same name."""
+    """A file per document and no folder per document."""
     from quarry.sources.files import read_documents, write_documents
-    rows = [(f"document-{i // 2:05d}", ["en", "zh-tw", None, ""][i % 4], [None, "", "a\nb", "héllo"][i // 3 % 4]) for i in range(40)]
-    df = spark.createDataFrame(rows, "fname string, lang string, text string").coalesce(2)
+    rows = [(f"document-{i:05d}", ["en", "zh-tw", None, ""][i % 4], [None, "", "a\nb", "héllo"][i // 3 % 4]) for i in range(40)]
+    df = spark.createDataFrame(rows, "fname string, lang string, text string").repartition(2)
     assert write_documents(df, f"file:{tmp_path}/docs", "lang", "fname", "text") == 40
     got = read_documents(spark, f"{tmp_path}/docs", min_name_len=5, label_from_dir=False).select(
         F.regexp_extract("path", r"lang=([a-z]+)", 1).alias("l"), F.regexp_extract("path", r"fname=([\w-]+)", 1).alias("n"),
         F.col("content").cast("string").alias("t"), "length").collect()
     want = [((lang or "").split("-")[0], n, (t or "") + "\n", len((t or "").encode()) + 1) for n, lang, t in rows]
     assert sorted(tuple(r) for r in got) == sorted(want)
+    assert len(list((tmp_path / "docs").glob("*/*"))) <= 6
     assert write_documents(df.limit(0), f"file:{tmp_path}/none", "lang", "fname", "text") == 0
     assert read_documents(spark, f"{tmp_path}/none").collect() == []
+
+
+def test_lsh_gives_equal_rows_once(spark):
+    x = unit(60, 4)
+    df = frame(spark, range(60), x)
+    once, twice = (sorted(map(tuple, J._lsh_pairs(d, d, "id", "v", 0.9, 0.6, 3, 42, None, True).collect())) for d in (df, df.unionByName(df)))
+    assert once == twice and once
