@@ -11,7 +11,8 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -147,46 +148,69 @@ def inertia(df: DataFrame, dist: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- E11
+#: Rows that meet as many others in one group of the silhouette.
+LOT_ROWS = 1 << 14
+
+
 def silhouette(df: DataFrame, id_col: str, vec: str, cluster: str,
                block_rows: int = 2048) -> DataFrame:
     """Euclidean silhouette per row.
 
-    Blocked co-group: each (row block, row block) task turns its distance
-    matrix into per (row, other-cluster) sums, so only n x k partial sums
-    are shuffled, never the n^2 pairs.
+    Every pair is measured, once: the rows lie in lots, a group holds two lots
+    (or one twice) and takes the distances of ``block_rows`` rows at a time (2
+    million distances at most) into sums per (row, cluster) of both sides, so
+    the n^2 pairs never leave a group and a row is copied once per lot.
     """
-    n = df.count()
-    nb = max(1, math.ceil(n / block_rows))
+    lots = max(1, math.ceil(df.count() / LOT_ROWS))
     base = df.select(F.col(id_col).cast("long").alias("rid"), F.col(vec).alias("v"),
                      F.col(cluster).cast("long").alias("c"))
-    a = base.withColumn("qb", F.pmod(F.xxhash64("rid"), F.lit(nb)).cast("int")) \
-        .withColumn("bb", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))))
-    b = base.withColumn("bb", F.pmod(F.xxhash64("rid"), F.lit(nb)).cast("int")) \
-        .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))))
-
-    def block(qp: pd.DataFrame, bp: pd.DataFrame) -> pd.DataFrame:
-        if len(qp) == 0 or len(bp) == 0:
-            return pd.DataFrame({"rid": [], "oc": [], "s": [], "n": []})
-        Q = np.stack([np.asarray(v, dtype=np.float64) for v in qp["v"]])
-        B = np.stack([np.asarray(v, dtype=np.float64) for v in bp["v"]])
-        d2 = (Q * Q).sum(1)[:, None] + (B * B).sum(1)[None, :] - 2.0 * Q @ B.T
-        D = np.sqrt(np.maximum(d2, 0.0))
-        same = qp["rid"].to_numpy()[:, None] == bp["rid"].to_numpy()[None, :]
-        D[same] = 0.0
-        bc = bp["c"].to_numpy()
-        out_r, out_c, out_s, out_n = [], [], [], []
-        for c in np.unique(bc):
-            m = bc == c
-            out_r.append(qp["rid"].to_numpy())
-            out_c.append(np.full(len(qp), c))
-            out_s.append(D[:, m].sum(1))
-            out_n.append(np.full(len(qp), m.sum()))
-        return pd.DataFrame({"rid": np.concatenate(out_r).astype(np.int64),
-                             "oc": np.concatenate(out_c).astype(np.int64),
-                             "s": np.concatenate(out_s), "n": np.concatenate(out_n).astype(np.int64)})
-
-    part = a.groupBy("qb", "bb").cogroup(b.groupBy("qb", "bb")).applyInPandas(
-        block, "rid long, oc long, s double, n long")
+    met = base.withColumn("lot", F.pmod(F.xxhash64("rid"), F.lit(lots)).cast("int")) \
+        .withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(lots - 1)))) \
+        .withColumn("p", F.least("lot", "o")).withColumn("q", F.greatest("lot", "o"))
+
+    def lot(group: pa.Table, number: int):
+        """(ids, vectors, clusters, first row of each cluster) by cluster."""
+        own = group.filter(pc.equal(group.column("lot"), number)).sort_by("c")
+        if own.column("v").null_count or own.column("c").null_count:
+            raise ValueError("NULL vector or cluster in a silhouette")
+        x = own.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        c = own.column("c").to_numpy()
+        return own.column("rid"), x.reshape(len(own), -1), *np.unique(c, return_index=True)
+
+    def sums(rid, totals, clusters, first, rows):
+        n = np.diff(np.append(first, rows))
+        out = pa.table({"rid": pa.concat_arrays(rid.chunks * len(clusters)) if len(rid) else pa.array([], pa.int64()),
+                        "oc": np.repeat(clusters, len(rid)), "s": totals.T.ravel(), "n": np.repeat(n, len(rid))})
+        return out.filter(pc.is_valid(out.column("rid")))
+
+    def pairs(group: pa.Table) -> pa.Table:
+        p, q = group.column("p")[0].as_py(), group.column("q")[0].as_py()
+        rid_a, A, clusters_a, first_a = lot(group, p)
+        rid_b, B, clusters_b, first_b = (rid_a, A, clusters_a, first_a) if p == q else lot(group, q)
+        if len(A) == 0 or len(B) == 0:
+            return pa.schema([("rid", pa.int64()), ("oc", pa.int64()), ("s", pa.float64()), ("n", pa.int64())]).empty_table()
+        ids_a, ids_b = (pc.fill_null(r, -2 ** 63).to_numpy() for r in (rid_a, rid_b))     # sums of a NULL id are dropped
+        aa, bb = (A * A).sum(1), (B * B).sum(1)
+        of_a, of_b = np.zeros((len(A), len(clusters_b))), np.zeros((len(clusters_a), len(B)))
+        step = max(1, min(block_rows, 2_000_000 // len(B)))
+        place = np.searchsorted(first_a, np.arange(len(A)), "right") - 1       # cluster of each row
+        for at in range(0, len(A), step):
+            D = A[at:at + step] @ B.T
+            D *= -2.0
+            D += aa[at:at + step, None]
+            D += bb
+            np.sqrt(np.maximum(D, 0.0, out=D), out=D)
+            if p == q:
+                D[ids_a[at:at + step, None] == ids_b] = 0.0
+            of_a[at:at + step] = np.add.reduceat(D, first_b, axis=1)
+            if p != q:
+                there, start = np.unique(place[at:at + step], return_index=True)
+                of_b[there] += np.add.reduceat(D, start, axis=0)
+        found = sums(rid_a, of_a, clusters_b, first_b, len(B))
+        return found if p == q else pa.concat_tables([found, sums(rid_b, of_b.T, clusters_a, first_a, len(A))])
+
+    part = met.select("p", "q", "lot", "rid", "v", "c").groupBy("p", "q").applyInArrow(
+        pairs, "rid long, oc long, s double, n long")
     per = part.groupBy("rid", "oc").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
     j = per.join(base.select("rid", "c"), "rid")
     own = F.when(F.col("oc") == F.col("c"), F.try_divide(F.col("s"), F.col("n") - 1))

@@ -9,6 +9,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
+from quarry.operators import metrics as E
 from quarry.operators import selection as G
 
 
@@ -44,3 +45,25 @@ def test_search_computes_its_input_once(spark):
 
 def test_small_tables_take_few_tasks(spark):
     assert G.stored(spark.range(100, numPartitions=40), "few").rdd.getNumPartitions() == 1
+
+
+def test_silhouette_of_several_lots(spark, monkeypatch):
+    monkeypatch.setattr(E, "LOT_ROWS", 40)
+    rng = np.random.default_rng(5)
+    x, c = rng.normal(size=(150, 3)), rng.integers(0, 4, 150)
+    c[0] = 9                                                              # a cluster of one row
+    df = spark.createDataFrame([(i, x[i].tolist(), int(c[i])) for i in range(150)], "id long, v array<double>, g long")
+    found = {r["id"]: r["silhouette"] for r in E.silhouette(df, "id", "v", "g", block_rows=16).collect()}
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    for i in range(150):
+        own = (c == c[i]).sum()
+        a = d[i, c == c[i]].sum() / max(own - 1, 1)
+        b = min(d[i, c == o].mean() for o in set(c) - {c[i]})
+        assert found[i] == pytest.approx(0.0 if own == 1 else (b - a) / max(a, b), abs=1e-9)
+
+
+def test_silhouette_copies_a_row_once_per_lot(spark):
+    """2,000 rows are one lot: before, blocks of 64 rows made 32 copies of each."""
+    df = spark.range(2000).select("id", F.array(F.rand(1), F.rand(2)).alias("v"), F.pmod("id", F.lit(3)).alias("g"))
+    assert E.silhouette(df, "id", "v", "g", block_rows=64).count() == 2000
+    assert E.LOT_ROWS >= 2048
