@@ -79,7 +79,9 @@ def normalize(c, lower_case=True, urls=True, numbers=True, punctuation=True) ->
     t = _c(c)
     if lower_case:
         t = lower(t)
-    if urls:
+    if urls and lower_case:     # texts without a scheme or www. are not searched
+        t = F.when(F.contains(t, F.lit("://")) | F.contains(t, F.lit("www.")), replace_urls(t)).otherwise(t)
+    elif urls:
         t = replace_urls(t)
     if numbers:
         t = replace_numbers(t)
@@ -88,6 +90,14 @@ def normalize(c, lower_case=True, urls=True, numbers=True, punctuation=True) ->
     return t
 
 
+def words(df, c: str, out: str = "word", plain: bool = False):
+    """TX10 as rows: one per token.  ``plain``: only spaces stand between them, as
+    after ``strip_punctuation``."""
+    if not plain:
+        return df.withColumn(out, F.explode(tokens(c))).drop(c)
+    return df.withColumn(out, F.explode(F.split(_c(c), " "))).drop(c).where(F.col(out) != "")
+
+
 def currency_label(c, unit: int = 1000) -> Column:
     """TX15: '$%dk' label."""
     return F.format_string("$%dk", (_c(c) / F.lit(unit)).cast("int"))

@@ -200,9 +200,10 @@ SELECT w.word, coalesce(v.idx, 0)::INTEGER AS idx
 FROM (SELECT DISTINCT word FROM wc) w LEFT JOIN vocab v ON w.word = v.word""")
 def j3_vocabulary_lookup(spark, sf):
     from quarry.operators.joins import vocabulary_lookup
-    wc = _word_counts(spark, sf)
-    vocab = TX.fit_vocabulary(wc, VOCAB)
-    return vocabulary_lookup(wc.select("word").distinct(), vocab).select("word", "idx")
+    from quarry.operators.aggregate import capped_sum
+    from quarry.session import cut_lineage
+    totals = cut_lineage(capped_sum(_word_counts(spark, sf), ["word"], "count", 10))    # a row per word; one scan of the texts
+    return vocabulary_lookup(totals.select("word"), TX.top_words(totals, VOCAB)).select("word", "idx")
 
 
 @query("tx14_counts_to_vector", f"""WITH {VOCAB_SQL}

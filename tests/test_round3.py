@@ -67,3 +67,34 @@ def test_silhouette_copies_a_row_once_per_lot(spark):
     df = spark.range(2000).select("id", F.array(F.rand(1), F.rand(2)).alias("v"), F.pmod("id", F.lit(3)).alias("g"))
     assert E.silhouette(df, "id", "v", "g", block_rows=64).count() == 2000
     assert E.LOT_ROWS >= 2048
+
+
+def test_words_between_spaces(spark):
+    from quarry.functions import text as TF
+    from quarry.operators import text as TX
+    texts = ["See HTTP://a.b/c?d, www.x.y\n\tnow 3.5e7!", " a b c--d ", "", None, "Runs running www. http://"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, t string")
+    old = F.lower("t")
+    for step in (TF.replace_urls, TF.replace_numbers, TF.strip_punctuation):
+        old = step(old)
+    want = df.select("id", F.explode(TF.tokens(old)).alias("word")).groupBy("id", "word").count()
+    got = TX.word_counts(df, "id", "t")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert {r["word"]: r["count"] for r in TX.word_counts(df.where("id = 4"), "id", "t", stemming=True).collect()} \
+        == {"run": 2, "www": 1, "http": 1}
+
+
+def test_stems_and_vocabulary_count_words_once(spark):
+    from quarry.operators import text as TX
+    counts, seen = counted(spark, spark.createDataFrame([(1, "runs", 2), (1, "run", 1), (2, "dogs", 4)], "id long, word string, count long"))
+    assert sorted(map(tuple, TX.stem_counts(counts, "id").collect())) == [(1, "run", 3), (2, "dog", 4)]
+    assert seen.value == 3
+
+
+def test_stream_takes_its_batches_in_n_triggers(spark, tmp_path):
+    from quarry.plans.q_stream import _stream_input
+    stream = _stream_input(spark, spark.range(400, numPartitions=6), ["id"], n=4)
+    sizes = []
+    stream.writeStream.foreachBatch(lambda d, _: sizes.append(d.count())).option("checkpointLocation", str(tmp_path)) \
+        .trigger(availableNow=True).start().awaitTermination()
+    assert len(sizes) == 4 and sum(sizes) == 400
