@@ -161,7 +161,7 @@ def complete_rows(df: DataFrame, vec: str, *cols: str) -> DataFrame:
 
 
 def gram(df: DataFrame, vec: str, label: str | None = None, weight: str | None = None,
-         group: str | None = None) -> dict:
+         group: str | None = None, expand=None) -> dict:
     """A7 (vectors): X'X, X'y, sums and counts in one distributed pass.
 
     A row with a NULL or NaN in its vector, label or weight (or a NULL group)
@@ -169,7 +169,8 @@ def gram(df: DataFrame, vec: str, label: str | None = None, weight: str | None =
     so covariances keep their digits.  Each task emits its partial statistics
     in long form (entry index, value); a groupBy-sum merges them on the
     executors and only the d x d result reaches the driver.  With ``group``
-    (whole numbers) returns {group: Moments}.
+    (whole numbers) returns {group: Moments}.  ``expand`` maps a matrix of array
+    rows to the features whose statistics are wanted, in the worker of the pass.
     """
     from pyspark.ml.linalg import VectorUDT
     base = complete_rows(df.select(vec, *[c for c in (label, weight, group) if c]), vec,
@@ -182,6 +183,8 @@ def gram(df: DataFrame, vec: str, label: str | None = None, weight: str | None =
     if head is None:
         return {} if group else None
     pivot = _as_dense(head[0])
+    expand = expand or (lambda X: X)
+    pivot = expand(pivot[None])[0]
     if isinstance(df.schema[vec].dataType, VectorUDT):
         # ML vectors arrive through Arrow as structs (one dict per row):
         # expand to one column per slot instead
@@ -196,7 +199,7 @@ def gram(df: DataFrame, vec: str, label: str | None = None, weight: str | None =
             if len(pdf) == 0:
                 continue
             keys = pdf[group].to_numpy() if group else np.zeros(len(pdf), dtype=np.int64)
-            X_all = (pdf[xs].to_numpy(dtype=np.float64) if xs else _vec_matrix(pdf[vec])) - pivot
+            X_all = expand(pdf[xs].to_numpy(dtype=np.float64) if xs else _vec_matrix(pdf[vec])) - pivot
             y_all = pdf[label].to_numpy(dtype=np.float64) if label else np.zeros(len(pdf))
             w_all = pdf[weight].to_numpy(dtype=np.float64) if weight else np.ones(len(pdf))
             for g in np.unique(keys):

@@ -59,9 +59,10 @@ def n_components_for(ratios: Sequence[float], target: float) -> int:
     return int(np.searchsorted(cum, target - 1e-12) + 1)
 
 
-def pca(df: DataFrame, vec: str, k: int | None = None, variance: float | None = None) -> PCAModel:
-    """Centred PCA (MLlib's PCA.transform does not centre)."""
-    return pca_from_moments(gram(df, vec), k, variance)
+def pca(df: DataFrame, vec: str, k: int | None = None, variance: float | None = None, expand=None) -> PCAModel:
+    """Centred PCA (MLlib's PCA.transform does not centre), of the vectors
+    or of what ``expand`` makes of a matrix of them."""
+    return pca_from_moments(gram(df, vec, expand=expand), k, variance)
 
 
 def incremental_pca(df: DataFrame, vec: str, batch_col: str, k: int) -> PCAModel:
@@ -73,6 +74,16 @@ def incremental_pca(df: DataFrame, vec: str, batch_col: str, k: int) -> PCAModel
     return pca_from_moments(tot, k)
 
 
+#: Rows that a kernel is evaluated for at once.
+KERNEL_ROWS = 1024
+
+
+def in_slices(fn):
+    """``fn`` on ``KERNEL_ROWS`` rows at a time, so that its intermediate matrices
+    do not grow with the batch."""
+    return lambda X: np.concatenate([fn(X[at:at + KERNEL_ROWS]) for at in range(0, len(X), KERNEL_ROWS)])
+
+
 def _array_udf(fn):
     @F.pandas_udf(ArrayType(DoubleType()))
     def u(s: pd.Series) -> pd.Series:
@@ -192,7 +203,7 @@ class KernelPCAModel:
     def features_udf(self, vec):
         L, Wm, kind, g = self.landmarks, self.whiten, self.kernel, self.gamma
         P = self.pca
-        return _array_udf(lambda X: (kernel_map(kind, X, L, g) @ Wm - P.mean) @ P.components.T)(
+        return _array_udf(in_slices(lambda X: (kernel_map(kind, X, L, g) @ Wm - P.mean) @ P.components.T))(
             F.col(vec) if isinstance(vec, str) else vec)
 
     def preimage_udf(self, z):
@@ -216,20 +227,17 @@ def kernel_pca(df: DataFrame, vec: str, id_col: str, k: int, kernel: str = "rbf"
     vals, vecs = np.linalg.eigh(Kmm)
     vals = np.maximum(vals, 1e-12)
     whiten = vecs @ np.diag(vals ** -0.5) @ vecs.T
-    phi = _array_udf(lambda X: kernel_map(kernel, X, lm, gamma) @ whiten)
-    feats = df.withColumn("_phi", phi(F.col(vec)))
-    p = pca(feats, "_phi", k)
+    phi = in_slices(lambda X: kernel_map(kernel, X, lm, gamma) @ whiten)
+    p = pca(df, vec, k, expand=phi)
     model = KernelPCAModel(lm, whiten, p, kernel, gamma)
     if fit_inverse:
         from quarry.operators.linear import sum_pass
-        z = feats.withColumn("_z", project("_phi", p.mean, p.components))
         d = len(lm[0])
 
-        def fn(Z, pdf):
-            Xo = np.stack([np.asarray(v, dtype=float) for v in pdf[vec]])
-            Za = np.hstack([np.ones((len(Z), 1)), Z])
-            return np.concatenate([(Za.T @ Za).ravel(), (Za.T @ Xo).ravel()])
-        s = sum_pass(z.select(F.col("_z").alias("x"), vec), fn, (k + 1) ** 2 + (k + 1) * d)
+        def fn(X, pdf):
+            Za = np.hstack([np.ones((len(X), 1)), (phi(X) - p.mean) @ p.components.T])
+            return np.concatenate([(Za.T @ Za).ravel(), (Za.T @ X).ravel()])
+        s = sum_pass(df.select(F.col(vec).alias("x")), fn, (k + 1) ** 2 + (k + 1) * d)
         A = s[:(k + 1) ** 2].reshape(k + 1, k + 1) + alpha * np.eye(k + 1)
         model.preimage = np.linalg.solve(A, s[(k + 1) ** 2:].reshape(k + 1, d))
     return model

@@ -12,6 +12,7 @@ from quarry.functions.hashing import rnd
 from quarry.operators import reduce as R
 from quarry.operators import split as T
 from quarry.operators.joins import knn_join
+from quarry.operators.selection import stored
 from quarry.plans import sqlfrag as S
 from quarry.plans.registry import query
 from quarry.sources.tables import emb_view
@@ -85,7 +86,8 @@ def r5_kernel_pca(spark, sf):
 @query("r6_kernel_parameter_search")
 def r6_kernel_parameter_search(spark, sf):
     e = emb_view(spark, sf, planted=True)
-    e = T.split_three_way(e, [0.7, 0.3], ["vec_id"], out="part")
+    e = T.split_three_way(e, [0.7, 0.3], ["vec_id"], out="part").select("vec_id", "emb", "group", "part")
+    e = stored(e, "r6-rows")
     tr, va = e.filter("part = 0"), e.filter("part = 1")
     ev = MulticlassClassificationEvaluator(metricName="accuracy", labelCol="group")
     rows = []
