@@ -240,6 +240,13 @@ def whole_rows(df: DataFrame, features: str, label: str, weight: str | None) ->
         .where(F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v)))
 
 
+def stored_rows(rows: DataFrame, name: str) -> DataFrame:
+    """The rows written once: the passes before the packing read them back."""
+    path = scratch_path(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.parquet(path)
+
+
 def edges_of(values: np.ndarray) -> np.ndarray:
     values = np.unique(values)
     middle = values[:-1] + (values[1:] - values[:-1]) / 2
@@ -427,7 +434,7 @@ def best_first_tree(df: DataFrame, features: str = "features", label: str = "lab
                     min_samples_split: int = 2, min_samples_leaf: int = 1, max_bins: int = 256) -> TreeModel:
     """A tree of at most ``max_leaf_nodes`` leaves, split where the weighted
     impurity falls most (``gini``, ``entropy``, or ``variance`` for a number)."""
-    rows = whole_rows(df, features, label, weight)
+    rows = stored_rows(whole_rows(df, features, label, weight), "tree_input")
     edges = find_edges(rows, max_bins)
     n, top, mean = rows.agg(F.count("*"), F.max("y"), F.avg("y")).first()
     if not n:
@@ -480,7 +487,7 @@ def boosted_trees(df: DataFrame, features: str = "features", label: str = "label
     Margins are stored with the blocks and renewed every ``refresh`` trees, and
     the stages since then are judged in one pass."""
     logistic = objective == "logistic"
-    rows = whole_rows(df, features, label, weight)
+    rows = stored_rows(whole_rows(df, features, label, weight), "boost_input")
     edges = find_edges(rows, max_bins)
     n, mean = rows.agg(F.count("*"), F.sum(F.col("w") * F.col("y")) / F.sum("w")).first()
     if not n:
