@@ -22,7 +22,6 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
@@ -403,16 +402,18 @@ class TreeModel:
 
 
 def predicted(df: DataFrame, features: str, rows_to_values: Callable):
-    """A column of value arrays, in Arrow batches."""
-    @F.pandas_udf("array<double>")
-    def run(x: pd.Series) -> pd.Series:
-        good = [i for i, v in enumerate(x) if v is not None and not np.isnan(np.asarray(v, float)).any()]
-        out: list = [None] * len(x)
-        if good:
-            found = rows_to_values(np.stack([np.asarray(x.iloc[i], float) for i in good]))
-            for i, v in zip(good, found):
-                out[i] = v
-        return pd.Series(out, index=x.index, dtype=object)
+    """A column of value arrays, in Arrow batches; null where a feature is."""
+    @F.arrow_udf("array<double>")
+    def run(x: pa.Array) -> pa.Array:
+        good = np.asarray(x.is_valid())
+        rows = list_matrix(x.drop_null()).astype(float) if good.any() else np.zeros((0, 0))
+        whole = ~np.isnan(rows).any(axis=1)
+        good[good] = whole
+        if not good.any():
+            return pa.nulls(len(x), pa.list_(pa.float64()))
+        found = np.ascontiguousarray(rows_to_values(rows[whole]), float)
+        ends = np.concatenate([[0], np.cumsum(good * found.shape[1])]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(found.ravel()), mask=pa.array(~good))
     return run(feature_array(df, features))
 
 
@@ -596,8 +597,18 @@ def keyed_trees(rows: DataFrame, key: str, features: str, label: str, classes: i
     return sorted(((r["k"], pickle.loads(bytes(r["model"]))) for r in found), key=lambda t: t[0])
 
 
-def small_tree_votes(df: DataFrame, models: list[tuple[int, TreeModel]], features: str = "features") -> DataFrame:
-    """Adds ``votes``: the class each tree predicts, in the order of the trees."""
+def small_tree_votes(df: DataFrame, models: list[tuple[int, TreeModel]], features: str = "features",
+                     classes: int | None = None) -> DataFrame:
+    """Adds ``votes``: the class each tree predicts, in the order of the trees; or,
+    given the number of ``classes``, the number of trees for each of them, which
+    is all that a task then holds per row."""
     own = [m for _, m in models]
+    if classes is not None:
+        def count(x: np.ndarray) -> np.ndarray:
+            votes, at = np.zeros((len(x), classes)), np.arange(len(x))
+            for m in own:
+                votes[at, m.predict_rows(x).argmax(1)] += 1
+            return votes
+        return df.withColumn("votes", predicted(df, features, count))
     return df.withColumn("votes", predicted(df, features, lambda x: np.stack(
         [m.predict_rows(x).argmax(1) for m in own], axis=1).astype(float)))
