@@ -7,7 +7,7 @@ from itertools import groupby
 from urllib.parse import quote
 
 import pyarrow as pa
-from pyarrow.fs import FileSystem
+from pyarrow.fs import FileSelector, FileSystem, FileType, LocalFileSystem
 from pyspark import TaskContext
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -16,13 +16,63 @@ from pyspark.sql import functions as F
 from quarry.functions.hashing import xx_u32
 
 
+def _hidden(path: str) -> bool:
+    """Whether Spark's readers pass over a file at this path below the root."""
+    return any(p.startswith(".") or p.startswith("_") and "=" not in p for p in path.split("/")) or path.endswith("._COPYING_")
+
+
+def _listed(spark: SparkSession, root: str) -> DataFrame | None:
+    """(path, length) of the files below ``root``, listed by tasks, a folder of the
+    first level at a time, so that the driver holds no row per file; None where
+    pyarrow cannot open the store."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    where = path.getFileSystem(conf).makeQualified(path)
+    uri, local = where.toString().rstrip("/"), where.toUri().getScheme() == "file"
+    opened = lambda: (LocalFileSystem(), where_) if local else FileSystem.from_uri(uri)
+    where_ = where.toUri().getPath()
+    del jvm, conf, path, where
+    try:
+        fs, top = opened()
+        entries = fs.get_file_info(FileSelector(top))
+    except (OSError, ValueError, NotImplementedError):
+        return None
+    folders = [(top, False), *((f.path, True) for f in entries if f.type == FileType.Directory and not _hidden(f.base_name))]
+
+    def files(frames):
+        fs, top = opened()
+        for part in frames:
+            for folder, deep in zip(part.column("folder").to_pylist(), part.column("deep").to_pylist()):
+                found = [f for f in fs.get_file_info(FileSelector(folder, recursive=deep)) if f.type == FileType.File]
+                for at in range(0, len(found), 10_000):
+                    rows = [(below, f.size) for f in found[at:at + 10_000] if not _hidden(below := f.path[len(top):].strip("/"))]
+                    yield pa.RecordBatch.from_pydict({"path": [f"{uri}/{p}" for p, _ in rows], "length": [n for _, n in rows]},
+                                                     pa.schema([("path", pa.string()), ("length", pa.int64())]))
+
+    tasks = min(len(folders), 8 * spark.sparkContext.defaultParallelism)
+    return spark.createDataFrame(folders, "folder string, deep boolean").repartition(tasks) \
+        .mapInArrow(files, "path string, length long").withColumn("content", _content(opened, uri)("path"))
+
+
+def _content(opened, uri: str):
+    """Reads the file at a path; where the column is not used, no file is opened."""
+    def content(path):
+        fs, top = opened()
+        with fs.open_input_stream(f"{top.rstrip('/')}{path[len(uri):]}") as f:
+            return f.read()
+    return F.udf(content, "binary", useArrow=False)
+
+
 def read_documents(spark: SparkSession, root: str, min_name_len: int = 20,
                    label_from_dir: bool = True) -> DataFrame:
     """One file per row (path, name, label from the parent folder,
     content bytes); names of ``min_name_len`` chars or fewer are skipped
-    (index / command files)."""
-    df = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-          .select("path", "content", "length"))
+    (index / command files).  The tasks list the folders; a store that only
+    Spark opens is listed by the driver."""
+    df = None if set(root) & set("*?[{") else _listed(spark, root)
+    if df is None:
+        df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    df = df.select("path", "content", "length")
     name = F.element_at(F.split("path", "/"), -1)
     df = df.withColumn("name", name).filter(F.length("name") > min_name_len)
     if label_from_dir:
