@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 from quarry.functions.arrays import lit_vector, sq_dist
 from quarry.functions.hashing import md5_uniform
 from quarry.operators.cells import cell_dbscan
-from quarry.operators.graph import FEW, star_components, stars
+from quarry.operators.graph import FEW, star_components
 from quarry.operators.joins import knn_join, nearest_centroid
-from quarry.operators.pivots import Blocks, exact, matrix, send, squares, steps
+from quarry.operators.pivots import TABLE_QUERIES, TABLE_ROWS, Blocks, Products, exact, matrix, narrow, send
 from quarry.operators.window import sort_positions, top_k_per_group
 from quarry.session import cut_lineage, scratch_path
 
@@ -160,24 +160,25 @@ def connected_components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     return nodes.join(found, "id", "left").select("id", F.coalesce("comp", "id").alias("comp"))
 
 
-def _close(q: np.ndarray, b: np.ndarray, size: np.ndarray, eps: float) -> np.ndarray:
-    """Which rows of q and b lie within eps; distances that rounding could place
-    on either side are taken from differences."""
-    d2 = squares(q, b, size)
-    slack = 1e-9 * ((q * q).sum(1) + size.max()) + 1e-300
-    near = d2 <= (eps * eps - slack)[:, None]
-    r, c = np.nonzero(~near & (d2 <= (eps * eps + slack)[:, None]))
-    near[r, c] = exact(q, b, r, c) <= eps
-    return near
-
-
-def _tile(qp: pd.DataFrame, bp: pd.DataFrame, eps: float):
-    """(slice of the queries, which base rows are within eps of each), a few queries at a time."""
-    if len(qp) and len(bp):
-        q, b = matrix(qp["qv"]), matrix(bp["bv"])
-        size = (b * b).sum(1)
-        for at in steps(len(q), len(b)):
-            yield at, _close(q[at], b, size, eps)
+def _tables(q: np.ndarray, b: np.ndarray, eps: float, needed=None):
+    """(slice of the queries, slice of the base rows, which are within eps of each), a
+    few at a time; distances that rounding could place on either side are taken
+    from differences.  Tables that are not ``needed`` are left out."""
+    near, limit = Products(b), eps * eps
+    for at in range(0, len(q), TABLE_QUERIES):
+        one = slice(at, min(at + TABLE_QUERIES, len(q)))
+        a, cut, parts = near.ready(q[one])
+        most, sure = cut(limit * (1 + 1e-12)), cut(limit * (1 - 1e-12), sure=True)
+        for j, part in enumerate(parts):
+            two = slice(j * TABLE_ROWS, min((j + 1) * TABLE_ROWS, len(b)))
+            if needed is not None and not needed(one, two):
+                continue
+            table = a @ part
+            close = table <= sure
+            r, c = np.nonzero(~close & (table <= most))
+            if len(r):
+                close[r, c] = exact(q[one], b[two], r, c) <= eps
+            yield one, two, close
 
 
 def _count_near(eps: float):
@@ -185,61 +186,101 @@ def _count_near(eps: float):
     def count(qp: pd.DataFrame, bp: pd.DataFrame) -> pd.DataFrame:
         qi, bi = qp["qid"].to_numpy(), bp["nid"].to_numpy()
         n = np.zeros(len(qp), np.int64)
-        for at, near in _tile(qp, bp, eps):
-            own = np.flatnonzero(np.isin(qi[at], bi))
-            near[own] &= qi[at][own][:, None] != bi[None, :]
-            n[at] = near.sum(1)
+        if len(qi) and len(bi):
+            here = np.isin(qi, bi)
+            for one, two, near in _tables(matrix(qp["qv"]), matrix(bp["bv"]), eps):
+                own = np.flatnonzero(here[one])
+                near[own] &= qi[one][own][:, None] != bi[None, two]
+                n[one] += near.sum(1)
         return pd.DataFrame({"id": qi.astype(np.int64), "n": n})
     return count
 
 
+def _joined(root: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Of each class (a number) the least one of its set, after u and v are joined."""
+    while True:
+        u, v = root[u], root[v]
+        open_ = u != v
+        if not open_.any():
+            return root
+        u, v = u[open_], v[open_]
+        np.minimum.at(root, np.maximum(u, v), np.minimum(u, v))
+        while (root[root] != root).any():
+            root = root[root]
+
+
 def _link_classes(eps: float):
-    """The classes (qc, bc) joined by rows within eps, as stars (u, v)."""
+    """The classes (qc, bc) joined by rows within eps, as stars (u, v).  Rows go by
+    class; a table whose classes are joined already is left out."""
     def link(qp: pd.DataFrame, bp: pd.DataFrame) -> pd.DataFrame:
-        qc, bc = qp["qc"].to_numpy(np.int64), bp["bc"].to_numpy(np.int64)
-        u, v = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for at, near in _tile(qp, bp, eps):
-            near &= qc[at][:, None] != bc[None, :]
-            r, c = np.nonzero(near)
-            u, v = stars(np.r_[u, qc[at][r]], np.r_[v, bc[c]])
-        return pd.DataFrame({"u": u, "v": v})
+        none = pd.DataFrame({"u": np.zeros(0, np.int64), "v": np.zeros(0, np.int64)})
+        if not len(qp) or not len(bp):
+            return none
+        qp, bp = qp.iloc[np.argsort(qp["qc"].to_numpy(), kind="stable")], bp.iloc[np.argsort(bp["bc"].to_numpy(), kind="stable")]
+        names, kind = np.unique(np.r_[qp["qc"].to_numpy(np.int64), bp["bc"].to_numpy(np.int64)], return_inverse=True)
+        qk, bk = kind[:len(qp)], kind[len(qp):]
+        root = np.arange(len(names))
+
+        def apart(one, two):
+            x, y = root[qk[one]], root[bk[two]]
+            return x.min() != x.max() or y.min() != y.max() or x[0] != y[0]
+
+        for one, two, near in _tables(matrix(qp["qv"]), matrix(bp["bv"]), eps, apart):
+            x, y = qk[one], bk[two]
+            i, j = np.flatnonzero(np.r_[True, x[1:] != x[:-1]]), np.flatnonzero(np.r_[True, y[1:] != y[:-1]])
+            touch = np.logical_or.reduceat(near, j, axis=1) if len(j) < len(y) else near
+            touch = np.logical_or.reduceat(touch, i, axis=0) if len(i) < len(x) else touch
+            r, c = np.nonzero(touch)
+            root = _joined(root, x[i[r]], y[j[c]])
+        moved = np.flatnonzero(root != np.arange(len(root)))
+        return pd.DataFrame({"u": names[moved], "v": names[root[moved]]})
     return link
 
 
 def _least_class(eps: float):
     """Of each query the least class of the base rows within eps."""
     def least(qp: pd.DataFrame, bp: pd.DataFrame) -> pd.DataFrame:
-        order = np.argsort(bp["bc"].to_numpy(), kind="stable")
-        bp, found = bp.iloc[order], []
+        bp = bp.iloc[np.argsort(bp["bc"].to_numpy(), kind="stable")]
         qi, bc = qp["qid"].to_numpy(), bp["bc"].to_numpy()
-        for at, near in _tile(qp, bp, eps):
-            some = np.flatnonzero(near.any(1))
-            found.append(pd.DataFrame({"id": qi[at][some].astype(np.int64), "comp": bc[near[some].argmax(1)]}))
-        return pd.concat(found) if found else pd.DataFrame({"id": np.zeros(0, np.int64), "comp": np.zeros(0, np.int64)})
+        at = np.full(len(qi), -1, np.int64)
+        if len(qi) and len(bc):
+            for one, two, near in _tables(matrix(qp["qv"]), matrix(bp["bv"]), eps, lambda one, two: (at[one] < 0).any()):
+                fresh = np.flatnonzero((at[one] < 0) & near.any(1))
+                at[one.start + fresh] = two.start + near[fresh].argmax(1)
+        some = np.flatnonzero(at >= 0)
+        return pd.DataFrame({"id": qi[some].astype(np.int64), "comp": bc[at[some]].astype(np.int64)})
     return least
 
 
 def _vector_dbscan(df: DataFrame, id_col: str, eps: float, min_samples: int, vec: str,
                    block_rows: int = 2048) -> DataFrame:
     """(id, comp, is_core).  Neighbours are tested block against block and only
-    counted; no pair is written.  Core rows are joined to clusters inside their
+    counted, in a row's own block first: a row that is core by that is not asked
+    again.  No pair is written.  Core rows are joined to clusters inside their
     own blocks first; then blocks report which clusters of theirs touch."""
     spark = df.sparkSession
-    rows = df.select(F.col(id_col).cast("long").alias("nid"), F.col(vec).alias("bv"))
+    rows = narrow(df.select(F.col(id_col).cast("long").alias("nid"), F.col(vec).alias("bv")), "bv")
     path = scratch_path(spark, "dbscan_rows")
     rows.write.parquet(path)
     rows = spark.read.parquet(path)
     asks = lambda d: d.withColumnRenamed("nid", "qid").withColumnRenamed("bv", "qv").withColumn("tau", F.lit(float(eps)))
 
     def meet(blocks, asked, fn, schema, **more):
-        asked, held, *_ = send(asked, blocks, block_rows, **more)
-        return asked.groupBy("block", "share").cogroup(held.groupBy("block", "share")).applyInPandas(fn, schema=schema)
+        asked, held, *rest = send(asked, blocks, block_rows, **more)
+        return asked.groupBy("block", "share").cogroup(held.groupBy("block", "share")).applyInPandas(fn, schema=schema), rest[2]
 
     blocks = Blocks(rows, block_rows)
     if blocks.rows is None:
         return rows.select(F.col("nid").alias("id"), F.lit(False).alias("is_core"), F.lit(None).cast("long").alias("comp"))
-    near = meet(blocks, asks(rows), _count_near(eps), "id long, n long")
-    deg = near.groupBy("id").agg((F.sum("n") + 1).alias("deg"))
+    count, counts = _count_near(eps), "id long, n long"
+    home = cut_lineage(blocks.rows.select("nid", "bv", "block").groupBy("block").applyInPandas(
+        lambda part: count(part.rename(columns={"nid": "qid", "bv": "qv"}), part), counts).groupBy("id").agg(F.sum("n").alias("n")))
+    open_ = home.where(F.col("n") + 1 < min_samples).select(F.col("id").alias("nid"))
+    asked = asks(blocks.rows.select("nid", "bv", F.col("block").alias("home")).join(open_, "nid"))
+    found, apart = meet(blocks, asked, count, counts)
+    if not apart:           # the row's own block is among those of the lot
+        home = home.where(F.col("n") + 1 >= min_samples)
+    deg = home.unionByName(found).groupBy("id").agg((F.sum("n") + 1).alias("deg"))
     nodes = cut_lineage(rows.select(F.col("nid").alias("id")).join(deg, "id", "left").fillna(1, ["deg"])
                         .withColumn("is_core", F.col("deg") >= min_samples))
     core = nodes.filter("is_core").select("id")
@@ -265,12 +306,12 @@ def _vector_dbscan(df: DataFrame, id_col: str, eps: float, min_samples: int, vec
     kinds = {r["block"]: (r["lo"], r["hi"]) for r in own.groupBy("block").agg(
         F.min("bc").alias("lo"), F.max("bc").alias("hi")).collect()}
     single = np.array([kinds[b][0] if kinds[b][0] == kinds[b][1] else -2**63 for b in blocks.names.tolist()])
-    touch = named(meet(blocks, asks(own.withColumnRenamed("bc", "qc")), link, pairs, single=single, keep=("qc",), base=own))
+    touch = named(meet(blocks, asks(own.withColumnRenamed("bc", "qc")), link, pairs, single=single, keep=("qc",), base=own)[0])
     to = cut_lineage(comp.join(touch.select(F.col("id").alias("comp"), F.col("comp").alias("to")), "comp", "left")
                      .select("id", F.coalesce("to", "comp").alias("comp")))
     final = own.drop("bc").join(to.select(F.col("id").alias("nid"), F.col("comp").alias("bc")), "nid")
     rest = rows.join(core.withColumnRenamed("id", "nid"), "nid", "left_anti")
-    border = meet(blocks, asks(rest), _least_class(eps), "id long, comp long", base=final) \
+    border = meet(blocks, asks(rest), _least_class(eps), "id long, comp long", base=final)[0] \
         .groupBy("id").agg(F.min("comp").alias("bcomp"))
     comp = core.join(to, "id")
     return nodes.join(comp, "id", "left").join(border, "id", "left").select(
